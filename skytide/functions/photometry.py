@@ -12,9 +12,6 @@ AB_ZERO_POINT = 31.4
 ZTF_BANDS = {1: "g", 2: "r"}
 LSST_BANDS = ("u", "g", "r", "i", "z", "y")
 
-INF = F.lit(float("inf"))
-NAN = F.lit(float("nan"))
-
 
 def _col(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
@@ -26,20 +23,21 @@ def flux_to_mag(flux: Column | str, flux_err: Column | str) -> tuple[Column, Col
     Zero flux has magnitude +inf, negative flux NaN; null stays null.
     """
     f, e = (_col(flux), _col(flux_err))
+    inf, nan = F.lit(float("inf")), F.lit(float("nan"))
     mag = (
         F.when(f.isNull(), F.lit(None).cast("double"))
         .when(f > 0, F.lit(AB_ZERO_POINT) - F.lit(2.5) * F.log10(f))
-        .when(f == 0, INF)
-        .otherwise(NAN)
+        .when(f == 0, inf)
+        .otherwise(nan)
     )
-    zero_flux_err = F.when(F.isnan(e) | (e == 0), NAN).when(e > 0, INF).otherwise(-INF)
+    zero_flux_err = F.when(F.isnan(e) | (e == 0), nan).when(e > 0, inf).otherwise(-inf)
     err = (
         F.when(f.isNull() | e.isNull(), F.lit(None).cast("double"))
         .when(f == 0, zero_flux_err)
         .otherwise(F.lit(2.5 / math.log(10)) * e / f)
     )
     # Spark orders NaN above every number, so a NaN flux must be caught first.
-    return F.when(F.isnan(f), NAN).otherwise(mag), err
+    return F.when(F.isnan(f), nan).otherwise(mag), err
 
 
 def ztf_band(fid: Column | str) -> Column:

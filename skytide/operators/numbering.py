@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skytide.session import stage
+from skytide.session import broadcast_if_small, stage
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition above, position below
 
@@ -33,8 +33,9 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str, la
         .withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
         .select(*group, "_range", "_base")
     )
-    return (
-        staged.join(bases, [*group, "_range"])
-        .withColumn(name, F.col("_place") + F.col("_base"))
-        .select(*df.columns, name)
+    same = F.col("s._range") == F.col("b._range")
+    for c in group:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return staged.alias("s").join(broadcast_if_small(bases).alias("b"), same).select(
+        *[F.col(f"s.{c}") for c in df.columns], (F.col("s._place") + F.col("b._base")).alias(name)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skytide.operators.decode import encode_alerts
 from skytide.operators.numbering import number_rows
-from skytide.session import has_kafka, small_table
+from skytide.session import broadcast_if_small, has_kafka, read_table_if_exists, small_table
 
 LOG_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
@@ -139,7 +139,7 @@ def read_topics(
 
 def to_topic_log(
     df: DataFrame,
-    schema: str | dict,
+    schema: str | dict | None,
     topic: Column,
     partition: Column,
     key: Column,
@@ -151,10 +151,10 @@ def to_topic_log(
 ) -> None:
     """Encode rows and write them as a topic log, offsets dense per partition.
 
-    Laid out by topic so that a subscription reads only its own folders; files
+    Without a schema the rows must already have a ``value``. Laid out by topic so that a subscription reads only its own folders; files
     hold contiguous offset ranges, so offset filters skip whole row groups.
     """
-    body = encode_alerts(df, schema, fields, "value")
+    body = df if schema is None else encode_alerts(df, schema, fields, "value")
     messages = body.select(
         *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
         key.cast("binary").alias("key"),
@@ -165,6 +165,12 @@ def to_topic_log(
         F.lit(0).alias("timestampType"),
     )
     numbered = number_rows(messages, ["topic", "partition"], [f"_order{i}" for i in range(len(order))], "offset", "log")
+    existing = read_table_if_exists(df.sparkSession, path, LOG_SCHEMA) if append else None
+    if existing is not None:
+        ends = broadcast_if_small(offset_bounds(existing).select("topic", "partition", "hi"))
+        numbered = numbered.join(ends, ["topic", "partition"], "left").withColumn(
+            "offset", F.col("offset") + F.coalesce("hi", F.lit(0))
+        )
     (
         numbered.select(*[c.split()[0] for c in LOG_SCHEMA.split(", ")])
         .write.mode("append" if append else "errorifexists")
