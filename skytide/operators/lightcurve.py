@@ -15,6 +15,7 @@ from skytide.functions.photometry import (
     ztf_band,
 )
 from skytide.naming import layout
+from skytide.session import broadcast_if_small
 
 
 def _struct_of(df: DataFrame, name: str) -> T.StructType:
@@ -48,42 +49,51 @@ def lightcurve(
     ids: list[str] | None = None,
     nan_is_missing: bool = True,
     plotted_only: bool = False,
+    fields: list[str] | None = None,
 ) -> DataFrame:
     """Long table, one row per point: position (0 is the alert itself), time, days
     from the last and from the first element, band and magnitude.
 
     ZTF points are tagged detection or upper limit; LSST fluxes become
-    magnitudes. ``plotted_only`` keeps the bands and errors a plot would show.
-    Each alert carries its history, so this is an explode and never a shuffle.
+    magnitudes. ``plotted_only`` keeps the bands and errors a plot would show;
+    ``fields`` leaves out photometry that is not needed (the columns derived
+    from it are left out too). Each alert carries its history, so this is an explode and never a shuffle.
     """
     shape = layout(survey)
     ids = ids if ids is not None else [c for c in shape.key if c in df.columns]
-    arrays = {f: extract_field(df, f, shape.current, shape.history) for f in shape.photometry}
+    wanted = [f for f in shape.photometry if fields is None or f in fields or f == shape.time]
+    arrays = {f: extract_field(df, f, shape.current, shape.history) for f in wanted}
     zipped = df.select(
         *ids,
         F.element_at(arrays[shape.time], -1).alias("_last"),
         F.element_at(arrays[shape.time], 1).alias("_first"),
         F.arrays_zip(*[a.alias(f) for f, a in arrays.items()]).alias("_points"),
     )
-    points = zipped.select(*ids, "_last", "_first", F.posexplode("_points").alias("pos", "_p")).select(
+    # The array is never empty; the outer form only spares Spark a test of that.
+    points = zipped.select(*ids, "_last", "_first", F.posexplode_outer("_points").alias("pos", "_p")).select(
         *ids,
         "pos",
         F.col(f"_p.{shape.time}").alias("time"),
         (F.col(f"_p.{shape.time}") - F.col("_last")).alias("days_from_last"),
         (F.col(f"_p.{shape.time}") - F.col("_first")).alias("days_from_first"),
-        *[F.col(f"_p.{f}").alias(f) for f in shape.photometry if f != shape.time],
+        *[F.col(f"_p.{f}").alias(f) for f in wanted if f != shape.time],
     )
+    derived = {}
     if survey == "ztf":
-        out = points.select(
-            "*",
-            ztf_band("fid").alias("band"),
-            detection_tag("magpsf", nan_is_missing).alias("tag"),
-            detection_value("magpsf", "diffmaglim", nan_is_missing).alias("y"),
-        )
-        return out.filter(F.col("band").isNotNull()) if plotted_only else out
-    mag, err = flux_to_mag("psfFlux", "psfFluxErr")
-    out = points.select("*", mag.alias("mag"), err.alias("magerr"))
-    return out.filter(is_lsst_band("band") & has_positive_error("magerr")) if plotted_only else out
+        if "fid" in wanted:
+            derived["band"] = ztf_band("fid")
+        if "magpsf" in wanted:
+            derived["tag"] = detection_tag("magpsf", nan_is_missing)
+        if {"magpsf", "diffmaglim"} <= set(wanted):
+            derived["y"] = detection_value("magpsf", "diffmaglim", nan_is_missing)
+        keep = F.col("band").isNotNull() if "band" in derived else F.lit(True)
+    else:
+        if {"psfFlux", "psfFluxErr"} <= set(wanted):
+            derived["mag"], derived["magerr"] = flux_to_mag("psfFlux", "psfFluxErr")
+        keep = is_lsst_band("band") if "band" in wanted else F.lit(True)
+        keep = keep & has_positive_error("magerr") if "magerr" in derived else keep
+    out = points.select("*", *[c.alias(n) for n, c in derived.items()])
+    return out.filter(keep) if plotted_only else out
 
 
 def bands_present(points: DataFrame, ids: list[str]) -> DataFrame:
@@ -105,7 +115,8 @@ def object_history(
     """
     archive = spark.read.parquet(archive_path)
     if isinstance(object_ids, DataFrame):
-        found = archive.join(object_ids.select(id_column).distinct(), id_column, "left_semi")
+        # Broadcast when small: an object with very many rows then never shuffles.
+        found = archive.join(broadcast_if_small(object_ids.select(id_column).distinct()), id_column, "left_semi")
     else:
         found = archive.filter(F.col(id_column).isin(*object_ids))
     return found.select(id_column, *[c for c in columns if c != id_column])

@@ -45,7 +45,9 @@ def _finite(c, digits=6):
 def detections_per_object(spark, sf_dir):
     """Flagship: dated light-curve points per object, band and tag."""
     alerts, _ = archive.with_partitions(derived.ztf_alerts(spark, sf_dir), "time", "ztf")
-    points = lightcurve.lightcurve(alerts, "ztf", ["objectId", "month"], plotted_only=True)
+    points = lightcurve.lightcurve(
+        alerts, "ztf", ["objectId", "month"], plotted_only=True, fields=["fid", "magpsf", "diffmaglim"]
+    )
     return points.groupBy("objectId", "month", "band").agg(
         F.count_if(F.col("tag") == "valid").alias("n_detections"),
         F.count_if(F.col("tag") == "upperlim").alias("n_limits"),

@@ -20,7 +20,7 @@ from skytide.functions import fits, timeconv
 from skytide.operators.decode import encode_alerts
 from skytide.operators.history import attach_history
 from skytide.session import configure, scratch_path, stage
-from skytide.sources.topic_log import LOG_SCHEMA, offset_bounds, to_topic_log
+from skytide.sources.topic_log import LOG_SCHEMA, number_messages, offset_bounds, to_topic_log, write_topic_log
 
 HISTORY_DEPTH = 30
 PARTITIONS = 4
@@ -161,7 +161,9 @@ def mixed_log_path(spark: SparkSession, sf_dir: str) -> str:
     are in the replayed field order, and no key at all."""
 
     def make():
-        rows = event_records(spark, sf_dir)
+        rows = number_messages(
+            event_records(spark, sf_dir), F.col("event_type"), F.col("user_id") % PARTITIONS, ["ts", "event_id"]
+        )
         keys = {"view": json.dumps(EVENT_V2), "signup": "2.0", "click": "1.0", "error": "2.0"}
         key = F.lit(None).cast("string")
         for event_type, text in keys.items():
@@ -173,16 +175,8 @@ def mixed_log_path(spark: SparkSession, sf_dir: str) -> str:
             .unionByName(encode_alerts(rows.filter(~old & ~moved), EVENT_V2))
         )
         path = scratch_path(spark, "mixed-log")
-        to_topic_log(
-            encoded,
-            None,
-            F.col("event_type"),
-            F.col("user_id") % PARTITIONS,
-            key,
-            ["ts", "event_id"],
-            F.timestamp_micros("ts"),
-            path,
-        )
+        meta = {"key": key.cast("binary"), "timestamp": F.timestamp_micros("ts"), "timestampType": F.lit(0)}
+        write_topic_log(encoded.withColumns(meta), path)
         return path
 
     return _once(spark, sf_dir, "mixed-log", make)
@@ -198,11 +192,11 @@ def live_log_path(spark: SparkSession, sf_dir: str) -> str:
 
     def make():
         rows = ztf_measurements(spark, sf_dir)
-        path, names = scratch_path(spark, "live-log"), [f["name"] for f in LIVE_SCHEMA["fields"]]
+        path = scratch_path(spark, "live-log")
         key = F.when(F.col("topic").isin("view", "click"), F.lit(json.dumps(LIVE_SCHEMA))).otherwise(F.lit("3.0"))
         partition = F.col("objectId").cast("bigint") % PARTITIONS
         when = timeconv.jd_to_timestamp("jd")
-        to_topic_log(rows, LIVE_SCHEMA, F.col("topic"), partition, key, ["jd", "candid"], when, path, fields=names)
+        to_topic_log(rows, LIVE_SCHEMA, F.col("topic"), partition, key, ["jd", "candid"], when, path)
         return path
 
     return _once(spark, sf_dir, "live-log", make)
@@ -216,9 +210,16 @@ def bulk_log(spark: SparkSession, sf_dir: str) -> str:
         partition, when = F.col("user_id") % PARTITIONS, F.timestamp_micros("ts")
         nothing = F.lit(None).cast("string")
         to_topic_log(rows, EVENT_V2, F.lit(BULK_TOPIC), partition, nothing, ["ts", "event_id"], when, path)
-        first = rows.orderBy("ts").limit(1).withColumn("value", F.lit(None).cast("binary"))
-        announce, key = F.lit(f"{BULK_TOPIC}_schema"), F.lit(json.dumps(EVENT_V2))
-        to_topic_log(first, None, announce, F.lit(0), key, ["ts"], when, path, append=True)
+        announced = rows.agg(F.min("ts").alias("ts")).select(
+            F.lit(json.dumps(EVENT_V2)).cast("binary").alias("key"),
+            F.lit(None).cast("binary").alias("value"),
+            F.lit(f"{BULK_TOPIC}_schema").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.lit(0).cast("bigint").alias("offset"),
+            F.timestamp_micros("ts").alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        )
+        write_topic_log(announced, path)
         return path
 
     return _once(spark, sf_dir, "bulk-log", make)

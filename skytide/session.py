@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -20,10 +21,11 @@ RUNTIME_CONF = {
     # year=2024/month=01 must read back as the text "01".
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Cutouts make rows wide: keep the batches handed to Python small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
 }
 
 _scratch_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "skytide", master: str | None = None, **conf) -> SparkSession:
@@ -36,12 +38,33 @@ def build_session(app_name: str = "skytide", master: str | None = None, **conf)
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the library relies on to any session."""
+    """Apply the runtime settings the library relies on to any session, and give
+    its Python workers this package."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the workers once per application, so that no cluster
+    node needs it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if os.path.isdir(package):  # already a zip when the driver itself was given one
+        archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "skytide.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for staged tables, from ``spark.checkpoint.dir``.
 

@@ -79,7 +79,7 @@ class BodyReader:
     def over(cls, bodies: pa.Array) -> "BodyReader":
         if isinstance(bodies, pa.ChunkedArray):
             bodies = bodies.combine_chunks()
-        bodies = bodies.fill_null(b"")
+        bodies = bodies.cast(pa.binary()).fill_null(b"")
         offsets = np.frombuffer(bodies.buffers()[1], dtype=np.int32)[bodies.offset : bodies.offset + len(bodies) + 1]
         data = bodies.buffers()[2]
         buf = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)

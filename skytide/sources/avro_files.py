@@ -53,7 +53,9 @@ SYNC_SIZE = 16
 MAX_PARTITION_BYTES = 128 * 1024 * 1024
 OPEN_COST_BYTES = 4 * 1024 * 1024
 FLUSH_BYTES = 32 * 1024 * 1024
-WRITE_BLOCK_BYTES = 64 * 1024
+MIN_PARTITION_BYTES = 256 * 1024
+# Blocks are decoded side by side, so many small ones beat a few large ones.
+WRITE_BLOCK_BYTES = 4 * 1024
 DRIVER_HEADER_FILES = 64
 
 
@@ -415,6 +417,10 @@ def read_alerts(
         .option("avroSchema", json.dumps([avro_schema.parse(s) for s in avro_schemas]))
         .option("logicalTypes", str(logical_types).lower())
     )
+    # As Spark does for its own file formats: full-size partitions for large
+    # inputs, enough of them to use every core for small ones.
+    share = sum(n for _, n in files) // spark.sparkContext.defaultParallelism
+    reader = reader.option("maxPartitionBytes", str(min(MAX_PARTITION_BYTES, max(MIN_PARTITION_BYTES, share))))
     if isinstance(path, list):
         reader = reader.option("paths", json.dumps(path))
     if columns:

@@ -15,6 +15,8 @@ from skytide.session import broadcast_if_small, has_kafka, read_table_if_exists,
 LOG_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
 )
+LOG_NAMES = [c.split()[0] for c in LOG_SCHEMA.split(", ")]
+
 # What a client uses when its configuration says nothing.
 DEFAULT_SERVERS = ("localhost:9093", "localhost:9094", "localhost:9095")
 SECURITY_PROTOCOL = "SASL_PLAINTEXT"
@@ -114,7 +116,7 @@ def read_topics(
         if per_trigger and streaming:
             options["maxOffsetsPerTrigger"] = str(per_trigger)
         source = spark.readStream if streaming else spark.read
-        return source.format("kafka").options(**options).load().select(*[c.split()[0] for c in LOG_SCHEMA.split(", ")])
+        return source.format("kafka").options(**options).load().select(*LOG_NAMES)
     if streaming:
         reader = spark.readStream.schema(LOG_SCHEMA)
         if per_trigger:
@@ -137,9 +139,32 @@ def read_topics(
     return within_ranges(log, [(topics[0], p, o, None) for p, o in sorted(start.items())])
 
 
+def number_messages(df: DataFrame, topic: Column, partition: Column, order: list[str], path: str | None = None) -> DataFrame:
+    """Add ``topic``, ``partition`` and ``offset``, dense per partition in the given
+    order; offsets go on after those of the log at ``path``, if there is one."""
+    placed = df.withColumn("topic", topic).withColumn("partition", partition.cast("int"))
+    numbered = number_rows(placed, ["topic", "partition"], order, "offset", "messages")
+    existing = read_table_if_exists(df.sparkSession, path, LOG_SCHEMA) if path else None
+    if existing is None:
+        return numbered
+    ends = broadcast_if_small(offset_bounds(existing).select("topic", "partition", "hi"))
+    return (
+        numbered.join(ends, ["topic", "partition"], "left")
+        .withColumn("offset", F.col("offset") + F.coalesce("hi", F.lit(0)))
+        .drop("hi")
+    )
+
+
+def write_topic_log(messages: DataFrame, path: str) -> None:
+    """Append encoded messages. Laid out by topic so that a subscription reads
+    only its own folders; numbered messages come in offset order, so a file
+    holds a contiguous range and offset filters skip whole row groups."""
+    messages.select(*LOG_NAMES).write.mode("append").partitionBy("topic").parquet(path)
+
+
 def to_topic_log(
     df: DataFrame,
-    schema: str | dict | None,
+    schema: str | dict,
     topic: Column,
     partition: Column,
     key: Column,
@@ -147,33 +172,16 @@ def to_topic_log(
     timestamp: Column,
     path: str,
     fields: list[str] | None = None,
-    append: bool = False,
 ) -> None:
-    """Encode rows and write them as a topic log, offsets dense per partition.
+    """Number rows, encode them and append them to a topic log.
 
-    Without a schema the rows must already have a ``value``. Laid out by topic so that a subscription reads only its own folders; files
-    hold contiguous offset ranges, so offset filters skip whole row groups.
+    Numbering comes first: it passes over its input twice, encoding once.
     """
-    body = df if schema is None else encode_alerts(df, schema, fields, "value")
-    messages = body.select(
-        *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)],
-        key.cast("binary").alias("key"),
-        "value",
-        topic.alias("topic"),
-        partition.cast("int").alias("partition"),
-        timestamp.cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
-    numbered = number_rows(messages, ["topic", "partition"], [f"_order{i}" for i in range(len(order))], "offset", "log")
-    existing = read_table_if_exists(df.sparkSession, path, LOG_SCHEMA) if append else None
-    if existing is not None:
-        ends = broadcast_if_small(offset_bounds(existing).select("topic", "partition", "hi"))
-        numbered = numbered.join(ends, ["topic", "partition"], "left").withColumn(
-            "offset", F.col("offset") + F.coalesce("hi", F.lit(0))
-        )
-    (
-        numbered.select(*[c.split()[0] for c in LOG_SCHEMA.split(", ")])
-        .write.mode("append" if append else "errorifexists")
-        .partitionBy("topic")
-        .parquet(path)
+    numbered = number_messages(df, topic, partition, order, path)
+    encoded = encode_alerts(numbered, schema, fields, "value")
+    write_topic_log(
+        encoded.withColumns(
+            {"key": key.cast("binary"), "timestamp": timestamp.cast("timestamp"), "timestampType": F.lit(0)}
+        ),
+        path,
     )

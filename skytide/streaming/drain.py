@@ -44,6 +44,7 @@ class TransferJob:
     schema: str | None = None
     columns: list[str] | None = None
     with_offsets: bool = False
+    gather_partitions: bool = False
     generation: int = 0
     per_trigger: int | None = None
     naming: Naming = field(default=DEFAULT_NAMING)
@@ -146,6 +147,8 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
     if job.out_format == "avro":
         write_avro(rows, folder, mode="overwrite")
     else:
+        # A backlog of many days on many tasks would give tasks x days files.
+        rows = rows.hint("rebalance", *partitions) if job.gather_partitions and partitions else rows
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
     record_run(spark, runs_path, job.group, run_id, ranges, done=True)
     return sum(end - start for _, _, start, end in ranges)
