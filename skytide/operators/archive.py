@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from skytide.functions.timeconv import date_parts
 from skytide.naming import DEFAULT_NAMING, Naming, layout
-from skytide.session import read_table_if_exists, stage
+from skytide.session import broadcast_if_small, read_table_if_exists, stage
 
 DATE_COLUMNS = ["year", "month", "day"]
 FORMATS = ("parquet", "avro")
@@ -75,14 +75,30 @@ def append_parquet(df: DataFrame, path: str, partitions: list[str], gather: bool
     df.write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def latest_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """Keep the last row of each key.
+def latest_per_key(df: DataFrame, key: list[str], order: list[str], first: bool = False) -> DataFrame:
+    """Keep the last (or first) row of each key.
 
     Spark turns the rank filter into a limit inside each map task first, so a
     key with very many copies is cut down before the shuffle.
     """
-    newest = W.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
+    best = W.partitionBy(*key).orderBy(*[F.col(c) if first else F.col(c).desc() for c in order])
+    return df.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def _clash(keys: DataFrame, key: list[str], path: str) -> None:
+    first = keys.select(*key).limit(1).collect()
+    if first:
+        raise IOError(f"alert {'_'.join(str(v) for v in first[0])} already exists in {path}")
+
+
+def _in_partitions_of(stored: DataFrame, rows: DataFrame, partitions: list[str]) -> DataFrame:
+    """Stored rows of the partitions that ``rows`` fall into; the match on partition
+    columns lets Spark skip all other folders."""
+    match = F.lit(True)
+    for c in partitions:
+        match = match & F.col(f"s.{c}").cast("string").eqNullSafe(F.col(f"t.{c}").cast("string"))
+    touched = broadcast_if_small(rows.select(*partitions).distinct())
+    return stored.alias("s").join(touched.alias("t"), match, "left_semi")
 
 
 def archive_alerts(
@@ -92,51 +108,87 @@ def archive_alerts(
     mode: str = "error",
     partitions: list[str] | None = None,
     order: list[str] | None = None,
+    trust_partitions: bool = False,
 ) -> None:
     """Store alerts so that each key is held once.
 
     ``error`` refuses a key that is already stored, ``ignore`` keeps the stored
     row, ``overwrite`` replaces it. Several rows of one key in the input: the
     last by ``order`` counts, except that ``error`` refuses them. A partition
-    value must follow from the key; only partitions an overwrite touches are
-    rewritten, from a staged copy, so nothing is read and replaced in one plan.
+    value must follow from the key; this is checked against all stored keys
+    unless ``trust_partitions`` says it holds, in which case only partitions the
+    input falls into are looked at. An overwrite rewrites those partitions from
+    a staged copy, so nothing is read and replaced in one plan.
+
+    The stored side is read for its key columns only and is the streamed side
+    of every join, so a small input is broadcast and the archive never shuffled.
     """
     if mode not in STORE_MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(STORE_MODES)}")
     partitions = partitions or []
     spark = df.sparkSession
-    existing = read_table_if_exists(spark, path)
+    stored = read_table_if_exists(spark, path)
     if mode == "error":
-        # Read three times below: decode or compute the rows once.
-        df = stage(df, "incoming-alerts")
-        twice = df.groupBy(*key).count().filter(F.col("count") > 1).select(*key)
-        held = twice if existing is None else twice.unionByName(df.join(existing, key, "left_semi").select(*key))
-        clash = held.limit(1).collect()
-        if clash:
-            raise IOError(f"alert {'_'.join(str(v) for v in clash[0])} already exists in {path}")
-        append_parquet(df, path, partitions)
-        return
-    fresh = latest_per_key(df, key, order or key)
-    if existing is None:
+        fresh = stage(df, "fresh-alerts")
+        _clash(fresh.groupBy(*key).count().filter(F.col("count") > 1), key, path)
+    else:
+        fresh = latest_per_key(df, key, order or key)
+        if stored is not None:
+            fresh = stage(fresh, "fresh-alerts")
+    if stored is None:
         append_parquet(fresh, path, partitions)
         return
-    if mode == "ignore":
-        append_parquet(fresh.join(existing.select(*key), key, "left_anti").select(*df.columns), path, partitions)
+    fresh_keys = broadcast_if_small(fresh.select(*key, *partitions))
+    near = _in_partitions_of(stored, fresh, partitions) if trust_partitions and partitions else stored
+    if mode != "overwrite":
+        held = near.select(*key).join(fresh_keys.select(*key), key, "left_semi")
+        if mode == "error":
+            _clash(held, key, path)
+            append_parquet(fresh, path, partitions)
+        else:
+            append_parquet(fresh.join(held.distinct(), key, "left_anti").select(*df.columns), path, partitions)
         return
-    fresh = stage(fresh, "fresh-alerts")
-    if partitions:
-        moved = existing.select(*key, *partitions).alias("o").join(fresh.select(*key, *partitions).alias("n"), key)
+    if partitions and not trust_partitions:
         differs = F.lit(False)
         for c in partitions:
             differs = differs | ~F.col(f"o.{c}").cast("string").eqNullSafe(F.col(f"n.{c}").cast("string"))
-        if not moved.filter(differs).isEmpty():
+        moved = stored.select(*key, *partitions).alias("o").join(fresh_keys.alias("n"), key).filter(differs)
+        if not moved.isEmpty():
             raise ValueError("a stored alert would move to another partition: partition values must follow from the key")
-        touched = fresh.select(*partitions).distinct()
-        match = F.lit(True)
-        for c in partitions:
-            match = match & F.col(f"e.{c}").cast("string").eqNullSafe(F.col(f"t.{c}").cast("string"))
-        existing = existing.alias("e").join(touched.alias("t"), match, "left_semi")
-    kept = existing.join(fresh.select(*key), key, "left_anti")
-    merged = stage(fresh.unionByName(kept.select(*[F.col(c).cast(fresh.schema[c].dataType) for c in df.columns])), "merged-alerts")
+        near = _in_partitions_of(stored, fresh, partitions)
+    kept = near.join(fresh_keys.select(*key), key, "left_anti")
+    same_types = [F.col(c).cast(fresh.schema[c].dataType) for c in df.columns]
+    merged = stage(fresh.unionByName(kept.select(*same_types)), "merged-alerts")
     writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(path)
+
+
+# -- append-only store ----------------------------------------------------------
+BATCH = "batch"
+
+
+def store_batch(
+    df: DataFrame, path: str, batch_id: int, key: list[str], mode: str = "overwrite", partitions: list[str] | None = None
+) -> None:
+    """Add one micro-batch of a stream to a keyed store.
+
+    Each batch has a folder of its own, so repeating a batch replaces it and no
+    stored row is ever rewritten; which version of a key counts is settled by
+    ``read_store``. Only ``error`` looks at earlier batches.
+    """
+    if mode not in STORE_MODES:
+        raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(STORE_MODES)}")
+    if mode == "error":
+        _clash(df.groupBy(*key).count().filter(F.col("count") > 1), key, path)
+        stored = read_table_if_exists(df.sparkSession, path)
+        if stored is not None:
+            earlier = stored.filter(F.col(BATCH).cast("bigint") != batch_id).select(*key)
+            _clash(earlier.join(broadcast_if_small(df.select(*key)), key, "left_semi"), key, path)
+    df.write.mode("overwrite").partitionBy(*(partitions or [])).parquet(f"{path}/{BATCH}={batch_id}")
+
+
+def read_store(spark: SparkSession, path: str, key: list[str], order: list[str], mode: str = "overwrite") -> DataFrame:
+    """The store as one row per key: the last version stored, or the first one
+    for a store kept in ``ignore`` mode."""
+    rows = spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    return latest_per_key(rows, key, [BATCH, *order], first=mode == "ignore")

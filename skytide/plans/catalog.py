@@ -16,7 +16,7 @@ from skytide.sources.avro_files import read_alerts, write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, struct_type_to_avro, superset
 from skytide.sources.topic_log import read_topics
 from skytide.streaming.drain import TransferJob, drain_topic, transfer_limited
-from skytide.streaming.live import LiveJob, start_live
+from skytide.streaming.live import LiveJob, start_live, stored_alerts
 
 NAMING = Naming(namespace="survey", portal_host="portal.example.org")
 
@@ -465,8 +465,7 @@ def live_stream(spark, sf_dir):
         archive=scratch_path(spark, "live-archive"),
     )
     start_live(spark, job, available_now=True).awaitTermination()
-    stored = spark.read.parquet(job.archive)
-    return stored.select("topic", "partition", "alert_key", "magpsf")
+    return stored_alerts(spark, job).select("topic", "partition", "alert_key", "magpsf")
 
 
 # -- keyed archive ------------------------------------------------------------

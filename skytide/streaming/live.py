@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytide.naming import DEFAULT_NAMING, Naming
-from skytide.operators.archive import archive_alerts
+from skytide.operators.archive import read_store, store_batch, with_partitions
 from skytide.operators.decode import decode_alerts
 from skytide.operators.outbox import notification_outbox, throttle
 from skytide.operators.summary import alert_key, alert_summary
@@ -31,6 +31,7 @@ class LiveJob:
     per_trigger: int | None = None
     archive: str | None = None
     archive_mode: str = "overwrite"
+    partition_by: str | None = "time"
     outbox: str | None = None
     topic_config: DataFrame | None = None
     kinds: list[str] = field(default_factory=list)
@@ -56,7 +57,8 @@ def _batch_action(job: LiveJob):
             # own folder or key, so a replayed batch replaces what it wrote.
             if job.archive:
                 keyed = alerts.withColumn("alert_key", alert_key(alerts, job.survey, job.naming))
-                archive_alerts(keyed, job.archive, ["alert_key"], job.archive_mode, order=["partition", "offset"])
+                dated, partitions = with_partitions(keyed, job.partition_by, job.survey, job.naming)
+                store_batch(dated, job.archive, batch_id, ["alert_key"], job.archive_mode, partitions)
             if job.outbox and job.kinds:
                 messages = notification_outbox(
                     alerts, job.topic_config, job.survey, job.kinds, job.naming, extra=["partition", "offset"]
@@ -85,3 +87,8 @@ def start_live(spark: SparkSession, job: LiveJob, available_now: bool = False):
     if job.poll_seconds:
         return query.trigger(processingTime=f"{job.poll_seconds} seconds").start()
     return query.start()
+
+
+def stored_alerts(spark: SparkSession, job: LiveJob) -> DataFrame:
+    """What the live query has archived, one row per alert key."""
+    return read_store(spark, job.archive, ["alert_key"], ["partition", "offset"], job.archive_mode)

@@ -114,3 +114,22 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
 
 def test_missing_table_is_none(spark, path):
     assert read_table_if_exists(spark, path) is None
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "ignore", "error"])
+def test_trusted_partitions_give_the_same_result(spark, path, mode):
+    first = [(1, "a", "x", 0), (2, "a", "x", 0), (3, "a", "y", 0), (4, "a", None, 0)]
+    later = [(5, "b", "x", 0)] if mode == "error" else [(2, "b", "x", 0), (4, "b", None, 0), (5, "b", "z", 0)]
+    for trust in (False, True):
+        target = f"{path}-{trust}"
+        archive.archive_alerts(frame(spark, first), target, ["id"], "error", ["p"], ["seq"], trust)
+        archive.archive_alerts(frame(spark, later), target, ["id"], mode, ["p"], ["seq"], trust)
+        got = sorted(((r.id, r.v, r.p) for r in spark.read.parquet(target).collect()), key=str)
+        base = {r[0]: r[:3] for r in first}
+        for r in later:
+            if mode != "ignore" or r[0] not in base:
+                base[r[0]] = r[:3]
+        assert got == sorted(base.values(), key=str)
+    if mode == "error":
+        with pytest.raises(IOError):
+            archive.archive_alerts(frame(spark, [(4, "c", None, 0)]), target, ["id"], mode, ["p"], ["seq"], True)

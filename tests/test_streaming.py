@@ -4,13 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from skytide.operators import offsets
+from skytide.operators.archive import read_store, store_batch
 from skytide.session import scratch_path, small_table
 from skytide.sources.avro_files import read_alerts
 from skytide.sources.avro_schema import avro_to_struct_type
 from skytide.sources.topic_log import LOG_SCHEMA, to_topic_log, write_topic_log
 from skytide.streaming import drain
 from skytide.streaming.drain import TransferJob, drain_topic, start_drain, transfer_limited
-from skytide.streaming.live import LiveJob, start_live
+from skytide.streaming.live import LiveJob, start_live, stored_alerts
 
 TOPIC = "ftransfer_ztf_2026-03-23_11487"
 SCHEMA = {
@@ -223,7 +224,7 @@ def test_live_saves_notifies_and_summarises(spark, live_log):
         topic_config=config, kinds=["telegram"], summary=scratch_path(spark, "summary"), display=True,
     )
     start_live(spark, live, available_now=True).awaitTermination()
-    stored = spark.read.parquet(live.archive)
+    stored = stored_alerts(spark, live)
     assert sorted(r.alert_key for r in stored.collect()) == sorted(f"ZTF{i % 7}_{i}" for i in range(20))
     box = spark.read.parquet(live.outbox)
     assert box.count() == 20 and box.filter("route_status = 'routed'").count() == 10
@@ -232,7 +233,31 @@ def test_live_saves_notifies_and_summarises(spark, live_log):
     # New messages only, and a repeated alert replaces itself.
     add_messages(spark, live_log, 18, 4, "two", json.dumps(SCHEMA))
     start_live(spark, live, available_now=True).awaitTermination()
-    assert spark.read.parquet(live.archive).count() == 22
+    assert stored_alerts(spark, live).count() == 22
+    assert spark.read.parquet(live.archive).count() == 24
+
+
+def test_store_keeps_first_or_last_and_replays_a_batch(spark, path):
+    def batch(rows):
+        return spark.createDataFrame(rows, "k int, v string, o int")
+
+    def seen(mode):
+        return sorted((r.k, r.v) for r in read_store(spark, path, ["k"], ["o"], mode).collect())
+
+    store_batch(batch([(1, "a", 0), (2, "a", 1), (2, "b", 2)]), path, 0, ["k"])
+    for _ in range(2):
+        store_batch(batch([(1, "c", 0), (3, "c", 1)]), path, 10, ["k"])
+    store_batch(batch([(3, "d", 0)]), path, 9, ["k"])
+    assert seen("overwrite") == [(1, "c"), (2, "b"), (3, "c")]
+    assert seen("ignore") == [(1, "a"), (2, "a"), (3, "d")]
+    with pytest.raises(IOError, match="alert 1 already exists"):
+        store_batch(batch([(1, "x", 0)]), path, 11, ["k"], "error")
+    with pytest.raises(IOError, match="alert 5 already exists"):
+        store_batch(batch([(5, "x", 0), (5, "y", 1)]), path, 11, ["k"], "error")
+    for _ in range(2):  # a repeated batch does not clash with itself
+        store_batch(batch([(6, "x", 0)]), path, 11, ["k"], "error")
+    with pytest.raises(ValueError):
+        store_batch(batch([]), path, 12, ["k"], "merge")
 
 
 def test_live_dead_letters(spark, live_log):
