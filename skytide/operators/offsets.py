@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skytide.session import broadcast_if_small, read_table_if_exists, small_table
-from skytide.sources.topic_log import offset_bounds, within_ranges
+from skytide.session import read_table_if_exists, small_table
+from skytide.sources.topic_log import offset_bounds, read_topics, within_ranges
 
 RUNS_SCHEMA = (
     "consumer_group string, topic string, partition int, start bigint, end bigint, seq bigint, run_id string, done boolean"
@@ -164,18 +164,31 @@ def plan_range(bounds: DataFrame, committed: DataFrame, limit: int | None) -> Da
     return lags.select("topic", "partition", "start", (F.col("start") + granted).alias("end"))
 
 
-def bounded_read(log: DataFrame, committed: DataFrame, limit: int | None) -> tuple[DataFrame, list[Range]]:
-    """The next ``limit`` messages after the committed offsets, and the ranges
-    (topic, partition, start, end) they come from, to be committed once the
-    messages are safely stored. Only one row per topic partition comes to the
-    driver."""
+def plan_ranges(log: DataFrame, committed: DataFrame, limit: int | None) -> list[Range]:
+    """The plan as rows on the driver, one per topic partition."""
     plan = plan_range(offset_bounds(log), committed, limit).collect()
-    ranges = [(r.topic, r.partition, r.start, r.end) for r in plan if r.end > r.start]
+    return sorted((r.topic, r.partition, r.start, r.end) for r in plan)
+
+
+def read_ranges(spark: SparkSession, ranges: list[Range], path: str | None, kafka: dict | None = None) -> DataFrame:
+    """The messages of planned ranges, from a topic-log table or from Kafka."""
+    topics = sorted({r[0] for r in ranges})
+    if path is None:
+        return read_topics(spark, topics, kafka={**(kafka or {}), "ranges": kafka_range_options(ranges)})
+    return within_ranges(read_topics(spark, topics, path), [r for r in ranges if r[3] > r[2]])
+
+
+def bounded_read(log: DataFrame, committed: DataFrame, limit: int | None) -> tuple[DataFrame, list[Range]]:
+    """The next ``limit`` messages of a topic-log table after the committed
+    offsets, and the ranges they come from, to be committed once the messages
+    are safely stored."""
+    ranges = [r for r in plan_ranges(log, committed, limit) if r[3] > r[2]]
     return within_ranges(log, ranges), ranges
 
 
 def kafka_range_options(ranges: list[Range]) -> dict[str, str]:
-    """The same plan as options of a batch read of Kafka."""
+    """A plan as options of a batch read of Kafka."""
+
     def by_topic(pick):
         out: dict[str, dict[str, int]] = {}
         for row in ranges:

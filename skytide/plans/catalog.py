@@ -381,6 +381,18 @@ def multi_schema_union(spark, sf_dir):
     )
 
 
+def dead_letters(spark, sf_dir):
+    """Messages no known schema fits: an unregistered version, a field order that
+    was never registered, a missing key."""
+    target = superset([derived.EVENT_V1, derived.EVENT_V2])
+    only = {"2.0": derived.REGISTRY["2.0"]}
+    decoded = decode.decode_alerts(derived.mixed_log(spark, sf_dir), target, only, mode="PERMISSIVE")
+    return decoded.filter(F.col("error").isNotNull()).select(
+        "topic", "partition", "offset", "schema_id", F.col("alert").isNull().alias("no_alert"),
+        F.col("error").startswith("unknown").alias("unknown_schema"),
+    )
+
+
 def schema_table(spark, sf_dir):
     """Schemas seen in the keys of the log, with how often each topic used one."""
     log = derived.mixed_log(spark, sf_dir)
@@ -526,6 +538,16 @@ def plain_fits(spark, sf_dir):
     return plain.select("diaSourceId", F.length("fits").alias("n_bytes"), F.substring("fits", 1, 6).cast("string").alias("head"))
 
 
+def object_cutout(spark, sf_dir):
+    """Science cutouts of the archived alerts with one label."""
+    path = scratch_path(spark, "cutout-archive")
+    archive.append_parquet(derived.image_alerts(spark, sf_dir), path, ["label"])
+    found = cutouts.object_cutout(spark, path, {"label": 1}, "Science", "lsst")
+    top = F.slice("pixels", 1, F.col("width"))
+    total = F.aggregate(top, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    return found.select("diaSourceId", "height", F.round(total, 5).alias("top_row_sum"))
+
+
 # -- notifications ------------------------------------------------------------
 def topic_config(spark: SparkSession) -> DataFrame:
     rows = [
@@ -572,9 +594,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         legal_topic_name, legal_topic_text, markdown_escape, tag_topic_name,
         topic_log, offset_lag, offset_totals, nonempty_partitions, last_offsets, partition_counts,
         partition_sizes, backlog_report, start_offsets,
-        avro_roundtrip, avro_files_roundtrip, avro_files_union, multi_schema_union, schema_table,
+        avro_roundtrip, avro_files_roundtrip, avro_files_union, multi_schema_union, dead_letters, schema_table,
         drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, live_stream,
         archive_overwrite, archive_ignore, latest_per_object,
-        cutout_stats, cutouts_long, plain_fits, notification_outbox, outbox_throttle,
+        cutout_stats, cutouts_long, object_cutout, plain_fits, notification_outbox, outbox_throttle,
     )
 }

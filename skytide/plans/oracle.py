@@ -274,6 +274,12 @@ WITH {_LOG}
 SELECT topic, part AS "partition", off AS "offset", event_type = 'error' AS replayed, event_id, value,
        CASE WHEN event_type <> 'click' THEN props END AS props
 FROM log""",
+    "dead_letters": f"""
+WITH {_LOG}
+SELECT topic, part AS "partition", off AS "offset",
+       CASE topic WHEN 'click' THEN '1.0' WHEN 'error' THEN '2.0' ELSE '' END AS schema_id,
+       TRUE AS no_alert, topic <> 'error' AS unknown_schema
+FROM log WHERE topic IN ('click', 'error', 'purchase')""",
     "schema_table": """
 SELECT event_type AS topic, 'event' AS schema_name, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY ALL""",
     "drain_archive": _PLAIN,
@@ -306,6 +312,10 @@ WITH px AS (
 SELECT vec_id AS diaSourceId, height - 1 - i // 8 AS y, round(sum(CAST(v AS DOUBLE)), 5) AS row_sum,
        round(max(CAST(v AS DOUBLE)), 6) AS row_max
 FROM px GROUP BY ALL""",
+    "object_cutout": """
+SELECT vec_id AS diaSourceId, len(embedding) // 8 AS height,
+       round(list_sum(list_transform(embedding[-8:], lambda x: CAST(x AS DOUBLE))), 5) AS top_row_sum
+FROM embeddings WHERE label = 1""",
     "plain_fits": """
 SELECT vec_id AS diaSourceId, 2880 + 2880 * CAST(ceil(len(embedding) * 4 / 2880) AS INTEGER) AS n_bytes, 'SIMPLE' AS head
 FROM embeddings""",

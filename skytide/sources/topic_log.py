@@ -113,6 +113,7 @@ def read_topics(
         options = kafka_options(kafka or {})
         options["subscribe"] = ",".join(topics)
         options["startingOffsets"] = starting_offsets_json(topics[0] if topics else "", start)
+        options.update((kafka or {}).get("ranges", {}))
         if per_trigger and streaming:
             options["maxOffsetsPerTrigger"] = str(per_trigger)
         source = spark.readStream if streaming else spark.read

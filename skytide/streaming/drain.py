@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 from skytide.naming import DEFAULT_NAMING, SCHEMA_TOPIC_SUFFIX, Naming
 from skytide.operators.archive import check_archive_arguments, with_partitions
 from skytide.operators.decode import decode_alerts, topic_schema
-from skytide.operators.offsets import bounded_read, read_committed, record_run, unfinished_run
+from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, unfinished_run
 from skytide.operators.topics import check_transfer_topic
 from skytide.sources.avro_files import write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, prune
 from skytide.session import open_filesystem
-from skytide.sources.topic_log import read_topics, within_ranges
+from skytide.sources.topic_log import read_topics
 
 # Fixed value: empty looks at a topic before it counts as drained.
 MAX_IDLE = 4
@@ -99,8 +99,19 @@ def start_drain(spark: SparkSession, job: TransferJob, schema: str | None = None
     return query.format("parquet").option("path", job.output).outputMode("append").partitionBy(*partitions).start()
 
 
-def rows_read(query) -> int:
-    return sum(p["numInputRows"] for p in query.recentProgress)
+def run_to_end(query, poll_seconds: float = 1.0) -> int:
+    """Wait for a bounded query and return how many messages it read.
+
+    Spark keeps only the latest progress reports, so they are gathered while
+    the query runs.
+    """
+    rows: dict[int, int] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(poll_seconds)
+        for report in query.recentProgress:
+            rows[report["batchId"]] = max(rows.get(report["batchId"], 0), report["numInputRows"])
+    return sum(rows.values())
 
 
 def drain_topic(spark: SparkSession, job: TransferJob, max_idle: int = MAX_IDLE) -> int:
@@ -109,11 +120,7 @@ def drain_topic(spark: SparkSession, job: TransferJob, max_idle: int = MAX_IDLE)
     schema = job.writer_schema(spark)
     moved = idle = 0
     while idle < max_idle:
-        query = start_drain(spark, job, schema)
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
-        found = rows_read(query)
+        found = run_to_end(start_drain(spark, job, schema))
         moved += found
         idle = 0 if found else idle + 1
     return moved
@@ -131,17 +138,17 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
     filesystem, inner = open_filesystem(job.output)
     if filesystem.get_file_info(f"{inner}/_spark_metadata").type != FileType.NotFound:
         raise ValueError(f"{job.output} belongs to a streaming drain; bounded runs need an archive of their own")
-    log = read_topics(spark, [job.topic], job.log_path, kafka=job.kafka)
     pending = unfinished_run(spark, runs_path, job.group, job.topic)
     if pending is not None:
         run_id, ranges = pending
-        batch = within_ranges(log, ranges)
     else:
-        batch, ranges = bounded_read(log, read_committed(spark, runs_path, job.group), limit)
-        if not ranges:
+        log = read_topics(spark, [job.topic], job.log_path, kafka=job.kafka)
+        ranges = plan_ranges(log, read_committed(spark, runs_path, job.group), limit)
+        if not any(end > start for _, _, start, end in ranges):
             return 0
         run_id = uuid.uuid4().hex
         record_run(spark, runs_path, job.group, run_id, ranges, done=False)
+    batch = read_ranges(spark, ranges, job.log_path, job.kafka)
     rows, partitions = decoded_rows(batch, job, job.writer_schema(spark))
     folder = f"{job.output}/run={run_id}"
     if job.out_format == "avro":
