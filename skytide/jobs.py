@@ -20,7 +20,7 @@ from skytide.session import build_session
 from skytide.sources.avro_schema import superset
 from skytide.sources.topic_log import LOG_SCHEMA, read_topics
 from skytide.streaming.drain import MAX_IDLE, TransferJob, drain_topic, transfer_limited
-from skytide.streaming.live import LiveJob, start_live
+from skytide.streaming.live import LiveJob, run_limited, start_live
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -60,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--dead-letters")
     stream.add_argument("--display", action="store_true")
     stream.add_argument("--poll-seconds", type=float)
+    stream.add_argument("--limit", type=int, help="handle this many alerts as one batch, then stop")
     stream.add_argument("--until-drained", action="store_true", help="stop when nothing is left")
 
     listing = commands.add_parser("topics", parents=[shared], help="topics and their service")
@@ -123,7 +124,11 @@ def _stream(spark: SparkSession, args, naming: Naming) -> None:
         poll_seconds=args.poll_seconds,
         naming=naming,
     )
-    start_live(spark, job, available_now=args.until_drained).awaitTermination()
+    if args.limit is not None:
+        handled = run_limited(spark, job, f"{args.checkpoint.rstrip('/')}-runs", args.limit)
+        print(f"{handled} alerts handled")
+    else:
+        start_live(spark, job, available_now=args.until_drained).awaitTermination()
 
 
 def main(argv: list[str] | None = None) -> None:

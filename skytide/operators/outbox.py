@@ -88,16 +88,36 @@ def notification_outbox(
     )
 
 
-def throttle(outbox: DataFrame, order: list[str], start: Column, spacing: dict[str, int] | None = None) -> DataFrame:
+def throttle(
+    outbox: DataFrame,
+    order: list[str],
+    start: Column,
+    spacing: dict[str, int] | None = None,
+    busy_until: DataFrame | None = None,
+) -> DataFrame:
     """Add ``not_before``: messages of one channel are spaced out in order.
 
-    Places in a channel's queue come from ranged numbering, so one channel that
-    takes most messages is still spread over many tasks.
+    A channel starts at ``start``, or one gap after the message it is already
+    waiting to send (``busy_until``: kind, channel, last). Places in a queue
+    come from ranged numbering, so one channel that takes most messages is
+    still spread over many tasks.
     """
     seconds = F.lit(0)
     for kind, gap in (spacing or SPACING_SECONDS).items():
         seconds = F.when(F.col("kind") == kind, F.lit(gap)).otherwise(seconds)
+    gap_micros = seconds.cast("bigint") * 1000000
     placed = number_rows(outbox, ["kind", "channel"], order, "queue_position", "outbox")
-    delay = (F.col("queue_position") * seconds).cast("bigint")
-    due = F.timestamp_micros(F.unix_micros(start) + delay * 1000000)
-    return placed.withColumn("not_before", F.when(F.col("route_status") == ROUTED, due))
+    first = F.unix_micros(start)
+    if busy_until is not None:
+        waiting = busy_until.select("kind", "channel", F.unix_micros("last").alias("_last"))
+        placed = placed.join(broadcast_if_small(waiting), ["kind", "channel"], "left")
+        first = F.greatest(first, F.col("_last") + gap_micros)
+    due = F.timestamp_micros(first + F.col("queue_position") * gap_micros)
+    return placed.withColumn("not_before", F.when(F.col("route_status") == ROUTED, due)).select(
+        *outbox.columns, "queue_position", "not_before"
+    )
+
+
+def channels_busy_until(sent: DataFrame, now: Column) -> DataFrame:
+    """Per channel the last message that still waits to be sent."""
+    return sent.filter(F.col("not_before") > now).groupBy("kind", "channel").agg(F.max("not_before").alias("last"))

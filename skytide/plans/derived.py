@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from skytide.functions import fits, timeconv
 from skytide.operators.decode import encode_alerts
-from skytide.operators.history import attach_history
+from skytide.plans.history import attach_history
 from skytide.session import configure, scratch_path, stage
 from skytide.sources.topic_log import LOG_SCHEMA, number_messages, offset_bounds, to_topic_log, write_topic_log
 

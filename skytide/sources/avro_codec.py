@@ -28,6 +28,7 @@ _NATURAL = {
     "string": pa.string(),
 }
 
+_NUMBERS = ("boolean", "int", "long", "float", "double")
 _ZIGZAG = np.array([(b >> 1) ^ -(b & 1) for b in range(128)], dtype=np.int64)
 
 
@@ -117,16 +118,33 @@ class BodyReader:
         sign = (~(value & np.uint64(1))) + np.uint64(1)
         return ((value >> np.uint64(1)) ^ sign).view(np.int64)
 
-    def _fixed(self, rows: np.ndarray, width: int, source: np.ndarray) -> np.ndarray:
+    def _fixed(self, rows: np.ndarray, width: int, source: np.ndarray, want: bool) -> np.ndarray | None:
         p = self.pos[rows]
-        bad = p + width > self.end[rows]
+        after = p + width
+        bad = after > self.end[rows]
         if bad.any():
             self.fail(rows[bad])
             p[bad] = 0
-            self.pos[rows[~bad]] += width
+            self.pos[rows[~bad]] = after[~bad]
         else:
-            self.pos[rows] += width
-        return source[p]
+            self.pos[rows] = after
+        return source[p] if want else None
+
+    def _numbers(self, kind: str, rows: np.ndarray, want: bool = True) -> np.ndarray | None:
+        if kind == "double":
+            return self._fixed(rows, 8, self._f8, want)
+        if kind == "float":
+            return self._fixed(rows, 4, self._f4, want)
+        if kind == "boolean":
+            value = self._fixed(rows, 1, self.buf, want)
+            return value != 0 if want else None
+        value = self.read_long(rows)
+        if kind == "int":
+            wrong = (value > 2147483647) | (value < -2147483648)
+            if wrong.any():
+                self.fail(rows[wrong])
+            value = value.astype(np.int32)
+        return value
 
     def _slices(self, rows: np.ndarray, want: bool) -> pa.Array | None:
         size = self.read_long(rows)
@@ -184,20 +202,9 @@ class BodyReader:
             out = self._slices(rows, target is not None)
             if out is not None and kind == "string":
                 out = self._text(rows, out)
-        elif kind == "double":
-            out = pa.array(self._fixed(rows, 8, self._f8))
-        elif kind == "float":
-            out = pa.array(self._fixed(rows, 4, self._f4))
-        elif kind == "boolean":
-            out = pa.array(self._fixed(rows, 1, self.buf) != 0)
         else:
-            value = self.read_long(rows)
-            if kind == "int":
-                wrong = (value > 2147483647) | (value < -2147483648)
-                if wrong.any():
-                    self.fail(rows[wrong])
-                value = value.astype(np.int32)
-            out = pa.array(value)
+            value = self._numbers(kind, rows, target is not None)
+            out = pa.array(value) if target is not None else None
         if target is None:
             return None
         if pa.types.is_timestamp(target) and pa.types.is_int64(out.type):
@@ -211,7 +218,10 @@ class BodyReader:
         wrong = (choice < 0) | (choice >= len(branches))
         if wrong.any():
             self.fail(rows[wrong])
-        kept = [b for b in branches if b != "null"][:1]
+        values = [b for b in branches if b != "null"]
+        kept = values[:1]
+        if target is not None and len(values) == 1 and _kind(values[0]) in _NUMBERS and not pa.types.is_timestamp(target):
+            return self._optional_numbers(_kind(values[0]), rows, choice == branches.index(values[0]), target)
         result = None
         for i, branch in enumerate(branches):
             if branch == "null":
@@ -238,6 +248,18 @@ class BodyReader:
             return None
         return pa.nulls(len(rows), target) if result is None else result
 
+    def _optional_numbers(self, kind, rows, present, target):
+        """The common case, a number or null, without an Arrow array in between."""
+        at = np.flatnonzero(present)
+        if at.size == rows.size:
+            out = pa.array(self._numbers(kind, rows))
+        else:
+            part = self._numbers(kind, rows[at])
+            full = np.zeros(len(rows), dtype=part.dtype)
+            full[at] = part
+            out = pa.array(full, mask=~present)
+        return out if out.type == target else out.cast(target)
+
     def _record(self, record, rows, target):
         columns = {}
         for field in record["fields"]:

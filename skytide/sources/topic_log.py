@@ -62,28 +62,32 @@ def offset_bounds(log: DataFrame) -> DataFrame:
     )
 
 
-def within_ranges(log: DataFrame, ranges: list[tuple[str, int, int | None, int | None]]) -> DataFrame:
-    """Rows whose offset lies in ``[start, end)`` of their topic partition.
+def within_ranges(
+    log: DataFrame, ranges: list[tuple[str, int, int | None, int | None]], others: bool = False
+) -> DataFrame:
+    """Rows whose offset lies in ``[start, end)`` of their topic partition; with
+    ``others`` also all rows of partitions that are not listed.
 
     A few hundred ranges become a filter the Parquet scan can use; more become
     a join with the (small) table of ranges.
     """
     if len(ranges) <= _MAX_FILTER_TERMS:
-        keep = F.lit(False)
+        inside = listed = F.lit(False)
         for topic, partition, start, end in ranges:
-            term = (F.col("topic") == topic) & (F.col("partition") == partition)
+            here = term = (F.col("topic") == topic) & (F.col("partition") == partition)
             if start is not None:
                 term = term & (F.col("offset") >= start)
             if end is not None:
                 term = term & (F.col("offset") < end)
-            keep = keep | term
-        return log.filter(keep)
+            inside, listed = inside | term, listed | here
+        return log.filter(inside | ~listed) if others else log.filter(inside)
     rows = [dict(topic=t, partition=p, _start=s, _end=e) for t, p, s, e in ranges]
     table = small_table(log.sparkSession, rows, "topic string, partition int, _start bigint, _end bigint")
-    inside = (F.col("offset") >= F.coalesce("_start", F.lit(0))) & (
+    inside = (F.col("_start").isNull() | (F.col("offset") >= F.col("_start"))) & (
         F.col("_end").isNull() | (F.col("offset") < F.col("_end"))
     )
-    return log.join(F.broadcast(table), ["topic", "partition"]).filter(inside).select(*log.columns)
+    joined = log.join(F.broadcast(table), ["topic", "partition"], "left" if others else "inner")
+    return joined.filter(inside).select(*log.columns)
 
 
 def read_topics(
@@ -130,13 +134,8 @@ def read_topics(
         return log
     if start == "latest":
         now = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic").isin(*topics))
-        seen = {(r.topic, r.partition): r.hi for r in offset_bounds(now).collect()}
-        past = F.lit(False)
-        for (topic, partition), hi in seen.items():
-            past = past | (
-                (F.col("topic") == topic) & (F.col("partition") == partition) & (F.col("offset") < hi)
-            )
-        return log.filter(~past)
+        seen = [(r.topic, r.partition, r.hi, None) for r in offset_bounds(now).collect()]
+        return within_ranges(log, seen, others=True)
     return within_ranges(log, [(topics[0], p, o, None) for p, o in sorted(start.items())])
 
 

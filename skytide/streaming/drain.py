@@ -138,7 +138,7 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
     filesystem, inner = open_filesystem(job.output)
     if filesystem.get_file_info(f"{inner}/_spark_metadata").type != FileType.NotFound:
         raise ValueError(f"{job.output} belongs to a streaming drain; bounded runs need an archive of their own")
-    pending = unfinished_run(spark, runs_path, job.group, job.topic)
+    pending = unfinished_run(spark, runs_path, job.group, [job.topic])
     if pending is not None:
         run_id, ranges = pending
     else:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +14,10 @@ from pyspark.sql import types as T
 from skytide.naming import DEFAULT_NAMING, Naming
 from skytide.operators.archive import read_store, store_batch, with_partitions
 from skytide.operators.decode import decode_alerts
-from skytide.operators.outbox import notification_outbox, throttle
+from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, runs_done, unfinished_run
+from skytide.operators.outbox import channels_busy_until, notification_outbox, throttle
 from skytide.operators.summary import alert_key, alert_summary
+from skytide.session import read_table_if_exists
 from skytide.sources.topic_log import read_topics
 
 
@@ -63,7 +67,11 @@ def _batch_action(job: LiveJob):
                 messages = notification_outbox(
                     alerts, job.topic_config, job.survey, job.kinds, job.naming, extra=["partition", "offset"]
                 )
-                timed = throttle(messages, ["topic", "partition", "offset"], F.current_timestamp())
+                now = F.lit(datetime.now(timezone.utc))
+                sent = read_table_if_exists(batch.sparkSession, job.outbox)
+                if sent is not None:
+                    sent = channels_busy_until(sent.filter(F.col("batch").cast("bigint") != batch_id), now)
+                timed = throttle(messages, ["topic", "partition", "offset"], now, busy_until=sent)
                 timed.write.mode("overwrite").parquet(f"{job.outbox}/batch={batch_id}")
             if job.summary:
                 alert_summary(alerts, job.survey).write.mode("overwrite").parquet(f"{job.summary}/batch={batch_id}")
@@ -75,13 +83,39 @@ def _batch_action(job: LiveJob):
     return act
 
 
+def _decoded(raw: DataFrame, job: LiveJob) -> DataFrame:
+    mode = "PERMISSIVE" if job.dead_letters else "FAILFAST"
+    return decode_alerts(raw, job.target, job.registry, job.override, mode=mode)
+
+
+def run_limited(spark: SparkSession, job: LiveJob, runs_path: str, limit: int | None, group: str = "default") -> int:
+    """Handle the next ``limit`` alerts of the topics as one batch, then stop.
+
+    Each call goes on where the last one ended. Its outputs need folders of
+    their own: they number their batches by run, not by streaming batch. A run
+    that died is repeated first, with the same messages and batch number.
+    """
+    pending = unfinished_run(spark, runs_path, group, job.topics)
+    if pending is not None:
+        run_id, ranges = pending
+    else:
+        log = read_topics(spark, job.topics, job.log_path, kafka=job.kafka)
+        ranges = plan_ranges(log, read_committed(spark, runs_path, group), limit)
+        if not any(end > start for _, _, start, end in ranges):
+            return 0
+        run_id = uuid.uuid4().hex
+        record_run(spark, runs_path, group, run_id, ranges, done=False)
+    batch_id = runs_done(spark, runs_path, group)
+    _batch_action(job)(_decoded(read_ranges(spark, ranges, job.log_path, job.kafka), job), batch_id)
+    record_run(spark, runs_path, group, run_id, ranges, done=True)
+    return sum(end - start for _, _, start, end in ranges)
+
+
 def start_live(spark: SparkSession, job: LiveJob, available_now: bool = False):
     """Start the live query: endless with a poll interval, or until what is
     there now has been handled."""
     raw = read_topics(spark, job.topics, job.log_path, True, job.start, job.kafka, job.per_trigger)
-    mode = "PERMISSIVE" if job.dead_letters else "FAILFAST"
-    decoded = decode_alerts(raw, job.target, job.registry, job.override, mode=mode)
-    query = decoded.writeStream.foreachBatch(_batch_action(job)).option("checkpointLocation", job.checkpoint)
+    query = _decoded(raw, job).writeStream.foreachBatch(_batch_action(job)).option("checkpointLocation", job.checkpoint)
     if available_now:
         return query.trigger(availableNow=True).start()
     if job.poll_seconds:

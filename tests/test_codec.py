@@ -214,3 +214,12 @@ def test_container_blocks_decode_in_order():
     assert decoded.to_pylist() == rows
     with pytest.raises(ValueError, match="corrupt"):
         codec.decode_blocks([payloads[0] + b"x"], [1], schema, typed.type)
+
+
+def test_nan_is_not_null():
+    schema = record(("x", ["double", "null"]), ("y", ["float", "null"]))
+    typed = pa.array([{"x": float("nan"), "y": None}, {"x": None, "y": float("nan")}], arrow_type(schema))
+    decoded, status = codec.decode_bodies(codec.encode(schema, typed), schema, typed.type)
+    assert not status.any()
+    for name in ("x", "y"):
+        assert decoded.field(name).null_count == 1 and typed.field(name).is_valid().equals(decoded.field(name).is_valid())

@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from skytide.operators import history, numbering, offsets, topics
+from skytide.operators import numbering, offsets, topics
+from skytide.plans import history
 from skytide.naming import Naming
 from skytide.sources import topic_log
 from skytide.sources.topic_log import LOG_SCHEMA, kafka_options, read_topics, within_ranges
@@ -63,10 +64,10 @@ def test_runs_of_a_group_are_kept_apart(spark, path):
     offsets.record_run(spark, path, "g", "r1", [("t", 1, 2, 4)], done=False)
     got = {(r.topic, r.partition): r.committed for r in offsets.read_committed(spark, path, "g").collect()}
     assert got == {("t", 0): 8, ("t", 1): 2}
-    assert offsets.unfinished_run(spark, path, "g", "t") == ("r1", [("t", 1, 2, 4)])
-    assert offsets.unfinished_run(spark, path, "g", "u") is None
+    assert offsets.unfinished_run(spark, path, "g", ["t"]) == ("r1", [("t", 1, 2, 4)])
+    assert offsets.unfinished_run(spark, path, "g", ["u"]) is None
     offsets.record_run(spark, path, "g", "r1", [("t", 1, 2, 4)], done=True)
-    assert offsets.unfinished_run(spark, path, "g", "t") is None
+    assert offsets.unfinished_run(spark, path, "g", ["t"]) is None
 
 
 def test_ranges_as_filter_and_as_join_agree(spark, monkeypatch):
@@ -76,10 +77,13 @@ def test_ranges_as_filter_and_as_join_agree(spark, monkeypatch):
     def got():
         return {(r.topic, r.partition, r.offset) for r in within_ranges(log, ranges).collect()}
 
-    by_filter = got()
+    def with_others():
+        return within_ranges(log, ranges[:2], others=True).count()
+
+    by_filter, wider = got(), with_others()
+    assert len(by_filter) == 3 + 3 + 2 and wider == 3 + 3 + 9
     monkeypatch.setattr(topic_log, "_MAX_FILTER_TERMS", 0)
-    assert got() == by_filter
-    assert len(by_filter) == 3 + 3 + 2
+    assert got() == by_filter and with_others() == wider
 
 
 def test_start_positions(spark, path):

@@ -11,7 +11,7 @@ from skytide.sources.avro_schema import avro_to_struct_type
 from skytide.sources.topic_log import LOG_SCHEMA, to_topic_log, write_topic_log
 from skytide.streaming import drain
 from skytide.streaming.drain import TransferJob, drain_topic, start_drain, transfer_limited
-from skytide.streaming.live import LiveJob, start_live, stored_alerts
+from skytide.streaming.live import LiveJob, run_limited, start_live, stored_alerts
 
 TOPIC = "ftransfer_ztf_2026-03-23_11487"
 SCHEMA = {
@@ -260,6 +260,26 @@ def test_store_keeps_first_or_last_and_replays_a_batch(spark, path):
         store_batch(batch([]), path, 12, ["k"], "merge")
 
 
+def test_limited_live_runs(spark, live_log):
+    config = small_table(
+        spark,
+        [dict(topic=t, kind="slack", channel="#c", secret_name="s") for t in ("one", "two")],
+        "topic string, kind string, channel string, secret_name string",
+    )
+    live = live_job(
+        spark, live_log, target=avro_to_struct_type(with_history(SCHEMA)), outbox=scratch_path(spark, "outbox"),
+        topic_config=config, kinds=["slack"],
+    )
+    runs = scratch_path(spark, "live-runs")
+    assert run_limited(spark, live, runs, 0) == 0
+    assert [run_limited(spark, live, runs, 8) for _ in range(3)] == [8, 8, 4]
+    assert run_limited(spark, live, runs, None) == 0
+    assert stored_alerts(spark, live).count() == spark.read.parquet(live.archive).count() == 20
+    # One channel: every message has its own slot, over all three runs.
+    due = sorted(r.not_before for r in spark.read.parquet(live.outbox).select("not_before").collect())
+    assert len(due) == 20 and min((b - a).total_seconds() for a, b in zip(due, due[1:])) >= 2
+
+
 def test_live_dead_letters(spark, live_log):
     live = live_job(spark, live_log, registry={}, dead_letters=scratch_path(spark, "dead"))
     start_live(spark, live, available_now=True).awaitTermination()
