@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 
 from skytide.functions.timeconv import date_parts
 from skytide.naming import DEFAULT_NAMING, Naming, layout
-from skytide.session import broadcast_if_small, read_table_if_exists, stage
+from skytide.session import broadcast_if_small, read_table_if_exists, stage, staging_scope
 
 DATE_COLUMNS = ["year", "month", "day"]
 FORMATS = ("parquet", "avro")
@@ -125,14 +125,18 @@ def archive_alerts(
     """
     if mode not in STORE_MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(STORE_MODES)}")
-    partitions = partitions or []
+    with staging_scope():
+        _archive(df, path, key, mode, partitions or [], order or key, trust_partitions)
+
+
+def _archive(df, path, key, mode, partitions, order, trust_partitions) -> None:
     spark = df.sparkSession
     stored = read_table_if_exists(spark, path)
     if mode == "error":
         fresh = stage(df, "fresh-alerts")
         _clash(fresh.groupBy(*key).count().filter(F.col("count") > 1), key, path)
     else:
-        fresh = latest_per_key(df, key, order or key)
+        fresh = latest_per_key(df, key, order)
         if stored is not None:
             fresh = stage(fresh, "fresh-alerts")
     if stored is None:

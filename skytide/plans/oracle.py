@@ -113,7 +113,7 @@ o AS (
 def _relative(anchor: str) -> str:
     return f"""
 WITH {_POINTS}
-SELECT candid, len(pts) AS n,
+SELECT candid, CAST(len(pts) AS INTEGER) AS n,
        list_min(list_transform(pts, lambda x: x.jd - {anchor})) AS d_min,
        list_max(list_transform(pts, lambda x: x.jd - {anchor})) AS d_max,
        pts[1].jd - {anchor} AS d_first
@@ -178,9 +178,9 @@ SELECT event_id, {_ISO_MS.format(ms="ms - (SELECT max(s) FROM leap WHERE start_m
     "relative_days_first": _relative("pts[1].jd"),
     "extract_field": f"""
 WITH {_POINTS}
-SELECT candid, len(pts) AS n, array_to_string(list_transform(pts, lambda x: x.fid), ',') AS fids,
-       len(list_filter(pts, lambda x: x.magpsf IS NULL)) AS n_missing,
-       coalesce(len(past), -1) AS n_absent
+SELECT candid, CAST(len(pts) AS INTEGER) AS n, array_to_string(list_transform(pts, lambda x: x.fid), ',') AS fids,
+       CAST(len(list_filter(pts, lambda x: x.magpsf IS NULL)) AS INTEGER) AS n_missing,
+       CAST(coalesce(len(past), -1) AS INTEGER) AS n_absent
 FROM a""",
     "lightcurve_long": f"""
 WITH {_POINTS}
@@ -239,7 +239,8 @@ SELECT topic, part AS "partition", off AS "offset", strftime(ts, '%Y-%m-%d %H:%M
 WITH {_LOG} SELECT topic, part AS "partition", lo, hi, committed, "offset", lag FROM lags""",
     "offset_totals": f"""
 WITH {_LOG}
-SELECT topic, sum("offset") AS total_offset, sum(lag) AS total_lag, sum("offset") + sum(lag) AS topic_size
+SELECT topic, CAST(sum("offset") AS BIGINT) AS total_offset, CAST(sum(lag) AS BIGINT) AS total_lag,
+       CAST(sum("offset") + sum(lag) AS BIGINT) AS topic_size
 FROM lags GROUP BY topic""",
     "nonempty_partitions": f"""
 WITH {_LOG} SELECT topic, part AS "partition", lag FROM lags WHERE committed IS NOT NULL OR lag > 0""",
@@ -255,13 +256,13 @@ WITH {_LOG} SELECT topic, part AS "partition", hi - lo AS size FROM bounds""",
 WITH {_LOG}
 SELECT topic, part AS "partition", "offset", lag FROM lags WHERE topic IN ('view', 'click')
 UNION ALL
-SELECT topic, NULL, sum("offset"), sum(lag) FROM lags WHERE topic IN ('view', 'click') GROUP BY topic""",
+SELECT topic, NULL, CAST(sum("offset") AS BIGINT), CAST(sum(lag) AS BIGINT) FROM lags WHERE topic IN ('view', 'click') GROUP BY topic""",
     "start_offsets": f"""
 WITH {_LOG}
 SELECT topic, part AS "partition", off AS "offset" FROM log WHERE topic = 'view' AND off >= 10 * (part + 1)""",
     "avro_roundtrip": f"""
 WITH {_POINTS}
-SELECT objectId, candid, topic, props AS cdsxmatch, jd AS jd, magpsf, coalesce(len(past), 0) AS n_history,
+SELECT objectId, candid, topic, props AS cdsxmatch, jd AS jd, magpsf, CAST(coalesce(len(past), 0) AS INTEGER) AS n_history,
        array_to_string(list_transform(past, lambda x: x.fid), ',') AS history_fids
 FROM a""",
     "avro_files_roundtrip": _PLAIN,
@@ -302,7 +303,7 @@ SELECT CAST(user_id AS VARCHAR) AS objectId, event_id AS candid, event_type AS t
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) = 1""",
     "cutout_stats": f"""
 WITH {_IMAGES}
-SELECT vec_id AS diaSourceId, kind, len(px) // 8 AS height, 8 AS width, len(px) AS n_finite,
+SELECT vec_id AS diaSourceId, kind, CAST(len(px) // 8 AS INTEGER) AS height, 8 AS width, CAST(len(px) AS INTEGER) AS n_finite,
        round(list_min(px), 6) AS min, round(list_max(px), 6) AS max, round(list_avg(px), 6) AS mean
 FROM im""",
     "cutouts_long": """
@@ -313,7 +314,7 @@ SELECT vec_id AS diaSourceId, height - 1 - i // 8 AS y, round(sum(CAST(v AS DOUB
        round(max(CAST(v AS DOUBLE)), 6) AS row_max
 FROM px GROUP BY ALL""",
     "object_cutout": """
-SELECT vec_id AS diaSourceId, len(embedding) // 8 AS height,
+SELECT vec_id AS diaSourceId, CAST(len(embedding) // 8 AS INTEGER) AS height,
        round(list_sum(list_transform(embedding[-8:], lambda x: CAST(x AS DOUBLE))), 5) AS top_row_sum
 FROM embeddings WHERE label = 1""",
     "plain_fits": """
@@ -322,7 +323,9 @@ FROM embeddings""",
     "notification_outbox": f"""
 WITH {_ROUTED},
 n AS (
-  SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id ROWS BETWEEN 30 PRECEDING AND CURRENT ROW) AS n_points
+  SELECT event_id,
+         CAST(count(*) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000, event_id
+                             ROWS BETWEEN 30 PRECEDING AND CURRENT ROW) AS INTEGER) AS n_points
   FROM events
 )
 SELECT candid, topic, kind, channel, route_status,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import urlparse
 
 import pyarrow as pa
@@ -26,6 +29,7 @@ RUNTIME_CONF = {
 
 _scratch_roots: dict[str, str] = {}
 _shipped: set[str] = set()
+_scope: ContextVar[list[str] | None] = ContextVar("staged_paths", default=None)
 
 
 def build_session(app_name: str = "skytide", master: str | None = None, **conf) -> SparkSession:
@@ -47,22 +51,30 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send the package to the workers once per application, so that no cluster
-    node needs it installed."""
+    """Send the package to the workers once per application, through the shared
+    folder, so that no node needs it installed. Without such a folder on a
+    cluster, give it to ``spark-submit --py-files``."""
     app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
     package = os.path.dirname(os.path.abspath(__file__))
-    if os.path.isdir(package):  # already a zip when the driver itself was given one
-        archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "skytide.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for folder, _, names in os.walk(package):
-                for name in names:
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        out.write(path, os.path.relpath(path, os.path.dirname(package)))
-        spark.sparkContext.addPyFile(archive)
+    if app in _shipped or not os.path.isdir(package):  # a zip given by --py-files
+        return
     _shipped.add(app)
+    try:
+        target = scratch_path(spark, "package") + ".zip"
+    except RuntimeError:
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    filesystem, inner = open_filesystem(target)
+    filesystem.create_dir(os.path.dirname(inner))
+    with filesystem.open_output_stream(inner) as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(target)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -92,10 +104,32 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and fixes its rows."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging_scope():
+    """Drop the tables staged inside the block when it ends.
+
+    For code that has written its results by then, so that a long-running
+    stream does not fill the scratch folder.
+    """
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in paths:
+            filesystem, inner = open_filesystem(path)
+            if filesystem.get_file_info(inner).type == pafs.FileType.Directory:
+                filesystem.delete_dir(inner)
+
+
 def small_table(spark: SparkSession, rows: list[dict], schema: T.StructType | str) -> DataFrame:
     """A driver-side table as a local relation, so Spark knows its true size."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skytide.operators.decode import encode_alerts
 from skytide.operators.numbering import number_rows
-from skytide.session import broadcast_if_small, has_kafka, read_table_if_exists, small_table
+from skytide.session import broadcast_if_small, has_kafka, read_table_if_exists, small_table, staging_scope
 
 LOG_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
@@ -177,11 +177,8 @@ def to_topic_log(
 
     Numbering comes first: it passes over its input twice, encoding once.
     """
-    numbered = number_messages(df, topic, partition, order, path)
-    encoded = encode_alerts(numbered, schema, fields, "value")
-    write_topic_log(
-        encoded.withColumns(
-            {"key": key.cast("binary"), "timestamp": timestamp.cast("timestamp"), "timestampType": F.lit(0)}
-        ),
-        path,
-    )
+    with staging_scope():
+        numbered = number_messages(df, topic, partition, order, path)
+        encoded = encode_alerts(numbered, schema, fields, "value")
+        meta = {"key": key.cast("binary"), "timestamp": timestamp.cast("timestamp"), "timestampType": F.lit(0)}
+        write_topic_log(encoded.withColumns(meta), path)

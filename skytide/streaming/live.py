@@ -17,7 +17,7 @@ from skytide.operators.decode import decode_alerts
 from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, runs_done, unfinished_run
 from skytide.operators.outbox import channels_busy_until, notification_outbox, throttle
 from skytide.operators.summary import alert_key, alert_summary
-from skytide.session import read_table_if_exists
+from skytide.session import read_table_if_exists, staging_scope
 from skytide.sources.topic_log import read_topics
 
 
@@ -50,6 +50,10 @@ def _batch_action(job: LiveJob):
     flat = [f.name for f in job.target.fields]
 
     def act(batch: DataFrame, batch_id: int) -> None:
+        with staging_scope():
+            handle(batch, batch_id)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if job.dead_letters:

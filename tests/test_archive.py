@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from skytide.naming import Naming
 from skytide.operators import archive
-from skytide.session import read_table_if_exists
+from skytide.session import read_table_if_exists, stage, staging_scope
 
 NAMING = Naming(namespace="night")
 DATES = ["year", "month", "day"]
@@ -112,6 +112,19 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
     assert [r.seq for r in last.collect()] == [999]
 
 
+def test_staged_tables_are_dropped_when_a_scope_ends(spark, path):
+    with staging_scope():
+        staged = stage(spark.range(5), "scoped")
+        name = staged.inputFiles()[0]
+        assert staged.count() == 5
+        archive.archive_alerts(frame(spark, [(1, "a", "x", 0)]), path, ["id"])  # a scope of its own
+        assert os.path.exists(name.removeprefix("file://"))
+    assert not os.path.exists(os.path.dirname(name.removeprefix("file://")))
+    kept = stage(spark.range(5), "unscoped")
+    assert kept.count() == 5
+    assert stored(spark, path) == [(1, "a", "x")]
+
+
 def test_missing_table_is_none(spark, path):
     assert read_table_if_exists(spark, path) is None
 
