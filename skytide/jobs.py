@@ -17,7 +17,7 @@ from skytide.operators.decode import load_registry, registry_from_folder, schema
 from skytide.operators.offsets import backlog_report, read_committed
 from skytide.operators.topics import topic_catalogue
 from skytide.session import build_session
-from skytide.sources.avro_schema import superset
+from skytide.sources.avro_schema import superset, version_order
 from skytide.sources.topic_log import LOG_SCHEMA, read_topics
 from skytide.streaming.drain import MAX_IDLE, TransferJob, drain_topic, transfer_limited
 from skytide.streaming.live import LiveJob, run_limited, start_live
@@ -103,7 +103,7 @@ def _stream(spark: SparkSession, args, naming: Naming) -> None:
     override = None
     if args.schema:
         override = spark.read.text(args.schema, wholetext=True).first().value
-    versions = [registry[v] for v in sorted(registry)] + ([override] if override else [])
+    versions = [registry[v] for v in sorted(registry, key=version_order)] + ([override] if override else [])
     job = LiveJob(
         topics=args.topics,
         checkpoint=args.checkpoint,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import types as T
 
@@ -133,6 +134,11 @@ def merge_structs(newer: T.StructType, older: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in fields.items()])
 
 
+def version_order(version: str) -> list:
+    """Sort key that puts 3.9.0 before 3.10.1."""
+    return [(0, int(part), "") if part.isdigit() else (1, 0, part) for part in re.split(r"(\d+)", version) if part]
+
+
 def superset(schemas: list[str | dict], logical_types: bool = False) -> T.StructType:
     """Union of schema versions given oldest first; newer types win."""
     merged: T.StructType | None = None

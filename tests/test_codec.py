@@ -195,6 +195,12 @@ def test_versions_merge_by_name():
     assert decoded[0].as_py() == {"v": 2.0, "mulens": None, "id": 1, "new": None, "mulens_legacy": {"a": 0.5}}
 
 
+def test_versions_sort_by_number():
+    versions = ["2.7_3.10.1", "1.4_0.5.1_replayed", "2.7_3.9.0", "1.4_0.5.1", "2.2_2.0.0"]
+    assert sorted(versions, key=schemas.version_order) == [
+        "1.4_0.5.1", "1.4_0.5.1_replayed", "2.2_2.0.0", "2.7_3.9.0", "2.7_3.10.1"]
+
+
 def test_schema_of_a_frame_round_trips(spark):
     struct = T.StructType.fromDDL(
         "a int, b array<struct<x:double,y:string>>, c map<string,bigint>, d binary, e struct<f:boolean,g:float>"
