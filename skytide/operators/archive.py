@@ -13,6 +13,7 @@ from skytide.session import broadcast_if_small, read_table_if_exists, stage, sta
 DATE_COLUMNS = ["year", "month", "day"]
 FORMATS = ("parquet", "avro")
 STORE_MODES = ("error", "overwrite", "ignore")
+_MAX_FOLDER_FILTER = 1000
 
 
 def strategies(naming: Naming = DEFAULT_NAMING) -> tuple[str, ...]:
@@ -92,13 +93,25 @@ def _clash(keys: DataFrame, key: list[str], path: str) -> None:
 
 
 def _in_partitions_of(stored: DataFrame, rows: DataFrame, partitions: list[str]) -> DataFrame:
-    """Stored rows of the partitions that ``rows`` fall into; the match on partition
-    columns lets Spark skip all other folders."""
+    """Stored rows of the partitions that ``rows`` fall into.
+
+    A moderate number of partition values becomes a filter on folders, so all
+    others are never opened; more of them become a join.
+    """
+    values = rows.select(*[F.col(c).cast("string") for c in partitions]).distinct()
+    touched = values.limit(_MAX_FOLDER_FILTER + 1).collect()
+    if len(touched) <= _MAX_FOLDER_FILTER:
+        keep = F.lit(False)
+        for row in touched:
+            here = F.lit(True)
+            for c in partitions:
+                here = here & F.col(c).cast("string").eqNullSafe(F.lit(row[c]))
+            keep = keep | here
+        return stored.filter(keep)
     match = F.lit(True)
     for c in partitions:
-        match = match & F.col(f"s.{c}").cast("string").eqNullSafe(F.col(f"t.{c}").cast("string"))
-    touched = broadcast_if_small(rows.select(*partitions).distinct())
-    return stored.alias("s").join(touched.alias("t"), match, "left_semi")
+        match = match & F.col(f"s.{c}").cast("string").eqNullSafe(F.col(f"t.{c}"))
+    return stored.alias("s").join(broadcast_if_small(values).alias("t"), match, "left_semi")
 
 
 def archive_alerts(

@@ -146,3 +146,17 @@ def test_trusted_partitions_give_the_same_result(spark, path, mode):
     if mode == "error":
         with pytest.raises(IOError):
             archive.archive_alerts(frame(spark, [(4, "c", None, 0)]), target, ["id"], mode, ["p"], ["seq"], True)
+
+
+def test_only_touched_folders_are_opened(spark, path, monkeypatch):
+    frame(spark, [(i, "a", f"p{i % 5}", 0) for i in range(20)]).write.partitionBy("p").parquet(path)
+    rows = frame(spark, [(1, "b", "p1", 0), (2, "b", "p2", 0), (3, "b", None, 0)])
+    near = archive._in_partitions_of(spark.read.parquet(path), rows, ["p"])
+    by_filter = sorted(r.id for r in near.collect())
+    assert by_filter == [i for i in range(20) if i % 5 in (1, 2)]
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "p1" in filters and "p2" in filters
+    monkeypatch.setattr(archive, "_MAX_FOLDER_FILTER", 1)
+    joined = archive._in_partitions_of(spark.read.parquet(path), rows, ["p"])
+    assert sorted(r.id for r in joined.collect()) == by_filter
