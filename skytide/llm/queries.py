@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skytide.llm.decontaminate import find_contamination
+from skytide.llm.suffix_dedup import repeated_spans
 from skytide.llm.oracle import ORACLE  # noqa: F401
 from skytide.session import ship_package
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -23,6 +28,7 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_suffix_dedup,
         op10_decontaminate,
     )
 }
