@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skytide.llm.decontaminate import find_contamination
-from skytide.llm.suffix_dedup import repeated_spans
+from skytide.llm.langid import identify
+from skytide.llm.mixing import mix
 from skytide.llm.oracle import ORACLE  # noqa: F401
+from skytide.llm.pii import find_personal_data
+from skytide.llm.secrets import find_secrets
+from skytide.llm.shards import shard_by_bytes
+from skytide.llm.suffix_dedup import repeated_spans
 from skytide.session import ship_package
 
 
@@ -21,6 +27,27 @@ def op1_suffix_dedup(spark, sf_dir):
     return repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op2_langid(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op3_secrets(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    return find_secrets(documents, owner="source", repository=F.concat_ws("/", "source", "lang")).drop("found")
+
+
+def op4_mixing(spark, sf_dir):
+    return mix(table(spark, sf_dir, "documents")).drop("source")
+
+
+def op6_pii(spark, sf_dir):
+    return find_personal_data(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op8_shards(spark, sf_dir):
+    return shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -28,7 +55,6 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_suffix_dedup,
-        op10_decontaminate,
+        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op6_pii, op8_shards, op10_decontaminate,
     )
 }
