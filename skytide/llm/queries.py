@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytide.llm.decontaminate import find_contamination
+from skytide.llm.jaccard_join import jaccard_components
 from skytide.llm.langid import identify
 from skytide.llm.mixing import mix
 from skytide.llm.oracle import ORACLE  # noqa: F401
@@ -48,6 +49,10 @@ def op8_shards(spark, sf_dir):
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("k1")
+
+
 def op10_decontaminate(spark, sf_dir):
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -55,6 +60,7 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op6_pii, op8_shards, op10_decontaminate,
+        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op6_pii, op8_shards,
+        op9_jaccard_join, op10_decontaminate,
     )
 }
