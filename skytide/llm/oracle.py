@@ -28,6 +28,37 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+_URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+_URL_BLOCKS = (
+    r"(^|[^a-z0-9])spam-farm($|[^a-z0-9])",
+    r"(^|[^a-z0-9])cheap-(pills|meds)($|[^a-z0-9])",
+    r"(^|[^a-z0-9])(online-)?casino($|[^a-z0-9])",
+    r"(^|[^a-z0-9])(xxx|porn)($|[^a-z0-9])",
+    r"^[a-z]+://[0-9]+([.][0-9]+){3}([:/?#]|$)",
+    r"[?&]utm_campaign=(spam|bulk)($|[^a-z0-9])",
+)
+
+
+def _fits(rule: str) -> str:
+    host, path = rule.split("/", 1)
+    return f"((host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '/{path}'))"
+
+
+_LONGEST = sorted(_URL_RULES, key=lambda r: -len(r[0]))
+_RULE_CASES = " ".join(f"WHEN {_fits(rule)} THEN '{rule}'" for rule, _ in _LONGEST)
+_VERDICTS = " ".join(f"WHEN rule = '{rule}' THEN '{verdict}'" for rule, verdict in _LONGEST)
+_BLOCKED = " OR ".join(f"regexp_matches(plain, '{p}')" for p in _URL_BLOCKS)
+
+URL_FILTER = f"""
+WITH p AS (SELECT page_id, {lowered('url')} AS plain, strpos(coalesce(url, ''), '://') AS p0, substr(url, strpos(url, '://') + 3) AS rest FROM pages),
+h AS (SELECT *, CASE WHEN p0 > 0 THEN regexp_extract(rest, '^[^/?#]*') ELSE '' END AS raw FROM p),
+s AS (SELECT page_id, plain, {lowered('raw')} AS host,
+  CASE WHEN p0 > 0 THEN regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') ELSE '' END AS path FROM h),
+r AS (SELECT *, CASE {_RULE_CASES} END AS rule FROM s)
+SELECT page_id, host, path, rule, CASE {_VERDICTS} WHEN {_BLOCKED} THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
 ORACLE: dict[str, str] = {
+    "op7_url_filter": URL_FILTER,
     "op10_decontaminate": DECONTAMINATE,
 }

@@ -16,6 +16,7 @@ from skytide.llm.pii import find_personal_data
 from skytide.llm.secrets import find_secrets
 from skytide.llm.shards import shard_by_bytes
 from skytide.llm.suffix_dedup import repeated_spans
+from skytide.llm.url_filter import judge
 from skytide.session import ship_package
 
 
@@ -45,6 +46,10 @@ def op6_pii(spark, sf_dir):
     return find_personal_data(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op7_url_filter(spark, sf_dir):
+    return judge(table(spark, sf_dir, "pages")).drop("reason")
+
+
 def op8_shards(spark, sf_dir):
     return shard_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -60,7 +65,7 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op6_pii, op8_shards,
+        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op6_pii, op7_url_filter, op8_shards,
         op9_jaccard_join, op10_decontaminate,
     )
 }
