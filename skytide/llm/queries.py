@@ -11,6 +11,7 @@ from skytide.llm.decontaminate import find_contamination
 from skytide.llm.jaccard_join import jaccard_components
 from skytide.llm.langid import identify
 from skytide.llm.mixing import mix
+from skytide.llm.nn_descent import near_components
 from skytide.llm.oracle import ORACLE  # noqa: F401
 from skytide.llm.pii import find_personal_data
 from skytide.llm.secrets import find_secrets
@@ -42,6 +43,10 @@ def op4_mixing(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op5_nn_descent(spark, sf_dir):
+    return near_components(table(spark, sf_dir, "embeddings"))
+
+
 def op6_pii(spark, sf_dir):
     return find_personal_data(table(spark, sf_dir, "documents")).drop("found")
 
@@ -65,7 +70,7 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op6_pii, op7_url_filter, op8_shards,
+        op1_suffix_dedup, op2_langid, op3_secrets, op4_mixing, op5_nn_descent, op6_pii, op7_url_filter, op8_shards,
         op9_jaccard_join, op10_decontaminate,
     )
 }
