@@ -9,9 +9,9 @@ reaches ``disclosure``, seen with the entity in ``support`` different texts or
 more, are reported as kind ``term`` where they stand beside it; ``sanitised``
 removes entities and generalises terms.
 
-N, df and c count different texts (by hash), so copies are no evidence, and each
-task drops its repeats before the shuffle. Word counts cover every text, but
-only terms that pass ``support`` are counted.
+N, df and c count documents; ``support`` counts different texts (by hash), so
+copies alone are no evidence. Counts cover every text and are summed in each
+task before the shuffle.
 
 Null texts count as empty. Repeated rows each get their row; ids may be null or
 repeated. No rows give no rows; extra columns are ignored.
@@ -103,15 +103,16 @@ def _neighbours(text: Column, base: Column, reach: int) -> Column:
 
 def revealing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """``entity, term`` whose mutual information reaches the disclosure threshold."""
-    near = found.select("text_hash", F.explode("places").alias("p")).select("text_hash", F.col("p.entity").alias("entity"), F.col("p.term").alias("term"))
-    pairs = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= support)
+    told = F.array_distinct(F.transform("places", lambda p: F.struct(p["entity"].alias("entity"), p["term"].alias("term"))))
+    near = found.select("text_hash", F.explode(told).alias("p")).groupBy("text_hash", "p").agg(F.count(F.lit(1)).alias("c"))
+    pairs = near.groupBy("p.entity", "p.term").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
     pairs = stage(pairs, "pairs")
-    entities = found.select("text_hash", F.explode(F.array_distinct("entities")).alias("entity")).distinct()
-    df_e = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
+    df_e = found.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), 0))
-    each = texts.select("text_hash", F.explode(words).alias("w")).select("text_hash", F.xxhash64("w").alias("term"))
-    df_t = each.join(pairs.select("term").distinct(), "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df_t"))
-    n = found.agg(F.count_distinct("text_hash").alias("n"))
+    # counted before the join: its rows follow the vocabulary, not the terms' occurrences
+    counted = texts.select(F.explode(words).alias("w")).groupBy(F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("df_t"))
+    df_t = counted.join(pairs.select("term").distinct(), "term")
+    n = found.agg(F.count(F.lit(1)).alias("n"))
     scored = pairs.join(df_t, "term").join(df_e, "entity").crossJoin(F.broadcast(n))  # one row
     mutual = F.log2(F.col("c") * F.col("n") / (F.col("df_t") * F.col("df_e")))
     content = F.log2(F.col("n") / F.col("df_e"))
