@@ -21,8 +21,9 @@ the cost, not the result). Then sets related to each other save each other's wor
    distance of their parity bitmaps, before the sets themselves are fetched and
    intersected.
 
-Lists of frequent tokens are salted, so one family may hold a third of all rows.
-No step emits the pairs of a family. Tokens are 64-bit hashes of shingles.
+Entries of frequent tokens do not meet in a bucket but in an aggregation and a
+join that Spark can split, so one family may hold a third of all rows. No step
+emits the pairs of a family. Tokens are 64-bit hashes of shingles.
 
 A null or empty text has an empty set, linked with nothing; its component is
 itself. A component's id is its smallest document id, null ids last. Equal
@@ -43,9 +44,11 @@ from skytide.session import broadcast_if_small, stage
 NGRAM = 5
 PERCENT = 75
 FREQUENT = 200_000
-SALTS = 32
+BUCKET_ENTRIES = 1_500_000
 POSITION_BLOCK = 16
 _U = np.uint64
+_INDEXED = _U(0xFFFFFFFFFFFF0000)  # the index knows tokens by 48 bits; false meetings cost time, not results
+_PACKED = ["bucket", "often", "tokens", "owners", "positions", "keys", "sizes", "weights"]
 WORD = table_of([(9, 13), (32, 32)], invert=True)
 
 
@@ -135,15 +138,26 @@ def frequent_tokens(texts: DataFrame, ngram: int, limit: int = FREQUENT) -> tupl
     return tokens[order], np.array([r["n"] for r in top], np.int64)[order]
 
 
-def prefix_entries(texts: DataFrame, ngram: int, percent: int, frequent) -> DataFrame:
-    """``token, salt, key, n, pos, weight``: the index entries of each distinct set.
-    ``weight`` is how frequent the set's tokens are on average."""
+def _planes(values: np.ndarray) -> bytes:
+    """Small numbers as byte planes, most of which are zeros."""
+    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def prefix_entries(texts: DataFrame, ngram: int, percent: int, frequent, n_buckets: int) -> DataFrame:
+    """The index entries of each distinct set, packed: a row for each block of
+    documents and bucket of tokens. ``weights`` says how frequent a set's tokens
+    are on average. Entries of frequent tokens form rows of their own."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def index(batches):
         listed, counts = shared.value
         seen: set[int] = set()
         for batch in batches:
+            out = []
             for block in blocks(batch.column(0)):
                 sets = _Sets(block, ngram)
                 new = np.zeros(len(block), bool)
@@ -158,39 +172,81 @@ def prefix_entries(texts: DataFrame, ngram: int, percent: int, frequent) -> Data
                     at = np.searchsorted(listed, token)
                     at[at == len(listed)] = 0
                     often = np.where(listed[at] == token, counts[at], 0)
+                weight = np.bincount(owner, often, len(block)) / np.maximum(sets.sizes, 1)
                 order = np.lexsort((token, often, owner))
                 token, owner, often = token[order], owner[order], often[order]
+                pos = np.arange(len(owner)) - np.searchsorted(owner, owner)
                 n = sets.sizes[owner]
-                begin = np.searchsorted(owner, owner)
-                pos = np.arange(len(owner)) - begin
-                weight = np.bincount(owner, often, len(block))[owner] / np.maximum(n, 1)
                 pick = pos < n - (percent * n + 99) // 100 + 1
-                key = sets.key[owner]
-                salt = np.where(often > 0, key % SALTS, 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[pick]) for x in (token.view(np.int64), salt.astype(np.int32), key, n.astype(np.int32), pos.astype(np.int32), weight.astype(np.float32))],
-                    ["token", "salt", "key", "n", "pos", "weight"],
-                )
-
-    return texts.select("text").mapInArrow(index, "token bigint, salt int, key bigint, n int, pos int, weight float")
+                token, owner, often, pos = token[pick] & _INDEXED, owner[pick], often[pick] > 0, pos[pick]
+                # frequent tokens need no bucket: they meet in a join that Spark can split
+                bucket = np.where(often, block.first % n_buckets, ((token >> _U(32)) * _U(n_buckets) >> _U(32)).astype(np.int64))
+                order = np.lexsort((token, bucket, often))
+                token, owner, pos, bucket, often = token[order], owner[order], pos[order], bucket[order], often[order]
+                edges = np.flatnonzero(np.diff(bucket * 2 + often, prepend=-1)) if len(bucket) else []
+                for a, b in zip(edges, [*edges[1:], len(bucket)]):
+                    docs, local = np.unique(owner[a:b], return_inverse=True)
+                    out.append((
+                        int(bucket[a]), bool(often[a]), pack(token[a:b]), _planes(local), _planes(pos[a:b]),
+                        sets.key[docs].tobytes(), _planes(sets.sizes[docs]), weight[docs].astype(np.float32).tobytes(),
+                    ))
+            columns = list(zip(*out)) if out else [()] * 8
+            types = [pa.int32(), pa.bool_()] + [pa.binary()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], _PACKED)
+
+    return texts.select("text").mapInArrow(index, "bucket int, often boolean, " + ", ".join(f"{c} binary" for c in _PACKED[2:]))
+
+
+def _lists_of_bucket(table: pa.Table) -> pa.Table:
+    """Entries of the lists of more than one set, with centre and length; entries of
+    frequent tokens as they are."""
+    often = np.asarray(table.column("often"))
+    out = []
+    for kind in (False, True):
+        rows = np.flatnonzero(often == kind)
+        if not len(rows):
+            continue
+        part = {c: [table.column(c)[int(r)].as_py() for r in rows] for c in _PACKED[2:]}
+        token = np.concatenate([unpack(x) for x in part["tokens"]])
+        docs = [np.frombuffer(x, np.int64) for x in part["keys"]]
+        base = np.concatenate([[0], np.cumsum([len(d) for d in docs])[:-1]])
+        local = np.concatenate([_numbers(x) + k for x, k in zip(part["owners"], base)])
+        pos = np.concatenate([_numbers(x) for x in part["positions"]])
+        key = np.concatenate(docs)[local]
+        n = np.concatenate([_numbers(x) for x in part["sizes"]])[local]
+        weight = np.concatenate([np.frombuffer(x, np.float32) for x in part["weights"]])[local]
+        centre = m = np.zeros(len(token), np.int64)
+        if not kind:
+            order = np.lexsort((key, weight, token))
+            token, key, n, pos, weight = token[order], key[order], n[order], pos[order], weight[order]
+            new = np.ones(len(token), bool)
+            new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+            token, key, n, pos, weight = token[new], key[new], n[new], pos[new], weight[new]
+            start = np.flatnonzero(np.diff(token, prepend=token[:1] ^ _U(1)))
+            length = np.diff(np.append(start, len(token)))
+            centre, m = np.repeat(key[start + length - 1], length), np.repeat(length, length)
+            several = m > 1
+            token, key, n, pos, weight, centre, m = (x[several] for x in (token, key, n, pos, weight, centre, m))
+        out.append(pa.table(
+            [pa.array(token.view(np.int64)), pa.array(key), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(weight),
+             pa.array(centre, pa.int64()), pa.array(m, pa.int64()), pa.array(np.full(len(token), kind))],
+            ["token", "key", "n", "pos", "weight", "centre", "m", "often"],
+        ))
+    return pa.concat_tables(out)
 
 
 def shared_lists(entries: DataFrame) -> DataFrame:
-    """The entries of lists with more than one set, each with its list's ``centre`` and length ``m``."""
-    dealt = entries.repartition("token", "salt")  # one shuffle: counted and joined where it lies
-    best = lambda: [F.max(F.struct("weight", "key")).alias("best"), F.min("key").alias("low"), F.max("key").alias("high"), F.sum("m").alias("m")]
-    parts = dealt.withColumn("m", F.lit(1)).groupBy("token", "salt").agg(*best(), F.max(F.col("weight") > 0).alias("salted"))
-    lone = parts.where("not salted and low <> high").select("token", "salt", F.col("best.key").alias("centre"), "m")
-    # salted lists: the parts' best meet once more
-    met = (
-        parts.where("salted").select("token", "salt", F.col("best.weight").alias("weight"), F.col("best.key").alias("key"), "low", "high", "m")
+    """``token, key, n, pos, centre, m``: the entries of lists of more than one set,
+    with the list's centre and length."""
+    schema = "token bigint, key bigint, n int, pos int, weight float, centre bigint, m bigint, often boolean"
+    lists = stage(entries.groupBy("bucket").applyInArrow(_lists_of_bucket, schema), "lists")
+    often = lists.where("often").select("token", "key", "n", "pos", "weight")
+    best = often.groupBy("token").agg(
+        F.max(F.struct("weight", "key")).alias("best"), F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("m")
     )
-    whole = met.groupBy("token").agg(
-        F.max(F.struct("weight", "key")).alias("best"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("m").alias("m"),
-        F.collect_set("salt").alias("salts"),
-    ).where("low <> high")
-    spread = whole.select("token", F.explode("salts").alias("salt"), F.col("best.key").alias("centre"), "m")
-    return dealt.join(lone.unionByName(spread), ["token", "salt"]).select("token", "key", "n", "pos", "centre", "m")
+    best = best.where("low <> high").select("token", F.col("best.key").alias("centre"), "m")
+    names = ["token", "key", "n", "pos", "centre", "m"]
+    return lists.where("not often").select(*names).unionByName(often.join(best, "token").select(*names))
 
 
 def _pairs_that_may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -284,15 +340,16 @@ def _rest(lists: DataFrame, root: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, k1`` (``k1``: hash of the text).
-    Documents link when 100 * intersection >= ``percent`` * union."""
+    """One row per document: ``doc_id, n_shingles, component_id``, and ``k1``, the hash
+    of the text, and ``root``, the same for all texts of a component. Documents link when 100 * intersection >= ``percent`` * union."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k1"))
     rows = stage(digests(texts, ngram), "digests")
     sets = rows.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min(F.struct("k1", "bitmap")).alias("one"))
     sets = stage(sets.select("key", "n", F.col("one.k1").alias("k1"), F.col("one.bitmap").alias("bitmap")), "sets")
     frequent = frequent_tokens(texts, ngram)
-    lists = stage(shared_lists(prefix_entries(texts, ngram, percent, frequent)), "lists")
+    n_buckets = 1 + int((sets.agg(F.sum("n")).first()[0] or 0) * (100 - percent) / 100) // BUCKET_ENTRIES
+    lists = shared_lists(prefix_entries(texts, ngram, percent, frequent, n_buckets))
     stars = lists.where("key <> centre").select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
     first = _links(stars, sets, texts, ngram, percent)
     second = _links(_rest(lists, components(first), percent), sets, texts, ngram, percent)
@@ -301,5 +358,5 @@ def jaccard_components(
     named = stage(named, "named")
     smallest = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     return named.join(smallest, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"), "k1"
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"), "k1", "root"
     )

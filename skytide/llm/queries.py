@@ -60,11 +60,11 @@ def op8_shards(spark, sf_dir):
 
 
 def op9_jaccard_join(spark, sf_dir):
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("k1")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("k1", "root")
 
 
 def op10_decontaminate(spark, sf_dir):
-    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items", "k1")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
