@@ -19,7 +19,7 @@ IMAGE_TYPE = T.StructType(
     [
         T.StructField("height", T.IntegerType()),
         T.StructField("width", T.IntegerType()),
-        T.StructField("pixels", T.ArrayType(T.FloatType())),
+        T.StructField("pixels", T.ArrayType(T.DoubleType())),
         T.StructField("error", T.StringType()),
     ]
 )
@@ -57,7 +57,8 @@ def read_image(data: bytes) -> np.ndarray:
             if card[8:10] == "= ":
                 cards[word] = card[10:].split("/")[0].strip()
         at += BLOCK
-    if cards.get("SIMPLE") != "T" or int(cards.get("NAXIS", 0)) != 2:
+    # A missing SIMPLE card is let pass, as readers of alert stamps do.
+    if cards.get("SIMPLE", "T") != "T" or int(cards.get("NAXIS", 0)) != 2:
         raise ValueError("not a two-dimensional FITS image")
     width, height = int(cards["NAXIS1"]), int(cards["NAXIS2"])
     kind = np.dtype(PIXEL_TYPES[int(cards["BITPIX"])])
@@ -68,7 +69,8 @@ def read_image(data: bytes) -> np.ndarray:
         if kind.kind != "f" and "BLANK" in cards:
             raw[pixels == int(cards["BLANK"])] = np.nan
         pixels = raw * scale + zero
-    return pixels.reshape(height, width).astype(np.float32 if kind.itemsize <= 4 else np.float64)
+    # Single precision only where the file has it: integers keep all digits.
+    return pixels.reshape(height, width).astype(np.float32 if pixels.dtype == np.dtype(">f4") else np.float64)
 
 
 def write_image(pixels: np.ndarray) -> bytes:
@@ -94,7 +96,8 @@ _BAD = (ValueError, KeyError, OSError, EOFError, zlib.error)
 def image_of(clean: bool = False, display_orientation: bool = False, fail_fast: bool = False):
     """Arrow function: stamp bytes (gzip or plain) to ``IMAGE_TYPE``.
 
-    ``clean`` replaces NaN by 0 and infinities by the largest finite numbers;
+    ``clean`` replaces NaN by 0 and infinities by the largest finite numbers of
+    the image's own precision;
     ``display_orientation`` flips rows. A bad stamp gives an error text, or
     raises with ``fail_fast``.
     """
@@ -117,8 +120,8 @@ def image_of(clean: bool = False, display_orientation: bool = False, fail_fast:
             errors.append(error)
             sizes.append(sizes[-1] + (0 if image is None else image.size))
             if image is not None:
-                flat.append(image.ravel().astype(np.float32))
-        values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.float32))
+                flat.append(image.ravel().astype(np.float64))
+        values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.float64))
         offsets = pa.array(sizes, pa.int32(), mask=np.array([h is None for h in heights] + [False]))
         pixels = pa.ListArray.from_arrays(offsets, values)
         return pa.StructArray.from_arrays(

@@ -15,10 +15,11 @@ from skytide.naming import SURVEYS, Naming
 from skytide.operators.archive import FORMATS, STORE_MODES
 from skytide.operators.decode import load_registry, registry_from_folder, schema_table
 from skytide.operators.offsets import backlog_report, read_committed
+from skytide.operators.summary import print_rows
 from skytide.operators.topics import topic_catalogue
 from skytide.session import build_session
 from skytide.sources.avro_schema import superset, version_order
-from skytide.sources.topic_log import LOG_SCHEMA, read_topics
+from skytide.sources.topic_log import all_topics, read_topics
 from skytide.streaming.drain import MAX_IDLE, TransferJob, drain_topic, transfer_limited
 from skytide.streaming.live import LiveJob, run_limited, start_live
 
@@ -58,6 +59,7 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--topic-config", help="Parquet table topic, kind, channel, secret_name")
     stream.add_argument("--notify", nargs="*", default=[], choices=["telegram", "slack"])
     stream.add_argument("--dead-letters")
+    stream.add_argument("--summary", help="table of display rows, one folder per batch")
     stream.add_argument("--display", action="store_true")
     stream.add_argument("--poll-seconds", type=float)
     stream.add_argument("--limit", type=int, help="handle this many alerts as one batch, then stop")
@@ -120,6 +122,7 @@ def _stream(spark: SparkSession, args, naming: Naming) -> None:
         topic_config=spark.read.parquet(args.topic_config) if args.topic_config else None,
         kinds=args.notify,
         display=args.display,
+        summary=args.summary,
         dead_letters=args.dead_letters,
         poll_seconds=args.poll_seconds,
         naming=naming,
@@ -140,12 +143,12 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         _stream(spark, args, naming)
     elif args.command == "topics":
-        log = spark.read.schema(LOG_SCHEMA).parquet(args.log_path)
-        topic_catalogue(log, args.service, naming).orderBy("topic").show(1000, truncate=False)
+        log = all_topics(spark, args.log_path, args.kafka)
+        print_rows(topic_catalogue(log, args.service, naming).orderBy("topic"))
     else:
         log = read_topics(spark, args.topics, args.log_path, kafka=args.kafka)
         report = backlog_report(log, read_committed(spark, args.runs, args.group), args.topics)
-        report.orderBy("topic", F.col("partition").asc_nulls_last()).show(10000, truncate=False)
+        print_rows(report.orderBy("topic", F.col("partition").asc_nulls_last()))
 
 
 if __name__ == "__main__":

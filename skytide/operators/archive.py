@@ -133,8 +133,10 @@ def archive_alerts(
     input falls into are looked at. An overwrite rewrites those partitions from
     a staged copy, so nothing is read and replaced in one plan.
 
-    The stored side is read for its key columns only and is the streamed side
-    of every join, so a small input is broadcast and the archive never shuffled.
+    Columns only the stored rows have, or only the new ones, are kept, null for
+    the others; null key parts are equal. The stored side is read for its key
+    columns only and is the streamed side of every join: up to the row count of
+    ``broadcast_if_small`` the input is broadcast and the archive not shuffled.
     """
     if mode not in STORE_MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(STORE_MODES)}")
@@ -142,9 +144,22 @@ def archive_alerts(
         _archive(df, path, key, mode, partitions or [], order or key, trust_partitions)
 
 
+def _stored(spark, path: str):
+    """The archive with the columns of all its files."""
+    return read_table_if_exists(spark, path, merge_schema=True)
+
+
+def _same_key(left: DataFrame, right: DataFrame, key: list[str]):
+    """Keys are equal, null parts included."""
+    same = F.lit(True)
+    for c in key:
+        same = same & left[c].eqNullSafe(right[c])
+    return same
+
+
 def _archive(df, path, key, mode, partitions, order, trust_partitions) -> None:
     spark = df.sparkSession
-    stored = read_table_if_exists(spark, path)
+    stored = _stored(spark, path)
     if mode == "error":
         fresh = stage(df, "fresh-alerts")
         _clash(fresh.groupBy(*key).count().filter(F.col("count") > 1), key, path)
@@ -158,24 +173,31 @@ def _archive(df, path, key, mode, partitions, order, trust_partitions) -> None:
     fresh_keys = broadcast_if_small(fresh.select(*key, *partitions))
     near = _in_partitions_of(stored, fresh, partitions) if trust_partitions and partitions else stored
     if mode != "overwrite":
-        held = near.select(*key).join(fresh_keys.select(*key), key, "left_semi")
+        keys = near.select(*key)
+        held = keys.join(fresh_keys, _same_key(keys, fresh_keys, key), "left_semi")
         if mode == "error":
             _clash(held, key, path)
             append_parquet(fresh, path, partitions)
         else:
-            append_parquet(fresh.join(held.distinct(), key, "left_anti").select(*df.columns), path, partitions)
+            held = held.distinct()
+            append_parquet(fresh.join(held, _same_key(fresh, held, key), "left_anti").select(*df.columns), path, partitions)
         return
     if partitions and not trust_partitions:
         differs = F.lit(False)
         for c in partitions:
             differs = differs | ~F.col(f"o.{c}").cast("string").eqNullSafe(F.col(f"n.{c}").cast("string"))
-        moved = stored.select(*key, *partitions).alias("o").join(fresh_keys.alias("n"), key).filter(differs)
+        same = F.lit(True)
+        for c in key:
+            same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
+        moved = stored.select(*key, *partitions).alias("o").join(fresh_keys.alias("n"), same).filter(differs)
         if not moved.isEmpty():
             raise ValueError("a stored alert would move to another partition: partition values must follow from the key")
         near = _in_partitions_of(stored, fresh, partitions)
-    kept = near.join(fresh_keys.select(*key), key, "left_anti")
-    same_types = [F.col(c).cast(fresh.schema[c].dataType) for c in df.columns]
-    merged = stage(fresh.unionByName(kept.select(*same_types)), "merged-alerts")
+    kept = near.join(fresh_keys, _same_key(near, fresh_keys, key), "left_anti")
+    # Partition values come back as text. All other columns of either side stay,
+    # in the wider of two types.
+    kept = kept.withColumns({c: F.col(c).cast(fresh.schema[c].dataType) for c in partitions})
+    merged = stage(fresh.unionByName(kept, allowMissingColumns=True), "merged-alerts")
     writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(path)
 
@@ -197,7 +219,7 @@ def store_batch(
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(STORE_MODES)}")
     if mode == "error":
         _clash(df.groupBy(*key).count().filter(F.col("count") > 1), key, path)
-        stored = read_table_if_exists(df.sparkSession, path)
+        stored = _stored(df.sparkSession, path)
         if stored is not None:
             earlier = stored.filter(F.col(BATCH).cast("bigint") != batch_id).select(*key)
             _clash(earlier.join(broadcast_if_small(df.select(*key)), key, "left_semi"), key, path)
@@ -207,5 +229,5 @@ def store_batch(
 def read_store(spark: SparkSession, path: str, key: list[str], order: list[str], mode: str = "overwrite") -> DataFrame:
     """The store as one row per key: the last version stored, or the first one
     for a store kept in ``ignore`` mode."""
-    rows = spark.read.parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    rows = spark.read.option("mergeSchema", True).parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
     return latest_per_key(rows, key, [BATCH, *order], first=mode == "ignore")

@@ -20,8 +20,8 @@ from skytide.sources import avro_codec, avro_schema
 
 MODES = ("FAILFAST", "PERMISSIVE")
 OVERRIDE_ID = "override"
-# A registry is shipped to every task: refuse one that is not small.
-MAX_REGISTRY_SCHEMAS = 5000
+# Up to so many known ids keep the keys' schema texts out of the tasks.
+_MAX_KNOWN_FILTER = 200
 LOG_COLUMNS = ["topic", "partition", "offset", "timestamp"]
 
 
@@ -81,9 +81,7 @@ def topic_schema(raw: DataFrame, topic: str) -> str:
 
 def load_registry(table: DataFrame) -> dict[str, str]:
     """A registry table (``schema_id``, ``schema_json``) as a lookup for tasks."""
-    rows = table.select("schema_id", "schema_json").distinct().limit(MAX_REGISTRY_SCHEMAS + 1).collect()
-    if len(rows) > MAX_REGISTRY_SCHEMAS:
-        raise ValueError(f"registry holds more than {MAX_REGISTRY_SCHEMAS} schemas")
+    rows = table.select("schema_id", "schema_json").distinct().collect()
     return {r.schema_id: r.schema_json for r in rows}
 
 
@@ -103,17 +101,55 @@ def registry_from_folder(
 
 
 # -- decode -------------------------------------------------------------------
-def _decode_batches(batches, target, registry, keep, mode, output):
-    parsed: dict[str, dict] = {}
+def fields_outside(writer: T.StructType, target: T.StructType, path: str = "") -> list[str]:
+    """Names of a writer's fields, dotted when nested, that ``target`` has no place for."""
+    out = []
+    for field in writer.fields:
+        name = path + field.name
+        if field.name not in target.fieldNames():
+            out.append(name)
+            continue
+        inner, place = field.dataType, target[field.name].dataType
+        while isinstance(inner, T.ArrayType) and isinstance(place, T.ArrayType):
+            inner, place = inner.elementType, place.elementType
+        if isinstance(inner, T.StructType) and isinstance(place, T.StructType):
+            out += fields_outside(inner, place, name + ".")
+    return out
+
+
+# What a schema text or a body that no reader can use may raise.
+_UNUSABLE = (ValueError, KeyError, TypeError, AttributeError, IndexError, NotImplementedError, RecursionError, pa.ArrowException)
+
+
+def _decode_batches(batches, target, full, shared, keep, mode, output):
+    registry = shared.value
+    parsed: dict[str, tuple[dict | None, str | None, list[str] | None]] = {}
+
+    def read(text):
+        """Schema, error, fields outside the target, of a schema's text."""
+        try:
+            schema = avro_schema.parse(text)
+            if not isinstance(schema, dict) or schema.get("type") != "record":
+                return None, "not a record schema", None
+            return schema, None, fields_outside(avro_schema.avro_to_struct_type(schema), full) or None
+        except _UNUSABLE as err:
+            return None, f"unusable schema: {type(err).__name__}: {err}"[:300], None
 
     def lookup(ident, key):
         if ident not in parsed:
             text = registry.get(ident, key)
-            if text is None:
-                return None
-            parsed[ident] = avro_schema.parse(text)
+            found = (None, f"unknown schema {ident!r}", None) if text is None else read(text)
+            if found[0] is None and text is not None and ident not in registry and OVERRIDE_ID in registry:
+                found = read(registry[OVERRIDE_ID])  # a key that is no schema: as if there were none
+            parsed[ident] = found
         return parsed[ident]
 
+    def decode(bodies, schema):
+        try:
+            return (*avro_codec.decode_bodies(bodies, schema, target), None)
+        except _UNUSABLE as err:
+            return None, None, f"cannot read with this schema: {type(err).__name__}: {err}"[:300]
+
     for batch in batches:
         n = batch.num_rows
         if not n:
@@ -123,24 +159,28 @@ def _decode_batches(batches, target, registry, keep, mode, output):
         codes = ids.indices.to_numpy()
         parts, order = [], []
         errors = np.full(n, None, dtype=object)
+        dropped = np.full(n, None, dtype=object)
         replayed = np.zeros(n, dtype=bool)
         for code, ident in enumerate(ids.dictionary.to_pylist()):
             rows = np.flatnonzero(codes == code)
-            schema = lookup(ident, batch.column("_schema_text")[int(rows[0])].as_py())
-            if schema is None:
-                errors[rows] = f"unknown schema {ident!r}"
+            schema, problem, outside = lookup(ident, batch.column("_schema_text")[int(rows[0])].as_py())
+            bodies = value if len(rows) == n else value.take(pa.array(rows))
+            if schema is not None:
+                decoded, status, problem = decode(bodies, schema)
+            if problem is not None:
+                errors[rows] = problem
                 parts.append(pa.nulls(len(rows), target))
                 order.append(rows)
                 continue
-            bodies = value if len(rows) == n else value.take(pa.array(rows))
-            decoded, status = avro_codec.decode_bodies(bodies, schema, target)
+            if outside:
+                for i in rows:
+                    dropped[i] = outside
             bad = np.flatnonzero(status)
-            if bad.size and ident + REPLAYED_SUFFIX in registry:
+            twin = lookup(ident + REPLAYED_SUFFIX, None)[0] if bad.size and ident + REPLAYED_SUFFIX in registry else None
+            again, second, failed = decode(bodies.take(pa.array(bad)), twin) if twin is not None else (None, None, "none")
+            if failed is None:
                 # Same fields in another order: only worth a try once the first
                 # schema has failed, and the retry is reported.
-                again, second = avro_codec.decode_bodies(
-                    bodies.take(pa.array(bad)), lookup(ident + REPLAYED_SUFFIX, None), target
-                )
                 cured = np.flatnonzero(second == avro_codec.OK)
                 source = np.arange(len(rows))
                 source[bad[cured]] = len(rows) + cured
@@ -169,6 +209,7 @@ def _decode_batches(batches, target, registry, keep, mode, output):
             alert,
             pa.array(replayed),
             pa.array(errors, pa.string()),
+            pa.array(dropped, pa.list_(pa.string())),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=output)
 
@@ -187,8 +228,12 @@ def decode_alerts(
     ``target`` is the superset schema of the result; fields a writer lacks are
     null and fields outside ``columns`` are skipped, not built. The result has
     the kept log columns, ``schema_id``, ``alert``, ``replayed`` (decoded with
-    the reordered twin of its schema) and ``error``. ``FAILFAST`` raises on the
-    first bad message, ``PERMISSIVE`` gives it a null alert and an error.
+    the reordered twin of its schema), ``error`` and ``dropped_fields``, the
+    fields of the writer's schema for which ``target`` has no place (null if
+    none; fields left out by ``columns`` are a choice and not listed).
+    ``FAILFAST`` raises on the first bad message, ``PERMISSIVE`` gives it a null
+    alert and an error, also when its key is no usable schema. The registry goes
+    to the tasks once, as a Spark broadcast.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(MODES)}")
@@ -196,12 +241,12 @@ def decode_alerts(
     if override is not None:
         known[OVERRIDE_ID] = override if isinstance(override, str) else json.dumps(override)
     keep = [c for c in LOG_COLUMNS if c in raw.columns] if keep is None else keep
-    target = avro_schema.prune(target, columns)
+    full, target = target, avro_schema.prune(target, columns)
     resolved = resolve_schemas(raw, known.get(OVERRIDE_ID))
     key = F.col("key").cast("string")
     # The schema text goes to Python only when the registry lacks it.
     unknown = key_is_schema(key)
-    if known:
+    if known and len(known) <= _MAX_KNOWN_FILTER:
         unknown = unknown & ~F.col("schema_id").isin(*known)
     slim = resolved.select(*keep, "schema_id", "value", F.when(unknown, key).alias("_schema_text"))
     schema = T.StructType(
@@ -211,12 +256,14 @@ def decode_alerts(
             T.StructField("alert", target),
             T.StructField("replayed", T.BooleanType()),
             T.StructField("error", T.StringType()),
+            T.StructField("dropped_fields", T.ArrayType(T.StringType())),
         ]
     )
     run = partial(
         _decode_batches,
         target=pa.struct(list(to_arrow_schema(target))),
-        registry=known,
+        full=full,
+        shared=raw.sparkSession.sparkContext.broadcast(known),
         keep=keep,
         mode=mode,
         output=schema.fieldNames(),

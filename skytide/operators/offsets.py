@@ -54,10 +54,6 @@ def commit_offsets(spark: SparkSession, path: str, group: str, ranges: list[Rang
     record_run(spark, path, group, uuid.uuid4().hex, ranges, done=True)
 
 
-def runs_done(spark: SparkSession, path: str, group: str) -> int:
-    return _runs(spark, path, group).filter("done").select("run_id").distinct().count()
-
-
 def unfinished_run(spark: SparkSession, path: str, group: str, topics: list[str]) -> tuple[str, list[Range]] | None:
     """The run of this group and topics that was planned but never finished."""
     runs = _runs(spark, path, group).filter(F.col("topic").isin(*topics))

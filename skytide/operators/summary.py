@@ -62,10 +62,31 @@ def is_multi_messenger(topic: Column | str = "topic", naming: Naming = DEFAULT_N
 def alert_key(df: DataFrame, survey: str, naming: Naming = DEFAULT_NAMING) -> Column:
     """Text key of an alert, ``id1`` or ``id1_id2``.
 
-    Multi-messenger topics use the trigger; for the rest the survey decides.
+    Multi-messenger topics use the trigger; for the rest the survey decides. An
+    alert that lacks an id is known by its place in the log, where the frame has
+    it, so that two of them never share a key; without a place its key is null.
     """
-    usual = F.concat_ws("_", *[F.col(c).cast("string") for c in layout(survey).key])
-    if "triggerId" not in df.columns or "topic" not in df.columns:
-        return usual
-    mma = F.concat_ws("_", F.col("objectId").cast("string"), F.col("triggerId").cast("string"))
-    return F.when(is_multi_messenger("topic", naming), mma).otherwise(usual)
+
+    def joined(names):
+        parts = [F.col(c).cast("string") for c in names]
+        return F.concat(parts[0], *[p for c in parts[1:] for p in (F.lit("_"), c)])
+
+    key = joined(layout(survey).key)
+    if "triggerId" in df.columns and "topic" in df.columns:
+        key = F.when(is_multi_messenger("topic", naming), joined(["objectId", "triggerId"])).otherwise(key)
+    if not {"topic", "partition", "offset"} <= set(df.columns):
+        return key
+    return F.coalesce(key, F.concat_ws(":", F.lit("offset"), "topic", "partition", "offset"))
+
+
+def display_lines(summary: DataFrame) -> DataFrame:
+    """One text line per alert of a display table; a missing value shows as ``-``."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in summary.columns]
+    return summary.select(F.concat_ws(" | ", *cells).alias("line"))
+
+
+def print_rows(table: DataFrame) -> None:
+    """Print every row, fetched one partition at a time."""
+    print(" | ".join(table.columns))
+    for row in display_lines(table).toLocalIterator():
+        print(row.line)

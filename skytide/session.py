@@ -149,10 +149,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     return df
 
 
-def read_table_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None):
+def read_table_if_exists(spark: SparkSession, path: str, schema: T.StructType | None = None, merge_schema: bool = False):
     """The Parquet table at ``path``, or None when nothing was written yet."""
     try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
+        reader = spark.read.option("mergeSchema", merge_schema)
+        reader = reader if schema is None else reader.schema(schema)
         return reader.parquet(path)
     except AnalysisException as err:
         if err.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):

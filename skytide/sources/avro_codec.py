@@ -421,8 +421,12 @@ def encode(avro_type, arr: pa.Array, path: str = "record") -> pa.Array:
         if branch is None:
             return pa.array([null_tag] * n, pa.binary())
         present = np.flatnonzero(~_values(missing))
+        if not len(present):  # an absent column has no type to encode
+            if n and not has_null:
+                raise ValueError(f"{path}: null in a union without null")
+            return pa.array([null_tag] * n, pa.binary())
         body = encode(avro_type[branch], arr.take(pa.array(present)) if len(present) < n else arr, path)
-        tagged = _join(pa.scalar(bytes([2 * branch]), pa.binary()), body) if len(present) else body
+        tagged = _join(pa.scalar(bytes([2 * branch]), pa.binary()), body)
         return _spread(tagged, present, n).fill_null(null_tag) if len(present) < n else tagged
     kind = _kind(avro_type)
     if kind == "null":

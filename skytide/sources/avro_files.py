@@ -56,7 +56,6 @@ FLUSH_BYTES = 32 * 1024 * 1024
 MIN_PARTITION_BYTES = 256 * 1024
 # Blocks are decoded side by side, so many small ones beat a few large ones.
 WRITE_BLOCK_BYTES = 4 * 1024
-DRIVER_HEADER_FILES = 64
 
 
 @dataclass(frozen=True)
@@ -371,20 +370,20 @@ def register(spark: SparkSession) -> None:
 def distinct_file_schemas(spark: SparkSession, files: list[str]) -> list[str]:
     """Writer schemas of many files, their headers read by a Spark job.
 
-    Only the distinct schema texts come back, ordered by the first file that
-    carries each.
+    Only the distinct schema texts come back, in the order of the first file in
+    the list that carries each.
     """
 
     def headers(batches):
         for batch in batches:
             paths = batch.column(0).to_pylist()
             schemas = pa.array([file_schema(p) for p in paths], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), schemas], ["path", "schema_json"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), schemas], ["place", "schema_json"])
 
-    listing = spark.createDataFrame(pa.table({"path": pa.array(files, pa.string())}))
+    listing = spark.createDataFrame(pa.table({"path": pa.array(files, pa.string()), "place": pa.array(range(len(files)), pa.int64())}))
     width = max(1, min(len(files) // 16, 4 * spark.sparkContext.defaultParallelism))
-    found = listing.repartition(width).mapInArrow(headers, "path string, schema_json string")
-    rows = found.groupBy("schema_json").agg(F.min("path").alias("path")).orderBy("path").collect()
+    found = listing.repartition(width).mapInArrow(headers, "place bigint, schema_json string")
+    rows = found.groupBy("schema_json").agg(F.min("place").alias("place")).orderBy("place").collect()
     return [r.schema_json for r in rows]
 
 
@@ -408,10 +407,7 @@ def read_alerts(
     for name, _ in files:
         _check_suffix(name)
     if avro_schemas is None:
-        if len(files) > DRIVER_HEADER_FILES:
-            avro_schemas = distinct_file_schemas(spark, [f for f, _ in files])
-        else:
-            avro_schemas = list(dict.fromkeys(file_schema(f) for f, _ in files))
+        avro_schemas = distinct_file_schemas(spark, [f for f, _ in files])
     reader = (
         spark.read.format("alert_avro")
         .option("avroSchema", json.dumps([avro_schema.parse(s) for s in avro_schemas]))

@@ -95,19 +95,21 @@ def read_topics(
     topics: list[str],
     path: str | None = None,
     streaming: bool = False,
-    start: str | dict[int, int] = "earliest",
+    start: str | dict[int, int] | list[tuple[str, int, int]] = "earliest",
     kafka: dict | None = None,
     per_trigger: int | None = None,
 ) -> DataFrame:
     """Messages of the given topics from a topic-log table or from Kafka.
 
     ``start`` is ``earliest``, ``latest`` or an offset per partition (one topic
-    only). ``per_trigger`` bounds a micro-batch: files of a table, messages of
+    only; partitions it leaves out start at their beginning); for a table also a
+    list of (topic, partition, offset). ``latest`` is looked up anew at each
+    call: a restarted stream has to be given what it started with. ``per_trigger`` bounds a micro-batch: files of a table, messages of
     Kafka. With a checkpoint, a restarted stream goes on where it stopped.
     """
     if not topics:
         warnings.warn("no topic given: nothing to read")
-    if not isinstance(start, (str, dict)) or (isinstance(start, str) and start not in ("earliest", "latest")):
+    if not isinstance(start, (str, dict, list)) or (isinstance(start, str) and start not in ("earliest", "latest")):
         raise ValueError(f"start position must be earliest, latest or offsets per partition, not {start!r}")
     if isinstance(start, dict) and len(topics) != 1:
         raise ValueError("offsets per partition need exactly one topic")
@@ -133,10 +135,27 @@ def read_topics(
     if start == "earliest":
         return log
     if start == "latest":
-        now = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic").isin(*topics))
-        seen = [(r.topic, r.partition, r.hi, None) for r in offset_bounds(now).collect()]
-        return within_ranges(log, seen, others=True)
-    return within_ranges(log, [(topics[0], p, o, None) for p, o in sorted(start.items())])
+        start = latest_positions(spark, topics, path)
+    elif isinstance(start, dict):
+        start = [(topics[0], p, o) for p, o in sorted(start.items())]
+    # Partitions without a start of their own are read from their beginning.
+    return within_ranges(log, [(t, p, o, None) for t, p, o in start], others=True)
+
+
+def all_topics(spark: SparkSession, path: str | None = None, kafka: dict | None = None) -> DataFrame:
+    """Messages of every topic of a log table, or of every topic the Kafka client may read."""
+    if path is not None:
+        return spark.read.schema(LOG_SCHEMA).parquet(path)
+    if not has_kafka(spark):
+        raise RuntimeError("the Kafka connector is not on the class path; give a topic-log path instead")
+    options = kafka_options(kafka or {}) | {"subscribePattern": ".*"}
+    return spark.read.format("kafka").options(**options).load().select(*LOG_NAMES)
+
+
+def latest_positions(spark: SparkSession, topics: list[str], path: str) -> list[tuple[str, int, int]]:
+    """Topic, partition and the offset after the last message of a log table."""
+    now = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic").isin(*topics))
+    return [(r.topic, r.partition, r.hi) for r in offset_bounds(now).collect()]
 
 
 def number_messages(df: DataFrame, topic: Column, partition: Column, order: list[str], path: str | None = None) -> DataFrame:

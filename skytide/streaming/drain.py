@@ -58,6 +58,11 @@ class TransferJob:
         safe = hashlib.sha256(f"{self.group}\0{self.topic}".encode()).hexdigest()[:16]
         return f"{self.checkpoints.rstrip('/')}/{safe}/{self.generation}"
 
+    @property
+    def run_group(self) -> str:
+        """The group that bounded runs commit under: each generation has its own offsets."""
+        return self.group if self.generation == 0 else f"{self.group} generation {self.generation}"
+
     @property
     def output(self) -> str:
         base = self.archive.rstrip("/")
@@ -138,16 +143,16 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
     filesystem, inner = open_filesystem(job.output)
     if filesystem.get_file_info(f"{inner}/_spark_metadata").type != FileType.NotFound:
         raise ValueError(f"{job.output} belongs to a streaming drain; bounded runs need an archive of their own")
-    pending = unfinished_run(spark, runs_path, job.group, [job.topic])
+    pending = unfinished_run(spark, runs_path, job.run_group, [job.topic])
     if pending is not None:
         run_id, ranges = pending
     else:
         log = read_topics(spark, [job.topic], job.log_path, kafka=job.kafka)
-        ranges = plan_ranges(log, read_committed(spark, runs_path, job.group), limit)
+        ranges = plan_ranges(log, read_committed(spark, runs_path, job.run_group), limit)
         if not any(end > start for _, _, start, end in ranges):
             return 0
         run_id = uuid.uuid4().hex
-        record_run(spark, runs_path, job.group, run_id, ranges, done=False)
+        record_run(spark, runs_path, job.run_group, run_id, ranges, done=False)
     batch = read_ranges(spark, ranges, job.log_path, job.kafka)
     rows, partitions = decoded_rows(batch, job, job.writer_schema(spark))
     folder = f"{job.output}/run={run_id}"
@@ -157,5 +162,5 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
         # A backlog of many days on many tasks would give tasks x days files.
         rows = rows.hint("rebalance", *partitions) if job.gather_partitions and partitions else rows
         rows.write.mode("overwrite").partitionBy(*partitions).parquet(folder)
-    record_run(spark, runs_path, job.group, run_id, ranges, done=True)
+    record_run(spark, runs_path, job.run_group, run_id, ranges, done=True)
     return sum(end - start for _, _, start, end in ranges)

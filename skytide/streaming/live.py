@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -14,11 +15,11 @@ from pyspark.sql import types as T
 from skytide.naming import DEFAULT_NAMING, Naming
 from skytide.operators.archive import read_store, store_batch, with_partitions
 from skytide.operators.decode import decode_alerts
-from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, runs_done, unfinished_run
+from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, unfinished_run
 from skytide.operators.outbox import channels_busy_until, notification_outbox, throttle
-from skytide.operators.summary import alert_key, alert_summary
-from skytide.session import read_table_if_exists, staging_scope
-from skytide.sources.topic_log import read_topics
+from skytide.operators.summary import alert_key, alert_summary, print_rows
+from skytide.session import read_table_if_exists, small_table, staging_scope
+from skytide.sources.topic_log import latest_positions, read_topics
 
 
 @dataclass(frozen=True)
@@ -80,7 +81,7 @@ def _batch_action(job: LiveJob):
             if job.summary:
                 alert_summary(alerts, job.survey).write.mode("overwrite").parquet(f"{job.summary}/batch={batch_id}")
             if job.display:
-                alert_summary(alerts, job.survey).show(truncate=False)
+                print_rows(alert_summary(alerts, job.survey))
         finally:
             batch.unpersist()
 
@@ -107,18 +108,36 @@ def run_limited(spark: SparkSession, job: LiveJob, runs_path: str, limit: int |
         ranges = plan_ranges(log, read_committed(spark, runs_path, group), limit)
         if not any(end > start for _, _, start, end in ranges):
             return 0
-        run_id = uuid.uuid4().hex
+        # The batch number is part of the run: a repeat writes to the same folders,
+        # later runs have higher numbers, whatever other topics' runs do meanwhile.
+        run_id = f"{time.time_ns()}-{uuid.uuid4().hex}"
         record_run(spark, runs_path, group, run_id, ranges, done=False)
-    batch_id = runs_done(spark, runs_path, group)
+    batch_id = int(run_id.split("-")[0])
     _batch_action(job)(_decoded(read_ranges(spark, ranges, job.log_path, job.kafka), job), batch_id)
     record_run(spark, runs_path, group, run_id, ranges, done=True)
     return sum(end - start for _, _, start, end in ranges)
 
 
+def _decided_start(spark: SparkSession, job: LiveJob):
+    """Where a query over a log table begins. ``latest`` is decided once and kept
+    beside the checkpoint: a restart must not skip what came while it was down.
+    Kafka's own checkpoint keeps it there."""
+    if job.start != "latest" or job.log_path is None:
+        return job.start
+    path = f"{job.checkpoint.rstrip('/')}-start"
+    schema = T.StructType.fromDDL("topic string, partition int, offset bigint")
+    kept = read_table_if_exists(spark, path, schema)
+    if kept is None:
+        rows = [dict(topic=t, partition=p, offset=o) for t, p, o in latest_positions(spark, job.topics, job.log_path)]
+        small_table(spark, rows, schema).coalesce(1).write.parquet(path)
+        kept = spark.read.schema(schema).parquet(path)
+    return [(r.topic, r.partition, r.offset) for r in kept.collect()]
+
+
 def start_live(spark: SparkSession, job: LiveJob, available_now: bool = False):
     """Start the live query: endless with a poll interval, or until what is
     there now has been handled."""
-    raw = read_topics(spark, job.topics, job.log_path, True, job.start, job.kafka, job.per_trigger)
+    raw = read_topics(spark, job.topics, job.log_path, True, _decided_start(spark, job), job.kafka, job.per_trigger)
     query = _decoded(raw, job).writeStream.foreachBatch(_batch_action(job)).option("checkpointLocation", job.checkpoint)
     if available_now:
         return query.trigger(availableNow=True).start()
