@@ -97,10 +97,15 @@ def lightcurve(
 
 
 def bands_present(points: DataFrame, ids: list[str]) -> DataFrame:
-    """Distinct bands of each light curve."""
+    """Distinct bands of each light curve, from its points in rows."""
     return points.select(*ids, "band").distinct()
 
 
+def bands_of(alert_bands: Column, history_bands: Column) -> Column:
+    """Distinct bands of the light curve one row holds: no rows are made, nothing is shuffled."""
+    return F.array_distinct(F.concat(F.array(alert_bands), F.coalesce(history_bands, F.array().cast("array<string>"))))
+
+
 def object_history(
     spark: SparkSession,
     archive_path: str,

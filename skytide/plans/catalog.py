@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,9 @@ from skytide.naming import MMA_STREAMS, Naming
 from skytide.operators import archive, cutouts, decode, lightcurve, offsets, outbox, summary, topics
 from skytide.plans import derived
 from skytide.session import scratch_path, small_table
-from skytide.sources.avro_files import read_alerts, write_avro
+from skytide.sources.avro_files import CODECS, list_files, read_alerts, write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, struct_type_to_avro, superset
-from skytide.sources.topic_log import read_topics
+from skytide.sources.topic_log import LOG_SCHEMA, read_topics, write_topic_log
 from skytide.streaming.drain import TransferJob, drain_topic, transfer_limited
 from skytide.streaming.live import LiveJob, start_live, stored_alerts
 
@@ -85,6 +86,20 @@ def alert_key(spark, sf_dir):
     )
 
 
+def display_rows(spark, sf_dir):
+    """Every alert as the line that is shown for it."""
+    rows = derived.ztf_measurements(spark, sf_dir)
+    nested = rows.select("topic", "objectId", "cdsxmatch", F.struct("jd", F.round("magpsf", 3).cast("decimal(12,3)").alias("magpsf")).alias("candidate"))
+    return summary.display_lines(summary.alert_summary(nested, "ztf", _received()).drop("emitted"))
+
+
+def missing_ids(spark, sf_dir):
+    """Alerts that lack an id are known by their place in the log."""
+    rows = derived.ztf_measurements(spark, sf_dir).withColumn("partition", F.lit(1)).withColumn("offset", F.col("candid"))
+    lacking = rows.withColumn("objectId", F.when(F.col("candid") % 3 != 0, F.col("objectId")))
+    return lacking.select("offset", summary.alert_key(lacking, "ztf").alias("alert_key"))
+
+
 def poll_rows(spark, sf_dir):
     rows = derived.ztf_measurements(spark, sf_dir).withColumn("roid", F.col("fid"))
     polled = summary.poll_rows(rows, _received())
@@ -207,9 +222,12 @@ def lightcurve_lsst(spark, sf_dir):
 
 
 def bands_present(spark, sf_dir):
-    points = lightcurve.lightcurve(derived.lsst_alerts(spark, sf_dir), "lsst", ["diaObject"])
-    named = points.withColumn("object_id", F.col("diaObject.diaObjectId")).filter(F.col("object_id").isNotNull())
-    return lightcurve.bands_present(named, ["object_id"])
+    """All objects, static and moving; each row's own bands first, so that only
+    distinct bands of an alert reach the shuffle."""
+    alerts = derived.lsst_alerts(spark, sf_dir)
+    bands = lightcurve.bands_of(F.col("diaSource.band"), F.col("prvDiaSources.band"))
+    rows = alerts.select(summary.lsst_id(alerts)[0].alias("object_id"), F.explode(bands).alias("band"))
+    return lightcurve.bands_present(rows, ["object_id"])
 
 
 def quality_tags(spark, sf_dir):
@@ -332,6 +350,12 @@ def start_offsets(spark, sf_dir):
     return seen.select("topic", "partition", "offset")
 
 
+def partial_start_offsets(spark, sf_dir):
+    """Partitions without a start offset of their own are read from the beginning."""
+    seen = read_topics(spark, ["view"], derived.mixed_log_path(spark, sf_dir), start={0: 5})
+    return seen.select("topic", "partition", "offset")
+
+
 # -- codec --------------------------------------------------------------------
 def _plain(df: DataFrame) -> DataFrame:
     return df.select("event_id", "ts", "user_id", "event_type", "value", "props")
@@ -370,6 +394,58 @@ def avro_files_union(spark, sf_dir):
     return _plain(read_alerts(spark, path))
 
 
+def avro_codecs(spark, sf_dir):
+    """Files of every block codec and of different folders, read as one list."""
+    rows, paths = derived.event_records(spark, sf_dir), []
+    for k, codec in enumerate(CODECS):
+        paths.append(scratch_path(spark, f"avro-{codec}"))
+        write_avro(rows.filter(F.col("event_id") % len(CODECS) == k), paths[-1], derived.EVENT_V2, compression=codec)
+    return _plain(read_alerts(spark, paths))
+
+
+def many_versions(spark, sf_dir):
+    """A hundred files, the newer version first in the list: the version listed last gives the type."""
+    rows, parts = derived.event_records(spark, sf_dir), []
+    record = {"type": "record", "name": "labelled", "fields": [{"name": "label", "type": "string"}]}
+    newer = {**derived.EVENT_V1, "fields": [f if f["name"] != "value" else {"name": "value", "type": [record, "null"]} for f in derived.EVENT_V1["fields"]]}
+    old = F.col("event_id") % 2 == 0
+    for label, kept, schema in (("z-old", rows.filter(old), derived.EVENT_V1), ("a-new", rows.filter(~old).withColumn("value", F.struct(F.col("event_type").alias("label"))), newer)):
+        path = scratch_path(spark, label)
+        write_avro(kept.drop("props").repartition(50), path, schema)
+        parts += [f for f, _ in list_files(path)]
+    read = read_alerts(spark, parts)
+    return read.select("event_id", F.col("value.label").alias("label"), F.round("value_legacy", 6).alias("value_legacy"))
+
+
+def encode_missing_fields(spark, sf_dir):
+    """Optional fields the rows lack altogether, an array and a record among them, are encoded as null."""
+    fields = [*derived.EVENT_V1["fields"], {"name": "tags", "type": [{"type": "array", "items": "string"}, "null"]},
+              {"name": "more", "type": ["null", {"type": "record", "name": "more", "fields": [{"name": "x", "type": "int"}]}]}]
+    schema = json.dumps({**derived.EVENT_V1, "fields": fields})
+    bodies = decode.encode_alerts(derived.event_records(spark, sf_dir).drop("props"), schema)
+    back = decode.decode_alerts(bodies.select(F.lit(None).cast("binary").alias("key"), "value"), avro_to_struct_type(schema), override=schema)
+    return back.select("alert.event_id", F.col("alert.tags").isNull().alias("no_tags"), F.col("alert.more").isNull().alias("no_more"))
+
+
+def wider_schema(spark, sf_dir):
+    """Messages whose own schema has a field the target lacks: decoded, and the field is named."""
+    decoded = decode.decode_alerts(derived.mixed_log(spark, sf_dir), avro_to_struct_type(json.dumps(derived.EVENT_V1)), derived.REGISTRY)
+    return decoded.select("topic", "partition", "offset", F.array_join("dropped_fields", ",").alias("dropped"))
+
+
+def poison_keys(spark, sf_dir):
+    """Keys that are no JSON, no record, or of a type no reader knows: one error a
+    message, all others decoded."""
+    bad = F.element_at(
+        F.array(*[F.lit(t) for t in ("{not json", '{"type": "map", "values": "int"}', '{"type": "record", "name": "r", "fields": [{"name": "f", "type": {"type": "fixed", "size": 4, "name": "q"}}]}')]),
+        (F.col("offset") % 3 + 1).cast("int"),
+    )
+    log = derived.mixed_log(spark, sf_dir)
+    poisoned = log.withColumn("key", F.when(F.col("topic") == "view", bad.cast("binary")).otherwise(F.col("key")))
+    decoded = decode.decode_alerts(poisoned, superset([derived.EVENT_V1, derived.EVENT_V2]), derived.REGISTRY, mode="PERMISSIVE")
+    return decoded.select("topic", "partition", "offset", F.col("error").isNotNull().alias("failed"), F.col("alert.event_id"))
+
+
 def _decoded_log(spark, sf_dir):
     target = superset([derived.EVENT_V1, derived.EVENT_V2])
     return decode.decode_alerts(derived.mixed_log(spark, sf_dir), target, derived.REGISTRY)
@@ -441,9 +517,10 @@ def drain_resume(spark, sf_dir):
 
 
 def drain_avro(spark, sf_dir):
-    job = _job(spark, sf_dir, partition_by=None, out_format="avro")
+    """Several micro-batches into Avro folders, read back as one archive."""
+    job = _job(spark, sf_dir, partition_by=None, out_format="avro", per_trigger=2)
     drain_topic(spark, job, max_idle=1)
-    return _plain(read_alerts(spark, f"{job.output}/batch=0"))
+    return _plain(read_alerts(spark, job.output))
 
 
 def _half(spark, sf_dir) -> int:
@@ -466,16 +543,46 @@ def bounded_resume(spark, sf_dir):
     return spark.read.parquet(job.output).select("partition", "offset", "event_id")
 
 
-def live_stream(spark, sf_dir):
-    """The live query over all topics: keyed archive of the decoded alerts."""
-    job = LiveJob(
+def limited_generation(spark, sf_dir):
+    """A bounded run of everything, then the same as a new generation: all messages again."""
+    job = _job(spark, sf_dir, partition_by=None, with_offsets=True)
+    committed = scratch_path(spark, "committed")
+    transfer_limited(spark, job, committed, None)
+    again = TransferJob(**{**job.__dict__, "generation": 1})
+    transfer_limited(spark, again, committed, None)
+    return spark.read.parquet(again.output).select("partition", "offset", "event_id")
+
+
+def _live_job(spark, sf_dir, **more) -> LiveJob:
+    return LiveJob(
         topics=["view", "signup", "click", "error", "purchase"],
         checkpoint=scratch_path(spark, "live-checkpoint"),
         target=avro_to_struct_type(derived.LIVE_SCHEMA),
-        log_path=derived.live_log_path(spark, sf_dir),
         registry=derived.LIVE_REGISTRY,
         archive=scratch_path(spark, "live-archive"),
+        **more,
     )
+
+
+def restart_latest(spark, sf_dir):
+    """A query that starts at the latest message, stops, and starts again: what
+    came while it was down is delivered, what was there before is not."""
+    path = scratch_path(spark, "log")
+    log = spark.read.schema(LOG_SCHEMA).parquet(derived.live_log_path(spark, sf_dir)).withColumn("old", F.col("offset") % 2 == 0)
+    before = log.groupBy("topic", "partition").agg(F.count_if("old").alias("n"))
+    log = log.withColumn("offset", F.floor(F.col("offset") / 2))
+    write_topic_log(log.filter("old"), path)
+    job = _live_job(spark, sf_dir, log_path=path, start="latest")
+    start_live(spark, job, available_now=True).awaitTermination()
+    later = log.filter("not old").join(before, ["topic", "partition"]).withColumn("offset", F.col("offset") + F.col("n"))
+    write_topic_log(later, path)
+    start_live(spark, job, available_now=True).awaitTermination()
+    return stored_alerts(spark, job).select("topic", "partition", "alert_key")
+
+
+def live_stream(spark, sf_dir):
+    """The live query over all topics: keyed archive of the decoded alerts."""
+    job = _live_job(spark, sf_dir, log_path=derived.live_log_path(spark, sf_dir))
     start_live(spark, job, available_now=True).awaitTermination()
     return stored_alerts(spark, job).select("topic", "partition", "alert_key", "magpsf")
 
@@ -495,6 +602,16 @@ def archive_overwrite(spark, sf_dir):
     return _two_versions(spark, sf_dir, "overwrite")
 
 
+def archive_evolved_schema(spark, sf_dir):
+    """An overwrite by rows with one column less and one more: no column is lost."""
+    rows, columns = archive.with_partitions(derived.ztf_measurements(spark, sf_dir), "time", "ztf")
+    path = scratch_path(spark, "store-evolved")
+    archive.archive_alerts(rows.withColumn("fid", F.col("fid").cast("int")), path, ["candid"], "overwrite", columns, ["jd"])
+    revised = rows.filter("topic = 'signup'").drop("diffmaglim").withColumn("note", F.lit("revised")).withColumn("fid", F.col("fid").cast("bigint"))
+    archive.archive_alerts(revised, path, ["candid"], "overwrite", columns, ["jd"])
+    return spark.read.option("mergeSchema", True).parquet(path).filter("month is not null").select("candid", F.col("fid").cast("bigint").alias("fid"), "diffmaglim", "note")
+
+
 def archive_ignore(spark, sf_dir):
     return _two_versions(spark, sf_dir, "ignore")
 
@@ -523,19 +640,22 @@ def cutout_stats(spark, sf_dir):
 
 def cutouts_long(spark, sf_dir):
     """Display-oriented pixels, one row per image row."""
-    long = cutouts.cutouts_long(derived.image_alerts(spark, sf_dir), "lsst", kinds=("Difference",))
+    long = cutouts.cutouts_long(derived.image_alerts(spark, sf_dir), "lsst")
     images = cutouts.decode_cutouts(long, clean=True, display_orientation=True)
-    rows = images.select("diaSourceId", "width", F.posexplode("pixels").alias("at", "pixel"))
-    return rows.groupBy("diaSourceId", F.floor(F.col("at") / F.col("width")).alias("y")).agg(
-        F.round(F.sum(F.col("pixel").cast("double")), 5).alias("row_sum"),
-        F.round(F.max(F.col("pixel").cast("double")), 6).alias("row_max"),
+    # A row of pixels is a slice of its image's array: no pixel becomes a row.
+    y = F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")
+    rows = images.select("diaSourceId", "kind", "width", "pixels", y)
+    line = F.slice("pixels", F.col("y") * F.col("width") + 1, F.col("width"))
+    return rows.select(
+        "diaSourceId", "kind", F.col("y").cast("bigint").alias("y"),
+        F.round(F.aggregate(line, F.lit(0.0), lambda total, x: total + x), 5).alias("row_sum"),
+        F.round(F.array_max(line), 6).alias("row_max"),
     )
 
 
 def plain_fits(spark, sf_dir):
-    long = cutouts.cutouts_long(derived.image_alerts(spark, sf_dir), "lsst", kinds=("Difference",))
-    plain = cutouts.plain_fits(long)
-    return plain.select("diaSourceId", F.length("fits").alias("n_bytes"), F.substring("fits", 1, 6).cast("string").alias("head"))
+    plain = cutouts.plain_fits(cutouts.cutouts_long(derived.image_alerts(spark, sf_dir), "lsst"))
+    return plain.select("diaSourceId", "kind", F.length("fits").alias("n_bytes"), F.substring("fits", 1, 6).cast("string").alias("head"))
 
 
 def object_cutout(spark, sf_dir):
@@ -587,16 +707,16 @@ def outbox_throttle(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        detections_per_object, alert_summary_ztf, alert_summary_lsst, alert_key, poll_rows, topic_catalogue,
+        detections_per_object, alert_summary_ztf, alert_summary_lsst, alert_key, display_rows, missing_ids, poll_rows, topic_catalogue,
         date_partitions, date_partitions_nested, partition_fallback, jd_to_mjd, tai_to_utc,
         relative_days_last, relative_days_first, extract_field, lightcurve_long, lightcurve_lsst,
         bands_present, quality_tags, flux_to_mag, object_history,
         legal_topic_name, legal_topic_text, markdown_escape, tag_topic_name,
         topic_log, offset_lag, offset_totals, nonempty_partitions, last_offsets, partition_counts,
-        partition_sizes, backlog_report, start_offsets,
-        avro_roundtrip, avro_files_roundtrip, avro_files_union, multi_schema_union, dead_letters, schema_table,
-        drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, live_stream,
-        archive_overwrite, archive_ignore, latest_per_object,
+        partition_sizes, backlog_report, start_offsets, partial_start_offsets,
+        avro_roundtrip, avro_files_roundtrip, avro_files_union, avro_codecs, many_versions, encode_missing_fields, wider_schema, poison_keys, multi_schema_union, dead_letters, schema_table,
+        drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, limited_generation, restart_latest, live_stream,
+        archive_overwrite, archive_evolved_schema, archive_ignore, latest_per_object,
         cutout_stats, cutouts_long, object_cutout, plain_fits, notification_outbox, outbox_throttle,
     )
 }

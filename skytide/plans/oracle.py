@@ -201,7 +201,44 @@ SELECT candid AS diaSourceId, band, count(*) AS n_points, count(*) FILTER (shown
        round(max(CASE WHEN shown AND f > 0 THEN 2.5 / ln(10) * e / f END), 9) AS magerr_max
 FROM q GROUP BY ALL""",
     "bands_present": f"""
-WITH {_MEASURED} SELECT DISTINCT user_id AS object_id, band FROM m WHERE user_id % 5 <> 0""",
+WITH {_MEASURED}
+SELECT DISTINCT CASE WHEN user_id % 5 <> 0 THEN CAST(user_id AS VARCHAR) ELSE 'SSO-' || user_id END AS object_id, band FROM m""",
+    "display_rows": f"""
+WITH {_MEASURED}
+SELECT '2024-02-01 12:00:00 | ' || topic || ' | ' || objectId || ' | ' || coalesce(props, '-') || ' | ' ||
+       coalesce(CAST(CAST(round(magpsf, 3) AS DECIMAL(12, 3)) AS VARCHAR), '-') AS line FROM m""",
+    "missing_ids": f"""
+WITH {_MEASURED}
+SELECT candid AS "offset", CASE WHEN candid % 3 <> 0 THEN objectId || '_' || candid
+       ELSE 'offset:' || topic || ':1:' || candid END AS alert_key FROM m""",
+    "partial_start_offsets": f"""
+WITH {_LOG}
+SELECT topic, part AS "partition", off AS "offset" FROM log WHERE topic = 'view' AND (part <> 0 OR off >= 5)""",
+    "avro_codecs": _PLAIN,
+    "many_versions": """
+SELECT event_id, CASE WHEN event_id % 2 = 1 THEN event_type END AS label,
+       CASE WHEN event_id % 2 = 0 THEN round(value, 6) END AS value_legacy FROM events""",
+    "encode_missing_fields": "SELECT event_id, TRUE AS no_tags, TRUE AS no_more FROM events",
+    "wider_schema": f"""
+WITH {_LOG}
+SELECT topic, part AS "partition", off AS "offset", CASE WHEN topic <> 'click' THEN 'props' END AS dropped FROM log""",
+    "poison_keys": f"""
+WITH {_LOG}
+SELECT topic, part AS "partition", off AS "offset", topic = 'view' AS failed, CASE WHEN topic <> 'view' THEN event_id END AS event_id
+FROM log""",
+    "limited_generation": f"""
+WITH {_BULK} SELECT CAST(part AS INTEGER) AS "partition", off AS "offset", event_id FROM log""",
+    "restart_latest": """
+WITH log AS (
+  SELECT *, CAST(user_id % 4 AS INTEGER) AS part,
+         row_number() OVER (PARTITION BY event_type, user_id % 4 ORDER BY epoch_us(ts) // 1000, event_id) - 1 AS off
+  FROM events
+)
+SELECT event_type AS topic, part AS "partition", user_id || '_' || event_id AS alert_key FROM log WHERE off % 2 = 1""",
+    "archive_evolved_schema": f"""
+WITH {_MEASURED}
+SELECT candid, CAST(fid AS BIGINT) AS fid, CASE WHEN topic <> 'signup' THEN diffmaglim END AS diffmaglim,
+       CASE WHEN topic = 'signup' THEN 'revised' END AS note FROM m""",
     "quality_tags": f"""
 WITH {_MEASURED},
 t AS (
@@ -310,16 +347,16 @@ FROM im""",
 WITH px AS (
   SELECT vec_id, len(embedding) // 8 AS height, unnest(range(len(embedding))) AS i, unnest(embedding) AS v FROM embeddings
 )
-SELECT vec_id AS diaSourceId, height - 1 - i // 8 AS y, round(sum(CAST(v AS DOUBLE)), 5) AS row_sum,
-       round(max(CAST(v AS DOUBLE)), 6) AS row_max
-FROM px GROUP BY ALL""",
+SELECT vec_id AS diaSourceId, kind, height - 1 - i // 8 AS y, round(sum(sign * CAST(v AS DOUBLE)), 5) AS row_sum,
+       round(max(sign * CAST(v AS DOUBLE)), 6) AS row_max
+FROM px, (VALUES ('Science', 1), ('Template', -1), ('Difference', 1)) AS k(kind, sign) GROUP BY ALL""",
     "object_cutout": """
 SELECT vec_id AS diaSourceId, CAST(len(embedding) // 8 AS INTEGER) AS height,
        round(list_sum(list_transform(embedding[-8:], lambda x: CAST(x AS DOUBLE))), 5) AS top_row_sum
 FROM embeddings WHERE label = 1""",
     "plain_fits": """
-SELECT vec_id AS diaSourceId, 2880 + 2880 * CAST(ceil(len(embedding) * 4 / 2880) AS INTEGER) AS n_bytes, 'SIMPLE' AS head
-FROM embeddings""",
+SELECT vec_id AS diaSourceId, kind, 2880 + 2880 * CAST(ceil(len(embedding) * 4 / 2880) AS INTEGER) AS n_bytes, 'SIMPLE' AS head
+FROM embeddings, (VALUES ('Science'), ('Template'), ('Difference')) AS k(kind)""",
     "notification_outbox": f"""
 WITH {_ROUTED},
 n AS (

@@ -8,15 +8,17 @@ cannot be cut. Writing: one container file per task, moved into place on commit.
 Options of the reader: ``avroSchema`` (JSON list of writer schemas, oldest
 first, skips the reading of file headers), ``columns`` (comma-separated fields
 to materialise), ``maxFiles``, ``maxPartitionBytes``, ``logicalTypes``.
-Options of the writer: ``avroSchema`` (one schema), ``compression`` (``null``
-or ``deflate``).
+Options of the writer: ``avroSchema`` (one schema), ``compression`` (one of
+``null``, ``deflate``, ``snappy``, ``bzip2``, ``xz``, ``zstandard``).
 """
 
 from __future__ import annotations
 
+import bz2
 import fnmatch
 import io
 import json
+import lzma
 import os
 import posixpath
 import uuid
@@ -48,6 +50,7 @@ from skytide.sources import avro_codec, avro_schema
 MAGIC = b"Obj\x01"
 FOLDER_PATTERN = "*.avro*"
 PLAIN_SUFFIX, GZIP_SUFFIX = ".avro", ".avro.gz"
+PART_FOLDERS = ("batch=", "run=")
 
 SYNC_SIZE = 16
 MAX_PARTITION_BYTES = 128 * 1024 * 1024
@@ -71,11 +74,12 @@ class ChunkPartition(InputPartition):
 
 
 # -- listing ------------------------------------------------------------------
-def list_files(path: str | list[str], max_files: int | None = None) -> list[tuple[str, int]]:
+def list_files(path: str | list[str], max_files: int | None = None, nested: bool = True) -> list[tuple[str, int]]:
     """(path, size) of the files a path form names, in name order.
 
-    A list names files; a folder gives its own ``*.avro*`` files, not those of
-    sub-folders; anything else must be one existing file.
+    A list names files or folders; a folder gives its own ``*.avro*`` files and
+    those of its ``batch=`` and ``run=`` folders, as a transfer writes them, but
+    not those of other sub-folders; anything else must be one existing file.
     """
     paths = path if isinstance(path, list) else [path]
     found = []
@@ -85,8 +89,10 @@ def list_files(path: str | list[str], max_files: int | None = None) -> list[tupl
         info = filesystem.get_file_info(inner)
         if info.type == pafs.FileType.File:
             found.append((one, info.size))
-        elif info.type == pafs.FileType.Directory and not isinstance(path, list):
+        elif info.type == pafs.FileType.Directory:
             inside = filesystem.get_file_info(pafs.FileSelector(inner, recursive=False))
+            parts = [i.path for i in inside if nested and not i.is_file and i.base_name.startswith(PART_FOLDERS)]
+            inside += [i for p in sorted(parts) for i in filesystem.get_file_info(pafs.FileSelector(p, recursive=False))]
             names = [i for i in inside if i.is_file and fnmatch.fnmatch(i.base_name, FOLDER_PATTERN)]
             found.extend((prefix + i.path, i.size) for i in sorted(names, key=lambda i: i.path))
         else:
@@ -151,16 +157,48 @@ def file_schema(path: str) -> str:
         return read_header(stream).schema_json
 
 
-def _inflate(payload: bytes, codec: str) -> bytes:
-    if codec == "null":
-        return payload
-    if codec == "deflate":
-        return zlib.decompress(payload, -15)
-    if codec == "zstandard":
-        import zstandard
+def _snappy_inflate(payload: bytes) -> bytes:
+    # a raw block starts with its size; a checksum of the content follows it
+    body, size = payload[:-4], _stream_long_raw(payload)
+    content = pa.Codec("snappy").decompress(body, decompressed_size=size, asbytes=True) if size else b""
+    if zlib.crc32(content) != int.from_bytes(payload[-4:], "big"):
+        raise ValueError("snappy block fails its checksum")
+    return content
+
+
+def _stream_long_raw(payload: bytes) -> int:
+    """A leading variable-length number, not zig-zag coded."""
+    value = 0
+    for k, byte in enumerate(payload):
+        value |= (byte & 0x7F) << (7 * k)
+        if byte < 0x80:
+            return value
+    raise ValueError("block is cut short")
+
+
+def _snappy_deflate(content: bytes) -> bytes:
+    return pa.Codec("snappy").compress(content, asbytes=True) + zlib.crc32(content).to_bytes(4, "big")
+
 
-        return zstandard.ZstdDecompressor().decompressobj().decompress(payload)
-    raise NotImplementedError(f"Avro codec {codec!r}")
+def _zstd_inflate(payload: bytes) -> bytes:
+    return pa.input_stream(pa.BufferReader(payload), compression="zstd").read()
+
+
+# Codec name of the container format: unpack and pack a block.
+CODECS = {
+    "null": (bytes, bytes),
+    "deflate": (lambda b: zlib.decompress(b, -15), lambda b: zlib.compress(b, wbits=-15)),
+    "snappy": (_snappy_inflate, _snappy_deflate),
+    "bzip2": (bz2.decompress, bz2.compress),
+    "xz": (lzma.decompress, lzma.compress),
+    "zstandard": (_zstd_inflate, lambda b: pa.Codec("zstd").compress(b, asbytes=True)),
+}
+
+
+def _inflate(payload: bytes, codec: str) -> bytes:
+    if codec not in CODECS:
+        raise NotImplementedError(f"Avro codec {codec!r}")
+    return CODECS[codec][0](payload)
 
 
 def _seek_sync(stream, position: int, sync: bytes) -> int | None:
@@ -306,7 +344,7 @@ class FileWritten(WriterCommitMessage):
 
 class AlertAvroWriter(DataSourceArrowWriter):
     def __init__(self, path, schema, codec, overwrite):
-        if codec not in ("null", "deflate"):
+        if codec not in CODECS:
             raise ValueError(f"cannot write Avro codec {codec!r}")
         self.path, self.schema, self.codec, self.overwrite = path, schema, codec, overwrite
         self.staging = f"_staging-{uuid.uuid4().hex}"
@@ -337,9 +375,7 @@ class AlertAvroWriter(DataSourceArrowWriter):
             stop = int(np.searchsorted(offsets, offsets[first] + WRITE_BLOCK_BYTES, side="left"))
             last = min(max(stop, first + 1), len(bodies))
             payload = bytes(data[offsets[first] : offsets[last]])
-            if self.codec == "deflate":
-                packer = zlib.compressobj(wbits=-15)
-                payload = packer.compress(payload) + packer.flush()
+            payload = CODECS[self.codec][1](payload)
             counts = avro_codec.encode_long(np.array([last - first, len(payload)]))
             yield counts[0].as_py() + counts[1].as_py() + payload + sync
             first = last
@@ -348,7 +384,7 @@ class AlertAvroWriter(DataSourceArrowWriter):
         filesystem, inner = open_filesystem(self.path)
         filesystem.create_dir(inner)
         if self.overwrite:
-            for old, _ in list_files(self.path):
+            for old, _ in list_files(self.path, nested=False):
                 filesystem.delete_file(open_filesystem(old)[1])
         for message in messages:
             if message is not None and message.path:
@@ -441,7 +477,7 @@ def write_avro(
         raise ValueError(f"unknown mode {mode!r}")
     filesystem, inner = open_filesystem(path)
     exists = filesystem.get_file_info(inner).type == pafs.FileType.Directory
-    if mode == "errorifexists" and exists and list_files(path):
+    if mode == "errorifexists" and exists and list_files(path, nested=False):
         raise IOError(f"{path} already exists")
     writer = df.write.format("alert_avro").option("compression", compression)
     if schema is not None:
