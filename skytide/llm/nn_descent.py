@@ -66,44 +66,49 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
     return named.groupBy("node").agg(F.first("group").alias("group"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("members"))
 
 
-def _first_neighbours(nodes: DataFrame, order: int, bits: int) -> DataFrame:
-    """Pairs next to each other in one order: by the signs of ``bits`` random projections, then by another one."""
+def _first_neighbours(nodes: DataFrame, orders: int, bits: int) -> DataFrame:
+    """Pairs next to each other in one of several orders: each by the signs of ``bits``
+    random projections, then by another one. All orders share one sort."""
 
     def project(batches):
         for batch in batches:
             vectors = _vectors(batch.column(2))
-            sign, along = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
-            for size in {len(v) for v in vectors}:
-                planes = np.random.default_rng([order, size]).standard_normal((size, bits + 1))
-                at = [k for k, v in enumerate(vectors) if len(v) == size]
-                seen = _unit(np.stack([vectors[k] for k in at])) @ planes
-                sign[at], along[at] = (seen[:, :bits] > 0) @ (1 << np.arange(bits)), seen[:, bits]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sign), pa.array(along)], ["node", "group", "vec", "sign", "along"])
+            for order in range(orders):
+                sign, along = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
+                for size in {len(v) for v in vectors}:
+                    planes = np.random.default_rng([order, size]).standard_normal((size, bits + 1))
+                    at = [k for k, v in enumerate(vectors) if len(v) == size]
+                    seen = _unit(np.stack([vectors[k] for k in at])) @ planes
+                    sign[at], along[at] = (seen[:, :bits] > 0) @ (1 << np.arange(bits)), seen[:, bits]
+                numbered = pa.array(np.full(len(vectors), order, np.int32))
+                yield pa.RecordBatch.from_arrays([*batch.columns, numbered, pa.array(sign), pa.array(along)], ["node", "group", "vec", "order", "sign", "along"])
 
     def link(batches):
         rest = None
         for batch in batches:
             table = batch if rest is None else pa.concat_batches([rest, batch])
-            nodes_, groups = np.asarray(table.column(0)), np.asarray(table.column(1))
-            vectors, out = _vectors(table.column(2)), []
-            first = 0 if rest is None else len(rest)
-            for k in range(len(vectors)):
-                for j in range(max(first, k + 1), min(len(vectors), k + 1 + NEXT)):
-                    if groups[j] == groups[k]:
-                        x, y = vectors[k], vectors[j]
-                        out.append((min(nodes_[k], nodes_[j]), max(nodes_[k], nodes_[j]), float(x @ y / np.sqrt((x @ x) * (y @ y)))))
+            names, groups, order = (np.asarray(table.column(c)) for c in (0, 1, 3))
+            vectors, first = _vectors(table.column(2)), 0 if rest is None else len(rest)
+            found = []
+            for step in range(1, NEXT + 1):
+                at = np.flatnonzero((groups[step:] == groups[:-step]) & (order[step:] == order[:-step])) if len(names) > step else np.zeros(0, int)
+                at = at[at + step >= first]
+                if len(at):
+                    cos = np.array([x @ y / np.sqrt((x @ x) * (y @ y)) for x, y in ((vectors[k], vectors[k + step]) for k in at)])
+                    found.append((names[at], names[at + step], cos))
             rest = table.slice(max(0, table.num_rows - NEXT))
-            yield _pairs(out)
+            yield _pairs(found)
 
-    seen = nodes.select("node", "group", "vec").mapInArrow(project, "node bigint, group bigint, vec array<double>, sign bigint, along double")
-    keys = ["group", "sign", "along", "node"]
-    placed = seen.repartitionByRange(*keys).sortWithinPartitions(*keys).select("node", "group", "vec")
+    seen = nodes.select("node", "group", "vec").mapInArrow(project, "node bigint, group bigint, vec array<double>, order int, sign bigint, along double")
+    keys = ["order", "group", "sign", "along", "node"]
+    placed = seen.repartitionByRange(*keys).sortWithinPartitions(*keys).select("node", "group", "vec", "order")
     return placed.mapInArrow(link, "a bigint, b bigint, cos double")
 
 
-def _pairs(rows: list) -> pa.RecordBatch:
-    a, b, cos = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(cos, pa.float64())], ["a", "b", "cos"])
+def _pairs(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Arrays of ends and cosines as one batch, the smaller end first."""
+    x, y, cos = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(cos)], ["a", "b", "cos"])
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
@@ -146,8 +151,7 @@ def _local_join(graph: DataFrame, nodes: DataFrame, turn: int, threshold: float,
                 i, j = np.triu_indices(len(names), 1)
                 value = cos[i, j]
                 good = (value >= threshold - 1e-9) | (value > np.minimum(limit[i], limit[j]))
-                for x, y, v in zip(names[i[good]], names[j[good]], value[good]):
-                    out.append((min(x, y), max(x, y), v))
+                out.append((names[i[good]], names[j[good]], value[good]))
             yield _pairs(out)
 
     return grouped.select("list").mapInArrow(compare, "a bigint, b bigint, cos double")
@@ -189,12 +193,9 @@ def _exact(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 
     def measure(batches):
         for batch in batches:
-            out = []
-            for a, b, x, y in zip(np.asarray(batch.column(0)), np.asarray(batch.column(1)), _vectors(batch.column(2)), _vectors(batch.column(3))):
-                cos = float(x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)))
-                if cos >= threshold:
-                    out.append((a, b, cos))
-            yield _pairs(out)
+            cos = np.array([x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) for x, y in zip(_vectors(batch.column(2)), _vectors(batch.column(3)))])
+            good = np.flatnonzero(cos >= threshold)
+            yield _pairs([(np.asarray(batch.column(0))[good], np.asarray(batch.column(1))[good], cos[good])])
 
     border = F.abs(F.col("cos") - threshold) < 1e-6
     x, y = nodes.select(F.col("node").alias("a"), F.col("vec").alias("x")), nodes.select(F.col("node").alias("b"), F.col("vec").alias("y"))
@@ -208,17 +209,13 @@ def near_pairs(
     """``a, b, cos`` of the linked nodes found."""
     largest = nodes.groupBy("group").count().agg(F.max("count")).first()[0] or 0
     bits = int(np.clip(np.log2(max(largest, 1) / 32), 0, 40))
-    graph = None
-    for order in range(orders):
-        part = _first_neighbours(nodes, order, bits)
-        graph = part if graph is None else graph.unionByName(part)
-    graph = stage(_kept(graph, threshold, nearest), "graph")
+    graph = stage(_kept(_first_neighbours(nodes, orders, bits), threshold, nearest), "graph")
     truth = stage(_truth(nodes, threshold, QUERIES), "audit")
     links = graph.where(F.col("cos") >= threshold).count()
     for turn in range(max_rounds):
         graph = stage(_kept(graph.unionByName(_local_join(graph, nodes, turn, threshold, nearest)), threshold, nearest), "graph")
         before, links = links, graph.where(F.col("cos") >= threshold).count()
-        if links <= before * 1.002 and audit(truth, graph, threshold) >= recall:
+        if links <= before * 1.01 and audit(truth, graph, threshold) >= recall:
             break
     return stage(_exact(graph.where(F.col("cos") >= threshold - 1e-6), nodes, threshold), "near")
 
