@@ -91,12 +91,14 @@ def _transfer(spark: SparkSession, args, naming: Naming) -> None:
         naming=naming,
     )
     if args.dump_schemas:
-        messages = read_topics(spark, [f"{args.topic}_schema", args.topic], args.log_path, kafka=args.kafka)
+        # The schema topic announces the schemas; the bulk topic itself is not read for them.
+        messages = read_topics(spark, [f"{args.topic}_schema"], args.log_path, kafka=args.kafka)
         schema_table(messages).write.mode("overwrite").parquet(args.dump_schemas)
+    runs = f"{args.checkpoints.rstrip('/')}/runs"
     if args.limit is None:
-        moved = drain_topic(spark, job, args.max_idle)
+        moved = drain_topic(spark, job, args.max_idle, runs)
     else:
-        moved = transfer_limited(spark, job, f"{args.checkpoints.rstrip('/')}/runs", args.limit)
+        moved = transfer_limited(spark, job, runs, args.limit)
     print(f"{moved} messages moved to {job.output}")
 
 
@@ -123,6 +125,7 @@ def _stream(spark: SparkSession, args, naming: Naming) -> None:
         kinds=args.notify,
         display=args.display,
         summary=args.summary,
+        runs=f"{args.checkpoint.rstrip('/')}-runs",
         dead_letters=args.dead_letters,
         poll_seconds=args.poll_seconds,
         naming=naming,

@@ -165,8 +165,13 @@ def plan_range(bounds: DataFrame, committed: DataFrame, limit: int | None) -> Da
 
 
 def plan_ranges(log: DataFrame, committed: DataFrame, limit: int | None) -> list[Range]:
-    """The plan as rows on the driver, one per topic partition."""
-    plan = plan_range(offset_bounds(log), committed, limit).collect()
+    """The plan as rows on the driver, one per topic partition that has something new.
+
+    Committed offsets go into the scan, so the log is not read from its beginning.
+    """
+    done = [(r.topic, r.partition, r.committed, None) for r in committed.collect() if r.committed is not None]
+    new = within_ranges(log, done, others=True) if done else log
+    plan = plan_range(offset_bounds(new), committed, limit).collect()
     return sorted((r.topic, r.partition, r.start, r.end) for r in plan)
 
 

@@ -543,6 +543,22 @@ def bounded_resume(spark, sf_dir):
     return spark.read.parquet(job.output).select("partition", "offset", "event_id")
 
 
+def backlog_after_drain(spark, sf_dir):
+    """A drain commits what it moved: nothing is left to read."""
+    job, runs = _job(spark, sf_dir, partition_by=None), scratch_path(spark, "runs")
+    drain_topic(spark, job, max_idle=1, runs_path=runs)
+    log = read_topics(spark, [job.topic], job.log_path)
+    return offsets.backlog_report(log, offsets.read_committed(spark, runs, job.run_group), [job.topic])
+
+
+def backlog_after_live(spark, sf_dir):
+    """Every micro-batch of a live query commits its offsets."""
+    job = _live_job(spark, sf_dir, log_path=derived.live_log_path(spark, sf_dir), runs=scratch_path(spark, "runs"))
+    start_live(spark, job, available_now=True).awaitTermination()
+    log = read_topics(spark, job.topics, job.log_path)
+    return offsets.offset_totals(offsets.offset_lag(log, offsets.read_committed(spark, job.runs, job.group)))
+
+
 def limited_generation(spark, sf_dir):
     """A bounded run of everything, then the same as a new generation: all messages again."""
     job = _job(spark, sf_dir, partition_by=None, with_offsets=True)
@@ -715,7 +731,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topic_log, offset_lag, offset_totals, nonempty_partitions, last_offsets, partition_counts,
         partition_sizes, backlog_report, start_offsets, partial_start_offsets,
         avro_roundtrip, avro_files_roundtrip, avro_files_union, avro_codecs, many_versions, encode_missing_fields, wider_schema, poison_keys, multi_schema_union, dead_letters, schema_table,
-        drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, limited_generation, restart_latest, live_stream,
+        drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, backlog_after_drain, backlog_after_live, limited_generation, restart_latest, live_stream,
         archive_overwrite, archive_evolved_schema, archive_ignore, latest_per_object,
         cutout_stats, cutouts_long, object_cutout, plain_fits, notification_outbox, outbox_throttle,
     )

@@ -226,6 +226,14 @@ SELECT topic, part AS "partition", off AS "offset", CASE WHEN topic <> 'click' T
 WITH {_LOG}
 SELECT topic, part AS "partition", off AS "offset", topic = 'view' AS failed, CASE WHEN topic <> 'view' THEN event_id END AS event_id
 FROM log""",
+    "backlog_after_drain": f"""
+WITH {_BULK},
+b AS (SELECT CAST(part AS INTEGER) AS part, count(*) AS n FROM log GROUP BY part)
+SELECT 'ftransfer_ztf_2024-01-01_1' AS topic, part AS "partition", n AS "offset", 0 AS lag FROM b
+UNION ALL
+SELECT 'ftransfer_ztf_2024-01-01_1', NULL, CAST(sum(n) AS BIGINT), 0 FROM b""",
+    "backlog_after_live": """
+SELECT event_type AS topic, count(*) AS total_offset, 0 AS total_lag, count(*) AS topic_size FROM events GROUP BY event_type""",
     "limited_generation": f"""
 WITH {_BULK} SELECT CAST(part AS INTEGER) AS "partition", off AS "offset", event_id FROM log""",
     "restart_latest": """

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from skytide.naming import DEFAULT_NAMING, SCHEMA_TOPIC_SUFFIX, Naming
 from skytide.operators.archive import check_archive_arguments, with_partitions
 from skytide.operators.decode import decode_alerts, topic_schema
-from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, unfinished_run
+from skytide.operators.offsets import commit_offsets, plan_ranges, read_committed, read_ranges, record_run, unfinished_run
 from skytide.operators.topics import check_transfer_topic
 from skytide.sources.avro_files import write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, prune
@@ -119,18 +119,30 @@ def run_to_end(query, poll_seconds: float = 1.0) -> int:
     return sum(rows.values())
 
 
-def drain_topic(spark: SparkSession, job: TransferJob, max_idle: int = MAX_IDLE) -> int:
+def drain_topic(spark: SparkSession, job: TransferJob, max_idle: int = MAX_IDLE, runs_path: str | None = None) -> int:
     """Drain until ``max_idle`` looks in a row find nothing new; returns the
-    number of messages moved. New data resets the count of idle looks."""
+    number of messages moved. New data resets the count of idle looks.
+
+    With ``runs_path`` the offsets that a look is sure to have moved, those the
+    topic held when it began, are committed after it for the backlog report.
+    """
     schema = job.writer_schema(spark)
     moved = idle = 0
     while idle < max_idle:
+        held = _new_ranges(spark, job, runs_path) if runs_path else []
         found = run_to_end(start_drain(spark, job, schema))
+        commit_offsets(spark, runs_path, job.run_group, held) if held else None
         moved += found
         idle = 0 if found else idle + 1
     return moved
 
 
+def _new_ranges(spark: SparkSession, job: TransferJob, runs_path: str):
+    log = read_topics(spark, [job.topic], job.log_path, kafka=job.kafka)
+    ranges = plan_ranges(log, read_committed(spark, runs_path, job.run_group), None)
+    return [r for r in ranges if r[3] > r[2]]
+
+
 def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limit: int | None) -> int:
     """Move the next ``limit`` messages of the topic as one batch job.
 

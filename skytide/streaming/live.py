@@ -44,10 +44,12 @@ class LiveJob:
     display: bool = False
     dead_letters: str | None = None
     poll_seconds: float | None = None
+    runs: str | None = None
+    group: str = "default"
     naming: Naming = field(default=DEFAULT_NAMING)
 
 
-def _batch_action(job: LiveJob):
+def _batch_action(job: LiveJob, commits: bool = True):
     flat = [f.name for f in job.target.fields]
 
     def act(batch: DataFrame, batch_id: int) -> None:
@@ -82,6 +84,11 @@ def _batch_action(job: LiveJob):
                 alert_summary(alerts, job.survey).write.mode("overwrite").parquet(f"{job.summary}/batch={batch_id}")
             if job.display:
                 print_rows(alert_summary(alerts, job.survey))
+            if job.runs and commits:
+                # What every output of the batch holds by now; one row per topic partition.
+                ends = batch.groupBy("topic", "partition").agg(F.min("offset").alias("start"), (F.max("offset") + 1).alias("end"))
+                ranges = [(r.topic, r.partition, r.start, r.end) for r in ends.collect()]
+                record_run(batch.sparkSession, job.runs, job.group, f"batch-{batch_id}", ranges, done=True)
         finally:
             batch.unpersist()
 
@@ -113,7 +120,7 @@ def run_limited(spark: SparkSession, job: LiveJob, runs_path: str, limit: int |
         run_id = f"{time.time_ns()}-{uuid.uuid4().hex}"
         record_run(spark, runs_path, group, run_id, ranges, done=False)
     batch_id = int(run_id.split("-")[0])
-    _batch_action(job)(_decoded(read_ranges(spark, ranges, job.log_path, job.kafka), job), batch_id)
+    _batch_action(job, commits=False)(_decoded(read_ranges(spark, ranges, job.log_path, job.kafka), job), batch_id)
     record_run(spark, runs_path, group, run_id, ranges, done=True)
     return sum(end - start for _, _, start, end in ranges)
 
