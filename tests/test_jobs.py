@@ -19,7 +19,7 @@ def test_transfer_topics_and_backlog(spark, path, capsys):
     assert "5 messages moved" in capsys.readouterr().out
     assert json.loads(spark.read.parquet(archive + "-schemas").first().schema_json) == SCHEMA
     jobs.main(["backlog", *shared, "--topics", TOPIC, "--runs", archive + "-cp/runs"])
-    assert f"|{TOPIC}|NULL     |5     |7  |" in capsys.readouterr().out
+    assert f"{TOPIC} | - | 5 | 7" in capsys.readouterr().out  # every row, as plain lines
     jobs.main([*move, "--limit", "100"])
     assert candids(spark, archive) == list(range(12))
     jobs.main(["topics", *shared, "--service", "datatransfer"])
