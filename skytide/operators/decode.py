@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from skytide.naming import DEFAULT_NAMING, REPLAYED_SUFFIX, SCHEMA_TOPIC_SUFFIX, Naming
-from skytide.session import open_filesystem
+from skytide.session import open_filesystem, qualified
 from skytide.sources import avro_codec, avro_schema
 
 MODES = ("FAILFAST", "PERMISSIVE")
@@ -90,7 +90,7 @@ def registry_from_folder(
 ) -> DataFrame:
     """Registry table of a folder of schema files named after their version."""
     head, tail = naming.schema_file("*", survey).split("*")
-    filesystem, inner = open_filesystem(folder)
+    filesystem, inner = open_filesystem(qualified(spark, folder))
     rows = []
     for info in filesystem.get_file_info(pafs.FileSelector(inner)):
         name = posixpath.basename(info.path)

@@ -85,7 +85,7 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root
+        return qualified(spark, root)
     app = spark.sparkContext.applicationId
     if app not in _scratch_roots:
         if not spark.sparkContext.master.startswith("local"):
@@ -161,9 +161,23 @@ def read_table_if_exists(spark: SparkSession, path: str, schema: T.StructType |
         raise
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as every machine of the cluster understands it: one without a scheme
+    lies on Spark's default file system, not on the disk of whoever opens it."""
+    if len(urlparse(path).scheme) > 1:
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if default.startswith("file:"):
+        return path
+    return f"{default.rstrip('/')}/{path.lstrip('/')}"
+
+
 def open_filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """File system and inner path for a local path or a URI (``s3://``, ``hdfs://`` …)."""
-    if len(urlparse(path).scheme) > 1:
+    scheme = urlparse(path).scheme
+    if scheme in ("s3a", "s3n"):  # Spark's names for what Arrow calls s3
+        path = "s3" + path[len(scheme) :]
+    if len(scheme) > 1:
         return pafs.FileSystem.from_uri(path)
     return pafs.LocalFileSystem(), os.path.abspath(path)
 

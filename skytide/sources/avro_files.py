@@ -43,7 +43,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from skytide.session import open_filesystem
+from skytide.session import open_filesystem, qualified
 from skytide.sources import avro_codec, avro_schema
 
 # Container magic, file pattern of a folder scan, suffixes.
@@ -439,6 +439,7 @@ def read_alerts(
     if not path:
         warnings.warn("empty path: no alert to read")
         return spark.createDataFrame([], T.StructType([]))
+    path = [qualified(spark, p) for p in path] if isinstance(path, list) else qualified(spark, path)
     files = list_files(path, size)
     for name, _ in files:
         _check_suffix(name)
@@ -475,6 +476,7 @@ def write_avro(
     register(df.sparkSession)
     if mode not in ("errorifexists", "overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
+    path = qualified(df.sparkSession, path)
     filesystem, inner = open_filesystem(path)
     exists = filesystem.get_file_info(inner).type == pafs.FileType.Directory
     if mode == "errorifexists" and exists and list_files(path, nested=False):

@@ -17,7 +17,7 @@ from skytide.operators.offsets import commit_offsets, plan_ranges, read_committe
 from skytide.operators.topics import check_transfer_topic
 from skytide.sources.avro_files import write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, prune
-from skytide.session import open_filesystem
+from skytide.session import open_filesystem, qualified
 from skytide.sources.topic_log import read_topics
 
 # Fixed value: empty looks at a topic before it counts as drained.
@@ -152,7 +152,7 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
     anything new is planned, so runs follow each other without gap or repeat.
     ``None`` is no limit, 0 moves nothing.
     """
-    filesystem, inner = open_filesystem(job.output)
+    filesystem, inner = open_filesystem(qualified(spark, job.output))
     if filesystem.get_file_info(f"{inner}/_spark_metadata").type != FileType.NotFound:
         raise ValueError(f"{job.output} belongs to a streaming drain; bounded runs need an archive of their own")
     pending = unfinished_run(spark, runs_path, job.run_group, [job.topic])

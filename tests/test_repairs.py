@@ -110,3 +110,17 @@ def test_images_keep_their_precision(spark):
 
 def test_schema_of_log_is_unchanged():
     assert LOG_SCHEMA.startswith("key binary, value binary")
+
+
+def test_paths_without_a_scheme_lie_on_the_default_file_system(spark):
+    from skytide import session
+
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://cluster:8020")
+        assert session.qualified(spark, "/data/x") == "hdfs://cluster:8020/data/x"
+        assert session.qualified(spark, "s3a://bucket/x") == "s3a://bucket/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert session.qualified(spark, "/data/x") == "/data/x"
