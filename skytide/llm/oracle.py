@@ -58,7 +58,40 @@ r AS (SELECT *, CASE {_RULE_CASES} END AS rule FROM s)
 SELECT page_id, host, path, rule, CASE {_VERDICTS} WHEN {_BLOCKED} THEN 'block' ELSE 'allow' END AS verdict FROM r
 """
 
+JACCARD_JOIN = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({lowered('text')}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p0, p0 + 4), ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p0 FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n AS nx ON nx.doc_id = x JOIN n AS ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.y, w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN m ON m.x = w.doc_id
+"""
+
+# Every pair of a label: what NN-descent searches; equal where it misses none.
+NN_DESCENT = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v AS a JOIN v AS b
+  ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(m.y, e.vec_id)) AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(m.y, e.vec_id)) AS kept
+FROM embeddings AS e LEFT JOIN m ON m.x = e.vec_id LEFT JOIN n ON n.x = e.vec_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_jaccard_join": JACCARD_JOIN,
+    "op5_nn_descent": NN_DESCENT,
     "op7_url_filter": URL_FILTER,
     "op10_decontaminate": DECONTAMINATE,
 }
