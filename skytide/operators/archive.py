@@ -64,16 +64,24 @@ def with_partitions(
     return df, []
 
 
-def append_parquet(df: DataFrame, path: str, partitions: list[str], gather: bool = False) -> None:
+def append_parquet(df: DataFrame, path: str, partitions: list[str], gather: bool = False, lookup: list[str] | None = None) -> None:
     """Append to a hive-partitioned dataset; file names are unique per write.
 
+    ``lookup`` names columns that rows will be sought by, an object's id in an
+    archive laid out by day: files are sorted by them and carry a bloom filter,
+    so that a search skips the row groups and files that cannot hold a value.
+
     Every task writes one file per partition value it holds. ``gather`` first
     brings equal values together with a rebalance, which splits a value that is
     too large for one task instead of overloading it.
     """
     if gather and partitions:
         df = df.hint("rebalance", *partitions)
-    df.write.mode("append").partitionBy(*partitions).parquet(path)
+    options = {}
+    if lookup:
+        df = df.sortWithinPartitions(*partitions, *lookup)
+        options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in lookup}
+    df.write.options(**options).mode("append").partitionBy(*partitions).parquet(path)
 
 
 def latest_per_key(df: DataFrame, key: list[str], order: list[str], first: bool = False) -> DataFrame:

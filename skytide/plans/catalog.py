@@ -254,7 +254,7 @@ def object_history(spark, sf_dir):
     """History, from the archive, of the objects of customers in debt."""
     path = scratch_path(spark, "object-archive")
     rows, columns = archive.with_partitions(derived.ztf_measurements(spark, sf_dir), "time", "ztf")
-    archive.append_parquet(rows, path, columns)
+    archive.append_parquet(rows, path, columns, lookup=["objectId"])
     ids = derived.table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(
         F.col("c_custkey").cast("string").alias("objectId")
     )

@@ -124,3 +124,17 @@ def test_paths_without_a_scheme_lie_on_the_default_file_system(spark):
     finally:
         conf.set("fs.defaultFS", before)
     assert session.qualified(spark, "/data/x") == "/data/x"
+
+
+def test_an_archive_is_sorted_and_filtered_by_its_lookup_column(spark, path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows = spark.range(2000).select(F.concat(F.lit("o"), F.col("id") * 7919 % 2000).alias("objectId"), F.lit("d").alias("day"))
+    archive.append_parquet(rows.coalesce(1), path, ["day"], lookup=["objectId"])
+    [file] = glob.glob(f"{path}/day=d/*.parquet")
+    ids = pq.read_table(file).column("objectId").to_pylist()
+    assert ids == sorted(ids)
+    assert b"objectId" in open(file, "rb").read()
+    assert spark.read.parquet(path).filter("objectId = 'o17'").count() == 1
