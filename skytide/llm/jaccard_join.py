@@ -11,15 +11,16 @@ the cost, not the result). Then sets related to each other save each other's wor
    Every set is compared with the centres of its lists; verified links give
    first components.
 2. *Answers from a similar set*: members of one component are answered by it and
-   are not compared with each other any more. Only pairs of different
-   components in a list are left: the members outside its main component
-   against the others.
-3. *Blocks by position*: a list's entries lie in blocks by prefix position; a
-   block is skipped as a whole when its sizes and positions rule out enough
-   common tokens, then single entries by the same bound.
+   are not compared with each other any more. Sets that share a list share its
+   centre, so the pairs left are those around a centre: the members outside its
+   main component against the others, in blocks of a few hundred sets, two blocks
+   of the main component being skipped.
+3. *Skipping by position and size*: an entry whose position and size rule out
+   enough common tokens with its whole list is skipped, and so are blocks of
+   size classes too far apart.
 4. Pairs must pass an exact bound on the difference of two sets, the Hamming
-   distance of their parity bitmaps, before the sets themselves are fetched and
-   intersected.
+   distance of their parity bitmaps, taken block against block, before the sets
+   themselves are fetched and intersected.
 
 Entries of frequent tokens do not meet in a bucket but in an aggregation and a
 join that Spark can split, so one family may hold a third of all rows. No step
@@ -45,7 +46,7 @@ NGRAM = 5
 PERCENT = 75
 FREQUENT = 200_000
 BUCKET_ENTRIES = 1_500_000
-POSITION_BLOCK = 16
+BLOCK_SETS = 256
 _U = np.uint64
 _INDEXED = _U(0xFFFFFFFFFFFF0000)  # the index knows tokens by 48 bits; false meetings cost time, not results
 _PACKED = ["bucket", "often", "tokens", "owners", "positions", "keys", "sizes", "weights"]
@@ -93,15 +94,38 @@ class _Sets:
         return np.packbits((np.bincount(cells, minlength=1 << bits) & 1).astype(np.uint8)).tobytes()
 
 
-def _difference(a: bytes, b: bytes) -> int:
-    """A lower bound of the size of the symmetric difference, from two bitmaps."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if len(x) < len(y):
-        x, y = y, x
-    if len(x) > len(y):  # fold: neighbouring cells join, parities add
-        bits = np.unpackbits(x).reshape(-1, len(x) // len(y))
-        x = np.packbits(np.bitwise_xor.reduce(bits, axis=1))
-    return int(np.bitwise_count(x ^ y).sum())
+def _folded(grid: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (rows of bytes) at a smaller width: neighbouring cells join, parities add."""
+    if grid.shape[1] == width:
+        return grid
+    bits = np.unpackbits(grid, axis=1).reshape(len(grid), width * 8, -1)
+    return np.packbits(np.bitwise_xor.reduce(bits, axis=2), axis=1)
+
+
+class _Bitmaps:
+    """Bitmaps of many sets, those of one width as one array."""
+
+    def __init__(self, bits: list[bytes]):
+        self.n = len(bits)
+        widths = np.array([len(b) for b in bits], np.int64)
+        self.grids = {}
+        for width in np.unique(widths):
+            at = np.flatnonzero(widths == width)
+            self.grids[int(width), int(width)] = at, np.frombuffer(b"".join(bits[k] for k in at), np.uint8).reshape(-1, width)
+
+    def difference(self, other: bytes) -> np.ndarray:
+        """A lower bound of the size of each symmetric difference with one other set."""
+        out = np.zeros(self.n, np.int64)
+        single = np.frombuffer(other, np.uint8).reshape(1, -1)
+        for width in [w for w, own in self.grids if w == own]:
+            common = min(width, single.shape[1])
+            if (width, common) not in self.grids:
+                at, grid = self.grids[width, width]
+                self.grids[width, common] = at, _folded(grid, common)
+            at, grid = self.grids[width, common]
+            apart = (grid ^ _folded(single, common)).view(_U)
+            out[at] = np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def digests(texts: DataFrame, ngram: int) -> DataFrame:
@@ -197,7 +221,20 @@ def prefix_entries(texts: DataFrame, ngram: int, percent: int, frequent, n_bucke
     return texts.select("text").mapInArrow(index, "bucket int, often boolean, " + ", ".join(f"{c} binary" for c in _PACKED[2:]))
 
 
-def _lists_of_bucket(table: pa.Table) -> pa.Table:
+def _within_reach(start: np.ndarray, length: np.ndarray, n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Entries that some other of their list may link with, judged by the list's range
+    of positions and sizes: a token at positions i and j leaves at most
+    1 + min(i, j) + min(n - 1 - i, m - 1 - j) common tokens."""
+    if not len(start):
+        return np.zeros(0, bool)
+    spread = lambda ends: np.repeat(ends, length)
+    low, high = spread(np.minimum.reduceat(pos, start)), spread(np.maximum.reduceat(pos, start))
+    small, large = spread(np.minimum.reduceat(n, start)), spread(np.maximum.reduceat(n, start))
+    most = 1 + np.minimum(pos, high) + np.minimum(n - 1 - pos, large - 1 - low)
+    return most * (100 + percent) >= percent * (n + np.maximum(small, n * percent // 100))
+
+
+def _lists_of_bucket(table: pa.Table, percent: int) -> pa.Table:
     """Entries of the lists of more than one set, with centre and length; entries of
     frequent tokens as they are."""
     often = np.asarray(table.column("often"))
@@ -222,8 +259,10 @@ def _lists_of_bucket(table: pa.Table) -> pa.Table:
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
             token, key, n, pos, weight = token[new], key[new], n[new], pos[new], weight[new]
-            start = np.flatnonzero(np.diff(token, prepend=token[:1] ^ _U(1)))
-            length = np.diff(np.append(start, len(token)))
+            lists = lambda: (at := np.flatnonzero(np.diff(token, prepend=token[:1] ^ _U(1))), np.diff(np.append(at, len(token))))
+            near = _within_reach(*lists(), n, pos, percent)
+            token, key, n, pos, weight = token[near], key[near], n[near], pos[near], weight[near]
+            start, length = lists()
             centre, m = np.repeat(key[start + length - 1], length), np.repeat(length, length)
             several = m > 1
             token, key, n, pos, weight, centre, m = (x[several] for x in (token, key, n, pos, weight, centre, m))
@@ -235,11 +274,11 @@ def _lists_of_bucket(table: pa.Table) -> pa.Table:
     return pa.concat_tables(out)
 
 
-def shared_lists(entries: DataFrame) -> DataFrame:
+def shared_lists(entries: DataFrame, percent: int) -> DataFrame:
     """``token, key, n, pos, centre, m``: the entries of lists of more than one set,
     with the list's centre and length."""
     schema = "token bigint, key bigint, n int, pos int, weight float, centre bigint, m bigint, often boolean"
-    lists = stage(entries.groupBy("bucket").applyInArrow(_lists_of_bucket, schema), "lists")
+    lists = stage(entries.groupBy("bucket").applyInArrow(lambda table: _lists_of_bucket(table, percent), schema), "lists")
     often = lists.where("often").select("token", "key", "n", "pos", "weight")
     best = often.groupBy("token").agg(
         F.max(F.struct("weight", "key")).alias("best"), F.min("key").alias("low"), F.max("key").alias("high"), F.count(F.lit(1)).alias("m")
@@ -249,26 +288,90 @@ def shared_lists(entries: DataFrame) -> DataFrame:
     return lists.where("not often").select(*names).unionByName(often.join(best, "token").select(*names))
 
 
-def _pairs_that_may_link(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` whose sizes and bitmaps allow the similarity."""
-    a = sets.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("bitmap").alias("bits_a"))
-    b = sets.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bitmap").alias("bits_b"))
-    sized = pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+def _may_link(n: np.ndarray, bits: _Bitmaps, other_n: int, other_bits: bytes, percent: int) -> np.ndarray:
+    """Which sets' sizes and bitmaps allow the similarity with one other set."""
+    least, total = bits.difference(other_bits), n + other_n
+    # with d different tokens: (total - d) / (total + d) at most is the similarity
+    fits = 100 * (total - least) >= percent * (total + least)
+    return fits & (100 * np.minimum(n, other_n) >= percent * np.maximum(n, other_n))
+
+
+def _pairs_of(ends: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    x, y = (np.concatenate(c) for c in zip(*ends)) if ends else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
+
+
+def members_of_centres(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``centre, key, n, bitmap, size_class, more``: the sets around each centre, once
+    each. Two sets that share a list share its centre. Sets of similarity t lie in
+    the same or neighbouring size classes; ``more`` tells lists with a third set."""
+    around = lists.groupBy("centre", "key").agg(F.max(F.col("m") > 2).alias("more"))
+    size_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent))) + 1e-9)
+    return around.join(sets.select("key", "n", "bitmap"), "key").withColumn("size_class", size_class)
+
 
-    def bound(batches):
+def _in_blocks(members: DataFrame, groups: list[str]) -> DataFrame:
+    """Rows of a group in blocks of about ``BLOCK_SETS``, each one row."""
+    sizes = members.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("parts"))
+    dealt = members.join(sizes, groups).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    entry = F.struct("key", "n", "bitmap", *([F.col("root")] if "root" in members.columns else []))
+    return dealt.groupBy(*groups, "part").agg(F.collect_list(entry).alias("entries"))
+
+
+def _star_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every set with the centres of its lists, as far as sizes and bitmaps allow a link."""
+    centre = sets.select(F.col("key").alias("centre"), F.col("n").alias("cn"), F.col("bitmap").alias("cbits"))
+    rows = _in_blocks(members.where("key <> centre"), ["centre"]).join(centre, "centre").select("centre", "cn", "cbits", "entries")
+
+    def compare(batches):
         for batch in batches:
-            total = np.asarray(batch.column(2)) + np.asarray(batch.column(3))
-            least = np.array([_difference(x, y) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())], np.int64)
-            # with d different tokens: (total - d) / (total + d) at most is the similarity
-            keep = 100 * (total - least) >= percent * (total + least)
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            out = []
+            for centre, n, bits, entries in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
+                e = entries.values
+                keys = np.asarray(e.field("key"))
+                keys = keys[_may_link(np.asarray(e.field("n")), _Bitmaps(e.field("bitmap").to_pylist()), n, bits, percent)]
+                out.append((keys, np.full(len(keys), centre, np.int64)))
+            yield _pairs_of(out)
+
+    return rows.mapInArrow(compare, "a bigint, b bigint").distinct()
+
+
+def _rest(members: DataFrame, root: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components around one centre that sizes and bitmaps still
+    allow. Members of a centre's main component lie in blocks of their own, and two
+    such blocks are skipped, as are blocks of size classes too far apart."""
+    named = members.where("more").join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    named = stage(named, "around")
+    counted = named.groupBy("centre", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = counted.groupBy("centre").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    open_ = named.join(main.select("centre", F.col("m.root").alias("main")), "centre").withColumn("is_main", F.col("root") == F.col("main"))
+    blocked = _in_blocks(open_, ["centre", "is_main", "size_class"])
+    blocked = stage(blocked.withColumn("block", F.struct("is_main", "size_class", "part")), "blocks")
+    one, two = blocked.alias("x"), blocked.alias("y")
+    pairs = one.join(two, F.col("x.centre") == F.col("y.centre")).where(
+        ~F.col("x.is_main")
+        & (F.abs(F.col("x.size_class") - F.col("y.size_class")) <= 1)
+        & (F.col("y.is_main") | (F.col("x.block") <= F.col("y.block")))
+    )
+
+    def compare(batches):
+        for batch in batches:
+            out = []
+            for left, right in zip(batch.column(0), batch.column(1)):
+                x, y = left.values, right.values
+                keys, n, root_ = (np.asarray(y.field(c)) for c in ("key", "n", "root"))
+                bits = _Bitmaps(y.field("bitmap").to_pylist())
+                for one_key, one_n, one_bits, one_root in zip(*(x.field(c).to_pylist() for c in ("key", "n", "bitmap", "root"))):
+                    other = keys[(root_ != one_root) & _may_link(n, bits, one_n, one_bits, percent)]
+                    out.append((other, np.full(len(other), one_key, np.int64)))
+            yield _pairs_of(out)
 
-    return sized.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(bound, "a bigint, b bigint")
+    return pairs.select(F.col("x.entries").alias("left"), F.col("y.entries").alias("right")).mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
     """The pairs that do link, decided on the sets themselves."""
-    pairs = stage(_pairs_that_may_link(pairs, sets, percent), "maybe")
+    pairs = stage(pairs, "maybe")
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     wanted = stage(sets.join(keys, "key").select("k1"), "wanted")
 
@@ -303,40 +406,6 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, ngram: int, perc
     return stage(both.mapInArrow(compare, "a bigint, b bigint"), "links")
 
 
-def _bound(n, pos, other_n, other_pos_low, other_pos_high):
-    """At most so many common tokens, given a common one at these positions."""
-    return 1 + F.least(n - 1 - pos, other_n - 1 - other_pos_low) + F.least(pos, other_pos_high)
-
-
-def _rest(lists: DataFrame, root: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that lists of three sets or more still allow."""
-    named = lists.where("m > 2").join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    named = named.withColumn("block", (F.col("pos") / POSITION_BLOCK).cast("int")).select("token", "block", "key", "n", "pos", "root").distinct()
-    named = stage(named, "lists")
-    counted = named.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = counted.groupBy("token").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    main = main.select("token", F.col("m.root").alias("main"))
-    open_ = named.join(main, "token")
-    outside = open_.where("root <> main").select("token", F.col("key").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
-    blocked = open_.groupBy("token", "block").agg(
-        F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min("pos").alias("p_low"), F.max("pos").alias("p_high")
-    )
-    needed = lambda total: F.lit(percent) * total / (100 + percent)  # noqa: E731  overlap of two sets of that total size
-    near = outside.join(blocked, "token").where(
-        (F.col("n_high") * 100 >= F.col("na") * percent)
-        & (F.col("na") * 100 >= F.col("n_low") * percent)
-        & (_bound(F.col("na"), F.col("pa"), F.col("n_high"), F.col("p_low"), F.col("p_high")) + 1e-6 >= needed(F.col("na") + F.col("n_low")))
-    )
-    others = open_.select("token", "block", F.col("key").alias("b"), "n", "pos", F.col("root").alias("rb"), "main")
-    pairs = near.select("token", "block", "a", "na", "pa", "ra").join(others, ["token", "block"]).where(
-        (F.col("ra") != F.col("rb"))
-        & ((F.col("rb") == F.col("main")) | (F.col("a") < F.col("b")))
-        & (F.least("na", "n") * 100 >= F.greatest("na", "n") * percent)
-        & (_bound(F.col("na"), F.col("pa"), F.col("n"), F.col("pos"), F.col("pos")) + 1e-6 >= needed(F.col("na") + F.col("n")))
-    )
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def jaccard_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT
 ) -> DataFrame:
@@ -349,10 +418,10 @@ def jaccard_components(
     sets = stage(sets.select("key", "n", F.col("one.k1").alias("k1"), F.col("one.bitmap").alias("bitmap")), "sets")
     frequent = frequent_tokens(texts, ngram)
     n_buckets = 1 + int((sets.agg(F.sum("n")).first()[0] or 0) * (100 - percent) / 100) // BUCKET_ENTRIES
-    lists = shared_lists(prefix_entries(texts, ngram, percent, frequent, n_buckets))
-    stars = lists.where("key <> centre").select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
-    first = _links(stars, sets, texts, ngram, percent)
-    second = _links(_rest(lists, components(first), percent), sets, texts, ngram, percent)
+    lists = shared_lists(prefix_entries(texts, ngram, percent, frequent, n_buckets), percent)
+    members = stage(members_of_centres(lists, sets, percent), "members")
+    first = _links(_star_pairs(members, sets, percent), sets, texts, ngram, percent)
+    second = _links(_rest(members, components(first), percent), sets, texts, ngram, percent)
     root = components(first.unionByName(second)).withColumnRenamed("node", "key")
     named = rows.drop("bitmap").join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
     named = stage(named, "named")
