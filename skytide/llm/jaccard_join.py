@@ -45,7 +45,7 @@ from skytide.session import broadcast_if_small, stage
 NGRAM = 5
 PERCENT = 75
 FREQUENT = 200_000
-BUCKET_ENTRIES = 1_500_000
+BUCKET_ENTRIES = 400_000
 BLOCK_SETS = 256
 _U = np.uint64
 _INDEXED = _U(0xFFFFFFFFFFFF0000)  # the index knows tokens by 48 bits; false meetings cost time, not results
