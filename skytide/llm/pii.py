@@ -112,10 +112,10 @@ def revealing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT,
     # counted before the join: its rows follow the vocabulary, not the terms' occurrences
     counted = texts.select(F.explode(words).alias("w")).groupBy(F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("df_t"))
     df_t = counted.join(pairs.select("term").distinct(), "term")
-    n = found.agg(F.count(F.lit(1)).alias("n"))
-    scored = pairs.join(df_t, "term").join(df_e, "entity").crossJoin(F.broadcast(n))  # one row
-    mutual = F.log2(F.col("c") * F.col("n") / (F.col("df_t") * F.col("df_e")))
-    content = F.log2(F.col("n") / F.col("df_e"))
+    n = F.lit(found.count())
+    scored = pairs.join(df_t, "term").join(df_e, "entity")
+    mutual = F.log2(F.col("c") * n / (F.col("df_t") * F.col("df_e")))
+    content = F.log2(n / F.col("df_e"))
     return scored.where((content > 0) & (mutual >= disclosure * content)).select("entity", "term")
 
 
