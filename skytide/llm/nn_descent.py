@@ -9,13 +9,20 @@ one of its ends.
 
 A node all of whose list lies above the threshold is *saturated*: its list is
 enlarged without limit (every pair above the threshold stays in the graph), and
-each round joins another random part of it, so that a family of any size is
-explored in steps of bounded work. An audit compares stated query vectors with
-all others exactly; rounds go on until the audit finds the wanted recall and
-the links stop growing, ``max_rounds`` at most.
+each round joins another random part of it. The search has to connect a family,
+not to meet all of its pairs: the links of a component are then counted exactly,
+its members compared block against block, whatever its size; pairs are not kept.
+
+An audit compares stated query vectors, half of them with neighbours above the
+threshold, with all others exactly; a true link is held if its ends are in one
+component. Rounds go on until the audit finds the wanted recall and the
+components stop growing, however many it takes. A search that stands still
+below the recall starts from new projections; after ``RESTARTS`` of these, all
+vectors of a label are compared with each other.
 
 Cosines are in double precision, of the stored components; no link is below the
-threshold. Links are searched, so some may be missed; ``audit`` measures how many.
+threshold. Links between components are searched, so some may be missed;
+``audit`` measures how many, and ``near_links`` returns it.
 
 Null labels and vectors, zero vectors and ones with null or non-finite components
 link with nothing; neither do vectors of different lengths. Repeated rows link
@@ -41,7 +48,9 @@ NEXT = 4
 PART = 48
 QUERIES = 512
 RECALL = 0.98
-MAX_ROUNDS = 8
+RESTARTS = 3
+BLOCK = 1024
+DEALT = 4096
 
 
 def _vectors(column: pa.Array) -> list[np.ndarray]:
@@ -66,14 +75,14 @@ def distinct_vectors(rows: DataFrame) -> DataFrame:
     return named.groupBy("node").agg(F.first("group").alias("group"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("members"))
 
 
-def _first_neighbours(nodes: DataFrame, orders: int, bits: int) -> DataFrame:
+def _first_neighbours(nodes: DataFrame, orders: int, bits: int, first: int = 0) -> DataFrame:
     """Pairs next to each other in one of several orders: each by the signs of ``bits``
-    random projections, then by another one. All orders share one sort."""
+    random projections, then by another one. All orders share one sort; ``first`` numbers them."""
 
     def project(batches):
         for batch in batches:
             vectors = _vectors(batch.column(2))
-            for order in range(orders):
+            for order in range(first, first + orders):
                 sign, along = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
                 for size in {len(v) for v in vectors}:
                     planes = np.random.default_rng([order, size]).standard_normal((size, bits + 1))
@@ -157,10 +166,13 @@ def _local_join(graph: DataFrame, nodes: DataFrame, turn: int, threshold: float,
     return grouped.select("list").mapInArrow(compare, "a bigint, b bigint, cos double")
 
 
-def _truth(nodes: DataFrame, threshold: float, queries: int) -> DataFrame:
-    """``q, node``: all exact links of the audit's query vectors (``queries`` of them, by hash)."""
-    asked = nodes.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(queries).collect()
-    shared = nodes.sparkSession.sparkContext.broadcast([(r.node, r.group, np.array(r.vec)) for r in asked])
+def _truth(nodes: DataFrame, near: DataFrame, threshold: float, queries: int) -> DataFrame:
+    """``q, node``: all exact links of the audit's query vectors (``queries`` of them, by
+    hash: half of all nodes, half of those with a pair in ``near``)."""
+    drawn = lambda rows: rows.orderBy(F.xxhash64("node", F.lit(5)), "node").limit(queries // 2).collect()
+    ends = _both_ways(near).select(F.col("a").alias("node")).distinct()
+    asked = {r.node: r for rows in (nodes, nodes.join(ends, "node", "left_semi")) for r in drawn(rows)}
+    shared = nodes.sparkSession.sparkContext.broadcast([(r.node, r.group, np.array(r.vec)) for r in asked.values()])
 
     def search(batches):
         by_group: dict[int, list] = {}
@@ -180,11 +192,11 @@ def _truth(nodes: DataFrame, threshold: float, queries: int) -> DataFrame:
     return nodes.select("node", "group", "vec").mapInArrow(search, "q bigint, node bigint")
 
 
-def audit(truth: DataFrame, graph: DataFrame, threshold: float) -> float:
-    """The share of the queries' true links that the graph holds."""
-    wanted = truth.select(F.least("q", "node").alias("a"), F.greatest("q", "node").alias("b")).distinct()
-    total = wanted.count()
-    held = wanted.join(graph.where(F.col("cos") >= threshold), ["a", "b"]).count()
+def audit(truth: DataFrame, root: DataFrame) -> float:
+    """The share of the queries' true links whose ends are in one component."""
+    ends = [root.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in ("q", "node")]
+    seen = truth.join(ends[0], "q", "left").join(ends[1], "node", "left")
+    total, held = seen.agg(F.count(F.lit(1)), F.count_if(F.col("rq") == F.col("rnode"))).first()
     return held / total if total else 1.0
 
 
@@ -203,21 +215,96 @@ def _exact(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return pairs.where(~border & (F.col("cos") >= threshold)).unionByName(again)
 
 
-def near_pairs(
-    nodes: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, orders: int = ORDERS, recall: float = RECALL, max_rounds: int = MAX_ROUNDS
-) -> DataFrame:
-    """``a, b, cos`` of the linked nodes found."""
+def _counted(nodes: DataFrame, within: str, threshold: float) -> DataFrame:
+    """``node, n`` and ``node, other``: the vectors linked with each of ``nodes`` (with
+    ``root``) among all of the same ``within``, and links between two roots, one of
+    each two roots at least. Members lie in blocks of about ``BLOCK``, every two of
+    which meet in a group; a group takes many small pairs of blocks."""
+    sizes = nodes.groupBy(within).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    sizes = sizes.select(within, F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
+    own = nodes.join(sizes, within).withColumn("part", F.pmod(F.xxhash64("node", F.lit(7)), F.col("parts")).cast("int"))
+    other = F.sequence(F.lit(0), F.col("parts") - 1)
+    met = own.withColumn("other", F.explode(other)).select(
+        F.col(within).alias("within"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "root", "members", "vec"
+    )
+    n_groups = -(-(own.agg(F.sum("parts")).first()[0] or 0) // DEALT) or 1
+    dealt = met.withColumn("deal", F.pmod(F.xxhash64("within", "i", "j"), F.lit(n_groups)))
+
+    def compare(table):
+        columns = {c: np.asarray(table.column(c)) for c in ("within", "i", "j", "part", "node", "root", "members")}
+        vectors = _vectors(table.column("vec").combine_chunks())
+        order = np.lexsort((columns["part"], columns["j"], columns["i"], columns["within"]))
+        place = np.stack([columns[c][order] for c in ("within", "i", "j")])
+        edges = np.flatnonzero(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0)))
+        node, n, cross = [], [], []
+        for rows in np.split(order, edges[1:]):
+            part, name, root, weight = (columns[c][rows] for c in ("part", "node", "root", "members"))
+            split = np.searchsorted(part, part[0], side="right")
+            same = columns["i"][rows[0]] == columns["j"][rows[0]]
+            if split == len(rows) and not same:  # the other block is empty
+                continue
+            plain = np.stack([vectors[k] for k in rows])
+            unit = _unit(plain)
+            x, y = (slice(0, len(rows)),) * 2 if same else (slice(0, split), slice(split, len(rows)))
+            cos = unit[x] @ unit[y].T
+            near = cos >= threshold
+            for k, m in zip(*np.nonzero(np.abs(cos - threshold) < 1e-6)):
+                u, v = plain[x][k], plain[y][m]
+                near[k, m] = u @ v / (np.sqrt(u @ u) * np.sqrt(v @ v)) >= threshold
+            if same:
+                np.fill_diagonal(near, False)
+            node.append(name[x])
+            n.append(near @ weight[y])
+            if not same:
+                node.append(name[y])
+                n.append(weight[x] @ near)
+            if (root != root[0]).any():
+                k, m = np.nonzero(near & (root[x][:, None] != root[y][None, :]))
+                _, first = np.unique(np.stack([root[x][k], root[y][m]]), axis=1, return_index=True)
+                cross.append((name[x][k[first]], name[y][m[first]]))
+        whole = lambda parts: np.concatenate([np.zeros(0, np.int64), *parts])
+        a, b = whole([c[0] for c in cross]), whole([c[1] for c in cross])
+        node, n = whole(node), whole(n)
+        return pa.table({
+            "node": pa.array(np.append(node, a)), "n": pa.array(np.append(n, np.zeros(len(a), np.int64))),
+            "other": pa.concat_arrays([pa.nulls(len(node), pa.int64()), pa.array(b)]),
+        })
+
+    return dealt.groupBy("deal").applyInArrow(compare, "node bigint, n bigint, other bigint")
+
+
+def near_links(
+    nodes: DataFrame, threshold: float = THRESHOLD, nearest: int = NEAREST, orders: int = ORDERS, recall: float = RECALL
+) -> tuple[DataFrame, float]:
+    """``node, n, root`` of the nodes with links (``n`` counts vectors of other nodes), and the audited recall."""
     largest = nodes.groupBy("group").count().agg(F.max("count")).first()[0] or 0
     bits = int(np.clip(np.log2(max(largest, 1) / 32), 0, 40))
     graph = stage(_kept(_first_neighbours(nodes, orders, bits), threshold, nearest), "graph")
-    truth = stage(_truth(nodes, threshold, QUERIES), "audit")
-    links = graph.where(F.col("cos") >= threshold).count()
-    for turn in range(max_rounds):
-        graph = stage(_kept(graph.unionByName(_local_join(graph, nodes, turn, threshold, nearest)), threshold, nearest), "graph")
-        before, links = links, graph.where(F.col("cos") >= threshold).count()
-        if links <= before * 1.01 and audit(truth, graph, threshold) >= recall:
+    truth = stage(_truth(nodes, graph.where(F.col("cos") >= threshold), threshold, QUERIES), "audit")
+    turn = restarts = tied = 0
+    while True:
+        more = _local_join(graph, nodes, turn, threshold, nearest)
+        graph = stage(_kept(graph.unionByName(more), threshold, nearest), "graph")
+        root = components(_exact(graph.where(F.col("cos") >= threshold - 1e-6), nodes, threshold))
+        before, tied = tied, root.where("node <> root").count()
+        turn, share = turn + 1, audit(truth, root)
+        if tied > before * 1.001:
+            continue
+        if share >= recall or restarts == RESTARTS:
             break
-    return stage(_exact(graph.where(F.col("cos") >= threshold - 1e-6), nodes, threshold), "near")
+        restarts += 1
+        again = _first_neighbours(nodes, orders, bits, first=restarts * orders)
+        graph = stage(_kept(graph.unionByName(again), threshold, nearest), "graph")
+    named = nodes.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if share >= recall:
+        counted = stage(_counted(named, "root", threshold), "counted")
+    else:
+        counted, share = stage(_counted(named, "group", threshold), "counted"), 1.0
+        across = counted.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
+        known = root.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        root = components(known.unionByName(across))
+    n = counted.groupBy("node").agg(F.sum("n").alias("n"))
+    return n.join(root, "node"), share
 
 
 def near_components(
@@ -230,12 +317,9 @@ def near_components(
     plain = F.transform("embedding", lambda x: x + F.lit(0).cast("float"))
     rows = rows.withColumn("node", F.when(F.col("usable"), F.xxhash64("label", plain)))
     nodes = stage(distinct_vectors(rows), "nodes")
-    pairs = near_pairs(nodes, threshold, **options)
-    sizes = nodes.select(F.col("node").alias("b"), "members")
-    linked = _both_ways(pairs).join(sizes, "b").groupBy("a").agg(F.sum("members").alias("n")).withColumnRenamed("a", "node")
-    root = components(pairs)
+    linked, _ = near_links(nodes, threshold, **options)
     own = (
-        nodes.select("node", (F.col("members") - 1).alias("same")).join(linked, "node", "left").join(root, "node", "left")
+        nodes.select("node", (F.col("members") - 1).alias("same")).join(linked, "node", "left")
         .select("node", (F.col("same") + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
     )
     own = stage(own, "classes")

@@ -1,5 +1,6 @@
 import numpy as np
 
+from skytide.llm import nn_descent
 from skytide.llm.nn_descent import near_components
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
@@ -74,3 +75,33 @@ def test_edges(spark):
     assert near_components(spark.createDataFrame([], SCHEMA)).collect() == []
     frame = spark.createDataFrame([(1, [1.0], 1, 5, 6.0), (2, [2.0], 1, 5, 6.0)], SCHEMA + ", node int, cos double")
     assert sorted(r.n_links for r in near_components(frame).collect()) == [1, 1]
+
+
+def test_family_larger_than_the_rounds_can_join(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "PART", 6)
+    monkeypatch.setattr(nn_descent, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    centre = rng.standard_normal(24)
+    rows = [(i, [float(np.float32(x)) for x in centre + 0.03 * rng.standard_normal(24)], 0) for i in range(300)]
+    rows += [(1000 + i, [float(np.float32(x)) for x in rng.standard_normal(24)], 0) for i in range(100)] + [(2000, rows[0][1], 0)]
+    want = dict.fromkeys((r[0] for r in rows), 0)
+    for pair in links(rows):
+        for k in pair:
+            want[k] += 1
+    assert want[5] >= 295
+    got = near_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.vec_id: r.n_links for r in got} == want
+    assert {r.component_id for r in got if want[r.vec_id]} == {0}
+
+
+def test_all_pairs_where_the_search_stands_still(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "RESTARTS", 0)
+    monkeypatch.setattr(nn_descent, "BLOCK", 50)
+    rows = vectors(2)
+    want = dict.fromkeys((r[0] for r in rows), 0)
+    for pair in links(rows):
+        for k in pair:
+            want[k] += 1
+    got = near_components(spark.createDataFrame(rows, SCHEMA), recall=2.0).collect()  # never reached
+    assert {r.vec_id: r.n_links for r in got} == want
+    assert all((r.component_id == r.vec_id) == r.kept for r in got)
