@@ -31,6 +31,9 @@ HEX = r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex")
 OWNED = "owned"
+# Bits a character: joined words of one case stay below LETTER_ENTROPY, that of letters in prose.
+MIXED_ENTROPY = 3.5
+LETTER_ENTROPY = 4.2
 MAX_OWNERS = 2
 MAX_REPOSITORIES = 4
 
@@ -41,14 +44,28 @@ def base_spans(text: Column) -> Column:
     return in_order(assign, access, located(text, HEX, "hex", 2))
 
 
+def entropy(value: Column) -> Column:
+    """Bits a character, of the value's own character frequencies."""
+    n = F.length(value)
+    of = lambda c: n - F.length(F.replace(value, c, F.lit("")))
+    each = F.transform(F.array_distinct(F.split(value, "")), lambda c: of(c).cast("double"))
+    return F.log2(n.cast("double")) - F.aggregate(each, F.lit(0.0), lambda acc, k: acc + k * F.log2(k)) / n
+
+
 def candidate_tokens(text: Column) -> Column:
-    """Long tokens that mix letters and digits, as random strings do."""
+    """Long tokens that look random: by their entropy, by less of it where letters of
+    both cases or digits and letters mix, or by many digits."""
     tokens = located(text, CANDIDATE, OWNED, 3)
     digits = lambda v: F.regexp_count(v, F.lit("[0-9]"))
-    return F.filter(
-        tokens,
-        lambda s: (digits(s["value"]) * 8 >= F.length(s["value"])) & (digits(s["value"]) < F.length(s["value"])) & s["value"].rlike("[A-Za-z]"),
-    )
+
+    def random(s):
+        v = s["value"]
+        letters = v.rlike("[A-Za-z]")
+        numeric = (digits(v) * 8 >= F.length(v)) & (digits(v) < F.length(v)) & letters
+        mixed = (v.rlike("[0-9]") & letters) | (v.rlike("[a-z]") & v.rlike("[A-Z]"))
+        return numeric | (entropy(v) >= F.when(mixed, MIXED_ENTROPY).otherwise(LETTER_ENTROPY))
+
+    return F.filter(tokens, random)
 
 
 def widely_held(found: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:

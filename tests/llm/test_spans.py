@@ -3,6 +3,7 @@ import random
 import re
 
 from plain import corpus, prose
+from pyspark.sql import functions as F
 from skytide.llm import pii, secrets
 
 SCHEMA = "doc_id bigint, text string, source string, lang string"
@@ -78,6 +79,16 @@ def test_ownership_separates_copied_from_owned(spark):
     assert counts[0] == (0, 1) and counts[9] == (1, 0)
 
 
+def test_random_tokens_with_few_digits_are_candidates(spark):
+    own = ["kQzRtmWxYvbLpNsDfGhJ", "wJalrXUtnFEMI/K7MDENG+bPxRfiCYEXAMPLEKEY", "qTzbWmXvKpLrNsDfGhJcYxRtVw4uEaoi", "kqzxjvwbpyfgmcultrhdnoseiakzqxvjwbgpfmyulchtdrsnoe"]
+    words = ["internationalizations-and-so", "zzzzzzzzzzzzzzzzzzzzzzzzzzzzzz", "ZZZZZZZZZZzzzzzzzzzzzzzzzzzzzz"]
+    rows = [(i, f"key {t} end", "s", "en") for i, t in enumerate(own + words)]
+    got = {r.doc_id: r.spans for r in secrets.find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i] for i in range(len(rows))] == [f"owned:4:{4 + len(t)}" for t in own] + [""] * len(words)
+    bits = spark.createDataFrame([("aabb",), ("abcd",), ("aaaa",)], "t string").select(secrets.entropy(F.col("t"))).collect()
+    assert [r[0] for r in bits] == [1.0, 2.0, 0.0]
+
+
 def test_terms_that_reveal(spark):
     rng = random.Random(5)
     rows = [(i, f"{prose(rng, 30)} Zarquon wrote from zq@mail.example.org {prose(rng, 30)}", "s", "en") for i in range(4)]
