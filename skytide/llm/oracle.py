@@ -89,7 +89,33 @@ SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(m.y, e.ve
 FROM embeddings AS e LEFT JOIN m ON m.x = e.vec_id LEFT JOIN n ON n.x = e.vec_id
 """
 
+TEXT_OWNERS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS b FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY b) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(b) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY b ORDER BY length(t) DESC, doc_id NULLS LAST)
+"""
+
+# Every anchor against every row.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, other_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_hard_negatives": HARD_NEGATIVES,
+    "op13_exact_dedup": TEXT_OWNERS,
     "op9_jaccard_join": JACCARD_JOIN,
     "op5_nn_descent": NN_DESCENT,
     "op7_url_filter": URL_FILTER,
