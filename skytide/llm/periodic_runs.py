@@ -190,12 +190,16 @@ def periodic_tail(doc_id: Column, text: Column) -> Column:
     """The text of every tenth id, by checksum, with its words repeating from some word on;
     all others as they are. A probe of what the operator finds, not a part of it."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
     words = F.filter(F.split(text, WORD), lambda w: w != "")
+    # arrays of one element, so that a lambda names what is worked out once a text
+    split = F.array(F.struct(words.alias("words"), g.alias("g")))
+    begun = F.transform(split, lambda t: F.struct(t["words"].alias("words"), t["g"].alias("g"), F.pmod(t["g"], F.greatest(F.size(t["words"]), F.lit(1))).alias("a")))
+    period = lambda t: F.floor((F.size(t["words"]) - t["a"]) / (3 + F.pmod(t["g"], F.lit(8)))) + 1
+    planned = F.transform(begun, lambda t: F.struct(t["words"].alias("words"), t["a"].alias("a"), period(t).alias("p")))
 
-    def repeated(words: Column) -> Column:
-        n, g = F.size(words), F.floor(h / 10)
-        a = F.pmod(g, F.greatest(n, F.lit(1)))
-        p = F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))) + 1
-        return F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int")))), " ")
+    def word(t: Column, w: Column, i: Column) -> Column:
+        return F.when(i < t["a"], w).otherwise(F.get(t["words"], (t["a"] + F.pmod(i - t["a"], t["p"])).cast("int")))
 
-    return F.when(F.pmod(h, F.lit(10)) == 0, repeated(words)).otherwise(text)
+    repeated = F.transform(planned, lambda t: F.array_join(F.transform(t["words"], lambda w, i: word(t, w, i)), " "))
+    return F.when(F.pmod(h, F.lit(10)) == 0, F.element_at(repeated, 1)).otherwise(text)
