@@ -73,13 +73,13 @@ def read_image(data: bytes) -> np.ndarray:
     return pixels.reshape(height, width).astype(np.float32 if pixels.dtype == np.dtype(">f4") else np.float64)
 
 
-def write_image(pixels: np.ndarray) -> bytes:
-    """A minimal single-precision FITS file."""
+def write_image(pixels: np.ndarray, double: bool = False) -> bytes:
+    """A minimal FITS file of single or double precision."""
     height, width = pixels.shape
-    lines = ["SIMPLE  =                    T", f"BITPIX  = {-32:20d}", f"NAXIS   = {2:20d}"]
+    lines = ["SIMPLE  =                    T", f"BITPIX  = {-64 if double else -32:20d}", f"NAXIS   = {2:20d}"]
     lines += [f"NAXIS1  = {width:20d}", f"NAXIS2  = {height:20d}", "END"]
     head = "".join(line.ljust(CARD) for line in lines).encode()
-    body = np.ascontiguousarray(pixels, dtype=">f4").tobytes()
+    body = np.ascontiguousarray(pixels, dtype=">f8" if double else ">f4").tobytes()
     return head.ljust(BLOCK, b" ") + body.ljust(-(-len(body) // BLOCK) * BLOCK, b"\0")
 
 

@@ -14,14 +14,16 @@ from pyspark.sql import functions as F
 from skytide.naming import SURVEYS, Naming
 from skytide.operators.archive import FORMATS, STORE_MODES
 from skytide.operators.decode import load_registry, registry_from_folder, schema_table
-from skytide.operators.offsets import backlog_report, read_committed
+from skytide.operators.offsets import backlog_of_bounds, read_committed, topic_bounds
 from skytide.operators.summary import print_rows
 from skytide.operators.topics import topic_catalogue
 from skytide.session import build_session
 from skytide.sources.avro_schema import superset, version_order
+from skytide.sources.log_index import log_bounds
 from skytide.sources.topic_log import all_topics, read_topics
 from skytide.streaming.drain import MAX_IDLE, TransferJob, drain_topic, transfer_limited
-from skytide.streaming.live import LiveJob, run_limited, start_live
+from skytide.streaming.live import LiveJob, run_limited, settle_days, start_live
+from skytide.streaming.progress import progress_bounds
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -45,6 +47,7 @@ def _parser() -> argparse.ArgumentParser:
     transfer.add_argument("--limit", type=int, help="exact number of messages of this run")
     transfer.add_argument("--per-trigger", type=int)
     transfer.add_argument("--max-idle", type=int, default=MAX_IDLE)
+    transfer.add_argument("--progress", help="table for the offsets and counts of every batch")
     transfer.add_argument("--dump-schemas", help="also write the schemas seen as a table")
 
     stream = commands.add_parser("stream", parents=[shared], help="archive, notify and show live alerts")
@@ -63,15 +66,18 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--display", action="store_true")
     stream.add_argument("--poll-seconds", type=float)
     stream.add_argument("--limit", type=int, help="handle this many alerts as one batch, then stop")
+    stream.add_argument("--settle-before", help="when done, settle the archived days before this one (YYYY-MM-DD)")
     stream.add_argument("--until-drained", action="store_true", help="stop when nothing is left")
 
     listing = commands.add_parser("topics", parents=[shared], help="topics and their service")
     listing.add_argument("--service")
+    listing.add_argument("--progress", help="topics that queries have reported, without a look at messages")
 
     backlog = commands.add_parser("backlog", parents=[shared], help="offset and lag per topic partition")
     backlog.add_argument("--topics", nargs="+", required=True)
     backlog.add_argument("--runs", required=True, help="table of committed offsets")
     backlog.add_argument("--group", default="default")
+    backlog.add_argument("--progress", help="ends that queries have reported, without a look at messages")
     return parser
 
 
@@ -88,6 +94,7 @@ def _transfer(spark: SparkSession, args, naming: Naming) -> None:
         kafka=args.kafka,
         generation=args.generation,
         per_trigger=args.per_trigger,
+        progress=args.progress,
         naming=naming,
     )
     if args.dump_schemas:
@@ -135,6 +142,8 @@ def _stream(spark: SparkSession, args, naming: Naming) -> None:
         print(f"{handled} alerts handled")
     else:
         start_live(spark, job, available_now=args.until_drained).awaitTermination()
+    if args.settle_before:
+        print(f"{len(settle_days(spark, job, args.settle_before))} partitions settled")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -146,11 +155,18 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "stream":
         _stream(spark, args, naming)
     elif args.command == "topics":
-        log = all_topics(spark, args.log_path, args.kafka)
-        print_rows(topic_catalogue(log, args.service, naming).orderBy("topic"))
+        if args.progress:
+            known = progress_bounds(spark, args.progress)
+        else:
+            known = log_bounds(spark, args.log_path) if args.log_path else all_topics(spark, kafka=args.kafka)
+        print_rows(topic_catalogue(known, args.service, naming).orderBy("topic"))
     else:
-        log = read_topics(spark, args.topics, args.log_path, kafka=args.kafka)
-        report = backlog_report(log, read_committed(spark, args.runs, args.group), args.topics)
+        committed = read_committed(spark, args.runs, args.group)
+        if args.progress:
+            bounds = progress_bounds(spark, args.progress, args.topics)
+        else:
+            bounds = topic_bounds(spark, args.topics, args.log_path, args.kafka, committed)
+        report = backlog_of_bounds(bounds, committed, args.topics)
         print_rows(report.orderBy("topic", F.col("partition").asc_nulls_last()))
 
 

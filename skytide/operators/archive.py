@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from skytide.functions.timeconv import date_parts
 from skytide.naming import DEFAULT_NAMING, Naming, layout
+from skytide.operators.settled import BATCH, compact_store, store_parts
 from skytide.session import broadcast_if_small, read_table_if_exists, stage, staging_scope
 
 DATE_COLUMNS = ["year", "month", "day"]
@@ -211,8 +214,6 @@ def _archive(df, path, key, mode, partitions, order, trust_partitions) -> None:
 
 
 # -- append-only store ----------------------------------------------------------
-BATCH = "batch"
-
 
 def store_batch(
     df: DataFrame, path: str, batch_id: int, key: list[str], mode: str = "overwrite", partitions: list[str] | None = None
@@ -227,15 +228,34 @@ def store_batch(
         raise ValueError(f"unknown mode {mode!r}, expected one of {', '.join(STORE_MODES)}")
     if mode == "error":
         _clash(df.groupBy(*key).count().filter(F.col("count") > 1), key, path)
-        stored = _stored(df.sparkSession, path)
-        if stored is not None:
-            earlier = stored.filter(F.col(BATCH).cast("bigint") != batch_id).select(*key)
-            _clash(earlier.join(broadcast_if_small(df.select(*key)), key, "left_semi"), key, path)
+        for stored in store_parts(df.sparkSession, path):
+            if stored is not None:
+                earlier = stored.filter(F.col(BATCH).cast("bigint") != batch_id).select(*key)
+                _clash(earlier.join(broadcast_if_small(df.select(*key)), key, "left_semi"), key, path)
     df.write.mode("overwrite").partitionBy(*(partitions or [])).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_store(spark: SparkSession, path: str, key: list[str], order: list[str], mode: str = "overwrite") -> DataFrame:
     """The store as one row per key: the last version stored, or the first one
-    for a store kept in ``ignore`` mode."""
-    rows = spark.read.option("mergeSchema", True).parquet(path).withColumn(BATCH, F.col(BATCH).cast("bigint"))
-    return latest_per_key(rows, key, [BATCH, *order], first=mode == "ignore")
+    for a store kept in ``ignore`` mode. Settled partitions are read as they are."""
+    closed, open_rows = store_parts(spark, path)
+    if closed is None and open_rows is None:
+        raise IOError(f"nothing is stored in {path}")
+    if open_rows is None:
+        return closed
+    latest = latest_per_key(open_rows, key, [BATCH, *order], first=mode == "ignore")
+    return latest if closed is None else closed.unionByName(latest, allowMissingColumns=True)
+
+
+def settle_store(
+    spark: SparkSession, path: str, key: list[str], order: list[str], closed: Callable[[dict], bool],
+    mode: str = "overwrite", upto: int | None = None,
+) -> list[str]:
+    """Rewrite closed partitions of a store to one row per key (see ``compact_store``)."""
+    return compact_store(spark, path, key, closed, lambda rows: latest_per_key(rows, key, [BATCH, *order], first=mode == "ignore"), upto)
+
+
+def days_before(day: str) -> Callable[[dict], bool]:
+    """Accepts the day partitions before ``day`` (YYYY-MM-DD); rows without a day stay open."""
+    limit = tuple(day.split("-"))
+    return lambda values: None not in (at := tuple(values.get(c) for c in DATE_COLUMNS)) and at < limit

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skytide.session import read_table_if_exists, small_table
-from skytide.sources.topic_log import offset_bounds, read_topics, within_ranges
+from skytide.session import qualified
+from skytide.sources.append_log import AppendLog, Rows
+from skytide.sources.log_index import log_bounds
+from skytide.sources.topic_log import EARLIEST, LATEST, offset_bounds, read_topics, within_ranges
 
 RUNS_SCHEMA = (
     "consumer_group string, topic string, partition int, start bigint, end bigint, seq bigint, run_id string, done boolean"
@@ -22,11 +24,23 @@ Range = tuple[str, int, int, int]
 # -- committed offsets --------------------------------------------------------
 # A table of runs: a bounded run writes its planned ranges before it moves any
 # message and writes them again as done afterwards.
+def _what_counts(rows: Rows) -> Rows:
+    """The last offset committed of each group and partition, and runs not yet done."""
+    done = {(r["consumer_group"], r["run_id"]) for r in rows if r["done"]}
+    last: dict[tuple, dict] = {}
+    for row in rows:
+        key = (row["consumer_group"], row["topic"], row["partition"])
+        if row["done"] and (key not in last or row["seq"] >= last[key]["seq"]):
+            last[key] = row
+    return list(last.values()) + [r for r in rows if not r["done"] and (r["consumer_group"], r["run_id"]) not in done]
+
+
+def runs_log(spark: SparkSession, path: str) -> AppendLog:
+    return AppendLog(qualified(spark, path), RUNS_SCHEMA, _what_counts)
+
+
 def _runs(spark: SparkSession, path: str, group: str) -> DataFrame:
-    table = read_table_if_exists(spark, path, RUNS_SCHEMA)
-    if table is None:
-        table = small_table(spark, [], RUNS_SCHEMA)
-    return table.filter(F.col("consumer_group") == group)
+    return runs_log(spark, path).read(spark).filter(F.col("consumer_group") == group)
 
 
 def read_committed(spark: SparkSession, path: str, group: str) -> DataFrame:
@@ -46,8 +60,7 @@ def record_run(spark: SparkSession, path: str, group: str, run_id: str, ranges:
         dict(consumer_group=group, topic=t, partition=p, start=start, end=end, seq=seq, run_id=run_id, done=done)
         for t, p, start, end in ranges
     ]
-    if rows:
-        small_table(spark, rows, RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    runs_log(spark, path).append(rows)
 
 
 def commit_offsets(spark: SparkSession, path: str, group: str, ranges: list[Range]) -> None:
@@ -136,12 +149,37 @@ def partition_sizes(log: DataFrame) -> DataFrame:
 
 def backlog_report(log: DataFrame, committed: DataFrame, topics: list[str]) -> DataFrame:
     """Lag of the subscribed topics, with a total row (null partition) per topic."""
-    lags = offset_lag(log.filter(F.col("topic").isin(*topics)), committed)
+    return backlog_of_bounds(offset_bounds(log), committed, topics)
+
+
+def backlog_of_bounds(bounds: DataFrame, committed: DataFrame, topics: list[str]) -> DataFrame:
+    """The same from a table ``topic, partition, lo, hi``: of a log's index
+    (``log_bounds``) or of a query's progress (``progress_bounds``), so that no
+    message is read."""
+    lags = lag_of_bounds(bounds.filter(F.col("topic").isin(*topics)), committed)
     return lags.rollup("topic", "partition").agg(
         F.sum("offset").alias("offset"), F.sum("lag").alias("lag")
     ).filter(F.col("topic").isNotNull())
 
 
+def topic_bounds(
+    spark: SparkSession, topics: list[str], path: str | None, kafka: dict | None, committed: DataFrame
+) -> DataFrame:
+    """Where the topics begin and end, one row per topic partition.
+
+    A log table knows from its index. Of Kafka the messages after the committed
+    offsets are read; partitions without any stay as they were committed.
+    """
+    if path is not None:
+        return log_bounds(spark, path, topics)
+    committed = committed.filter(F.col("topic").isin(*topics) & F.col("committed").isNotNull())
+    done = [(r.topic, r.partition, r.committed, None) for r in committed.collect()]
+    log = read_topics(spark, topics, kafka=kafka)
+    new = offset_bounds(within_ranges(log, done, others=True) if done else log)
+    idle = committed.join(new, ["topic", "partition"], "left_anti")
+    return new.unionByName(idle.select("topic", "partition", F.col("committed").alias("lo"), F.col("committed").alias("hi")))
+
+
 # -- bounded ranges -----------------------------------------------------------
 def plan_range(bounds: DataFrame, committed: DataFrame, limit: int | None) -> DataFrame:
     """Offset range ``[start, end)`` per partition that delivers ``limit`` messages.
@@ -164,40 +202,49 @@ def plan_range(bounds: DataFrame, committed: DataFrame, limit: int | None) -> Da
     return lags.select("topic", "partition", "start", (F.col("start") + granted).alias("end"))
 
 
-def plan_ranges(log: DataFrame, committed: DataFrame, limit: int | None) -> list[Range]:
-    """The plan as rows on the driver, one per topic partition that has something new.
-
-    Committed offsets go into the scan, so the log is not read from its beginning.
-    """
-    done = [(r.topic, r.partition, r.committed, None) for r in committed.collect() if r.committed is not None]
-    new = within_ranges(log, done, others=True) if done else log
-    plan = plan_range(offset_bounds(new), committed, limit).collect()
+def plan_ranges(bounds: DataFrame, committed: DataFrame, limit: int | None) -> list[Range]:
+    """The plan as rows on the driver, one per topic partition; idle ones are empty ranges."""
+    plan = plan_range(bounds, committed, limit).collect()
     return sorted((r.topic, r.partition, r.start, r.end) for r in plan)
 
 
 def read_ranges(spark: SparkSession, ranges: list[Range], path: str | None, kafka: dict | None = None) -> DataFrame:
     """The messages of planned ranges, from a topic-log table or from Kafka."""
     topics = sorted({r[0] for r in ranges})
+    wanted = [r for r in ranges if r[3] > r[2]]
     if path is None:
-        return read_topics(spark, topics, kafka={**(kafka or {}), "ranges": kafka_range_options(ranges)})
-    return within_ranges(read_topics(spark, topics, path), [r for r in ranges if r[3] > r[2]])
+        options = kafka_range_options(ranges, (kafka or {}).get("partitions", {}))
+        return within_ranges(read_topics(spark, topics, kafka={**(kafka or {}), "ranges": options}), wanted)
+    return within_ranges(read_topics(spark, topics, path), wanted)
 
 
 def bounded_read(log: DataFrame, committed: DataFrame, limit: int | None) -> tuple[DataFrame, list[Range]]:
     """The next ``limit`` messages of a topic-log table after the committed
     offsets, and the ranges they come from, to be committed once the messages
     are safely stored."""
-    ranges = [r for r in plan_ranges(log, committed, limit) if r[3] > r[2]]
+    ranges = [r for r in plan_ranges(offset_bounds(log), committed, limit) if r[3] > r[2]]
     return within_ranges(log, ranges), ranges
 
 
-def kafka_range_options(ranges: list[Range]) -> dict[str, str]:
-    """A plan as options of a batch read of Kafka."""
+def next_message(log: DataFrame, committed: DataFrame) -> DataFrame:
+    """One row: the next message after the committed offsets, or nulls if there is none."""
+    found, _ = bounded_read(log, committed, 1)
+    return found.agg(F.first(F.struct(*log.columns)).alias("message")).select("message.*")
+
+
+def kafka_range_options(ranges: list[Range], n_partitions: dict[str, int] | None = None) -> dict[str, str]:
+    """A plan as options of a batch read of Kafka.
+
+    Kafka's source wants every partition of a topic named. Those that never held a
+    message are in no plan: of the ``n_partitions`` of a topic they are named whole,
+    and what may have come into them since is filtered out of the read.
+    """
 
-    def by_topic(pick):
+    def by_topic(pick, other):
         out: dict[str, dict[str, int]] = {}
         for row in ranges:
-            out.setdefault(row[0], {})[str(row[1])] = row[pick]
+            every = {str(p): other for p in range((n_partitions or {}).get(row[0], 0))}
+            out.setdefault(row[0], every)[str(row[1])] = row[pick]
         return json.dumps(out)
 
-    return {"startingOffsets": by_topic(2), "endingOffsets": by_topic(3)}
+    return {"startingOffsets": by_topic(2, EARLIEST), "endingOffsets": by_topic(3, LATEST)}

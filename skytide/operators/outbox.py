@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,7 +11,7 @@ from skytide.functions.text import notification_text
 from skytide.naming import DEFAULT_NAMING, Naming, layout
 from skytide.operators.lightcurve import extract_field
 from skytide.operators.numbering import number_rows
-from skytide.session import broadcast_if_small
+from skytide.session import broadcast_if_small, open_filesystem, qualified
 
 # Seconds between two messages to one channel.
 SPACING_SECONDS = {"telegram": 10, "slack": 2}
@@ -118,6 +119,39 @@ def throttle(
     )
 
 
-def channels_busy_until(sent: DataFrame, now: Column) -> DataFrame:
-    """Per channel the last message that still waits to be sent."""
-    return sent.filter(F.col("not_before") > now).groupBy("kind", "channel").agg(F.max("not_before").alias("last"))
+def last_slots(messages: DataFrame) -> DataFrame:
+    """Per channel the time of its last message."""
+    timed = messages.filter(F.col("not_before").isNotNull())
+    return timed.groupBy("kind", "channel").agg(F.max("not_before").alias("last"))
+
+
+class ChannelState:
+    """What a stream knows of its channels: one row each, kept anew by every batch.
+
+    A batch reads what the one before it kept, however many there have been; the
+    state before that stays too, so a repeated batch begins where it began.
+    """
+
+    _FOLDER = "batch="
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, qualified(spark, path).rstrip("/")
+
+    def _batches(self) -> list[int]:
+        filesystem, inner = open_filesystem(self.path)
+        found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+        return sorted(int(i.base_name.removeprefix(self._FOLDER)) for i in found if i.base_name.startswith(self._FOLDER))
+
+    def before(self, batch_id: int) -> DataFrame | None:
+        earlier = [n for n in self._batches() if n < batch_id]
+        return self.spark.read.parquet(f"{self.path}/{self._FOLDER}{earlier[-1]}") if earlier else None
+
+    def keep(self, batch_id: int, messages: DataFrame) -> None:
+        """The state after a batch's messages; folders older than the one before it go."""
+        slots, earlier = last_slots(messages), self.before(batch_id)
+        if earlier is not None:
+            slots = slots.unionByName(earlier).groupBy("kind", "channel").agg(F.max("last").alias("last"))
+        slots.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{self._FOLDER}{batch_id}")
+        filesystem, inner = open_filesystem(self.path)
+        for old in [n for n in self._batches() if n < batch_id][:-1]:
+            filesystem.delete_dir(f"{inner}/{self._FOLDER}{old}")

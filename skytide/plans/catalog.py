@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from skytide.functions import photometry, text, timeconv
 from skytide.naming import MMA_STREAMS, Naming
 from skytide.operators import archive, cutouts, decode, lightcurve, offsets, outbox, summary, topics
+from skytide.operators.settled import drop_settled
 from skytide.plans import derived
-from skytide.session import scratch_path, small_table
+from skytide.session import open_filesystem, scratch_path, small_table
 from skytide.sources.avro_files import CODECS, list_files, read_alerts, write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, struct_type_to_avro, superset
-from skytide.sources.topic_log import LOG_SCHEMA, read_topics, write_topic_log
-from skytide.streaming.drain import TransferJob, drain_topic, transfer_limited
+from skytide.sources.topic_log import LOG_SCHEMA, read_topics, to_topic_log, write_topic_log
+from skytide.streaming.drain import MOVED, TransferJob, drain_topic, transfer_limited
 from skytide.streaming.live import LiveJob, start_live, stored_alerts
+from skytide.streaming.progress import observed_counts, progress_bounds
 
+EVENT_TYPES = ("view", "signup", "click", "error", "purchase")
 NAMING = Naming(namespace="survey", portal_host="portal.example.org")
 
 
@@ -343,6 +348,17 @@ def backlog_report(spark, sf_dir):
     return offsets.backlog_report(log, committed, ["view", "click"])
 
 
+def one_message(spark, sf_dir):
+    """The next message of each topic after what is committed, and none of an unknown topic."""
+    log, committed = _log_and_committed(spark, sf_dir)
+    out = None
+    for asked in [*EVENT_TYPES, "nothing"]:
+        mine = F.col("topic") == asked
+        one = offsets.next_message(log.filter(mine), committed.filter(mine)).select(F.lit(asked).alias("asked"), "topic", "partition", "offset")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def start_offsets(spark, sf_dir):
     """What a reader that asks for the given start offsets sees of one topic."""
     path = derived.mixed_log_path(spark, sf_dir)
@@ -403,6 +419,36 @@ def avro_codecs(spark, sf_dir):
     return _plain(read_alerts(spark, paths))
 
 
+def gzip_files(spark, sf_dir):
+    """Container files packed whole with gzip, read back as a folder."""
+    plain, packed = scratch_path(spark, "avro-plain"), scratch_path(spark, "avro-gzip")
+    write_avro(derived.event_records(spark, sf_dir), plain, derived.EVENT_V2)
+
+    def pack(batches):
+        filesystem, inner = open_filesystem(packed)
+        filesystem.create_dir(inner, recursive=True)
+        for batch in batches:
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                with filesystem.open_output_stream(f"{inner}/{name.rpartition('/')[2]}.gz", compression=None) as out:
+                    out.write(gzip.compress(body.as_py(), 1))
+            yield batch.select([0])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.avro").load(plain)
+    files.select("path", "content").mapInArrow(pack, "path string").count()
+    return _plain(read_alerts(spark, packed))
+
+
+def first_records(spark, sf_dir):
+    """The first third of the records of a list of files, in the list's order."""
+    rows, paths = derived.event_records(spark, sf_dir), []
+    for kind in EVENT_TYPES:
+        paths.append(scratch_path(spark, f"avro-{kind}"))
+        one = rows.filter(F.col("event_type") == kind).coalesce(1).sortWithinPartitions("event_id")  # one file
+        write_avro(one, paths[-1], derived.EVENT_V2)
+    files = [f for path in paths for f, _ in list_files(path)]
+    return read_alerts(spark, files, size=rows.count() // 3).select("event_id", "event_type")
+
+
 def many_versions(spark, sf_dir):
     """A hundred files, the newer version first in the list: the version listed last gives the type."""
     rows, parts = derived.event_records(spark, sf_dir), []
@@ -500,7 +546,7 @@ def drain_archive(spark, sf_dir):
 def drain_resume(spark, sf_dir):
     """Drain in small batches and again with nothing new, then from the start
     under a new generation: each generation holds every message once."""
-    job = _job(spark, sf_dir, partition_by=None, with_offsets=True, per_trigger=2)
+    job = _job(spark, sf_dir, partition_by=None, with_offsets=True, per_trigger=1 + _half(spark, sf_dir) // 2)
     drain_topic(spark, job, max_idle=2)
     again = TransferJob(**{**job.__dict__, "generation": 1, "per_trigger": None})
     drain_topic(spark, again, max_idle=1)
@@ -518,7 +564,7 @@ def drain_resume(spark, sf_dir):
 
 def drain_avro(spark, sf_dir):
     """Several micro-batches into Avro folders, read back as one archive."""
-    job = _job(spark, sf_dir, partition_by=None, out_format="avro", per_trigger=2)
+    job = _job(spark, sf_dir, partition_by=None, out_format="avro", per_trigger=1 + _half(spark, sf_dir) // 2)
     drain_topic(spark, job, max_idle=1)
     return _plain(read_alerts(spark, job.output))
 
@@ -551,6 +597,27 @@ def backlog_after_drain(spark, sf_dir):
     return offsets.backlog_report(log, offsets.read_committed(spark, runs, job.run_group), [job.topic])
 
 
+def backlog_from_progress(spark, sf_dir):
+    """A backlog from the ends a drain has reported, with half of three partitions
+    committed: no message is read for it."""
+    job = _job(spark, sf_dir, partition_by=None, per_trigger=1 + _half(spark, sf_dir) // 2, progress=scratch_path(spark, "progress"))
+    drain_topic(spark, job, max_idle=1)
+    bounds = progress_bounds(spark, job.progress, [job.topic])
+    committed = bounds.filter("partition <> 3").select("topic", "partition", F.floor(F.col("hi") / 2).alias("committed"))
+    return offsets.backlog_of_bounds(bounds, committed, [job.topic])
+
+
+def transfer_progress(spark, sf_dir):
+    """What a drain in batches of N messages has observed of its batches, and what it returns."""
+    job = _job(spark, sf_dir, partition_by=None, per_trigger=1 + _half(spark, sf_dir) // 2, progress=scratch_path(spark, "progress"))
+    moved = drain_topic(spark, job, max_idle=1)
+    counts = observed_counts(spark, job.progress).filter((F.col("name") == MOVED) & (F.col("metric") == "messages"))
+    return counts.agg(
+        F.count(F.lit(1)).alias("n_batches"), F.max("value").cast("bigint").alias("largest"),
+        F.sum("value").cast("bigint").alias("n_messages"), F.lit(moved).cast("bigint").alias("returned"),
+    )
+
+
 def backlog_after_live(spark, sf_dir):
     """Every micro-batch of a live query commits its offsets."""
     job = _live_job(spark, sf_dir, log_path=derived.live_log_path(spark, sf_dir), runs=scratch_path(spark, "runs"))
@@ -571,7 +638,7 @@ def limited_generation(spark, sf_dir):
 
 def _live_job(spark, sf_dir, **more) -> LiveJob:
     return LiveJob(
-        topics=["view", "signup", "click", "error", "purchase"],
+        topics=list(EVENT_TYPES),
         checkpoint=scratch_path(spark, "live-checkpoint"),
         target=avro_to_struct_type(derived.LIVE_SCHEMA),
         registry=derived.LIVE_REGISTRY,
@@ -580,22 +647,42 @@ def _live_job(spark, sf_dir, **more) -> LiveJob:
     )
 
 
-def restart_latest(spark, sf_dir):
-    """A query that starts at the latest message, stops, and starts again: what
-    came while it was down is delivered, what was there before is not."""
+def _log_in_two_parts(spark, sf_dir):
+    """A log holding every other message, and the messages it lacks."""
     path = scratch_path(spark, "log")
     log = spark.read.schema(LOG_SCHEMA).parquet(derived.live_log_path(spark, sf_dir)).withColumn("old", F.col("offset") % 2 == 0)
     before = log.groupBy("topic", "partition").agg(F.count_if("old").alias("n"))
     log = log.withColumn("offset", F.floor(F.col("offset") / 2))
     write_topic_log(log.filter("old"), path)
+    later = log.filter("not old").join(before, ["topic", "partition"]).withColumn("offset", F.col("offset") + F.col("n"))
+    return path, later
+
+
+def restart_latest(spark, sf_dir):
+    """A query that starts at the latest message, stops, and starts again: what
+    came while it was down is delivered, what was there before is not."""
+    path, later = _log_in_two_parts(spark, sf_dir)
     job = _live_job(spark, sf_dir, log_path=path, start="latest")
     start_live(spark, job, available_now=True).awaitTermination()
-    later = log.filter("not old").join(before, ["topic", "partition"]).withColumn("offset", F.col("offset") + F.col("n"))
     write_topic_log(later, path)
     start_live(spark, job, available_now=True).awaitTermination()
     return stored_alerts(spark, job).select("topic", "partition", "alert_key")
 
 
+def idle_poll(spark, sf_dir):
+    """A query that polls: it finds nothing for some polls, then what has come meanwhile."""
+    path, later = _log_in_two_parts(spark, sf_dir)
+    query = start_live(spark, job := _live_job(spark, sf_dir, log_path=path, poll_seconds=0.25))
+    try:
+        query.processAllAvailable()
+        query.awaitTermination(1)
+        write_topic_log(later, path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return stored_alerts(spark, job).select("topic", "partition", "alert_key")
+
+
 def live_stream(spark, sf_dir):
     """The live query over all topics: keyed archive of the decoded alerts."""
     job = _live_job(spark, sf_dir, log_path=derived.live_log_path(spark, sf_dir))
@@ -638,7 +725,40 @@ def latest_per_object(spark, sf_dir):
     return archive.latest_per_key(rows, ["objectId"], ["jd", "candid"]).select("objectId", "candid", "topic")
 
 
+def settled_store(spark, sf_dir):
+    """A store of several batches: days settled, a settled day reopened by late rows,
+    settled again, and later rows still open."""
+    rows, columns = archive.with_partitions(derived.ztf_measurements(spark, sf_dir), "time", "ztf")
+    path, key, order = scratch_path(spark, "settled-store"), ["candid"], ["jd"]
+
+    def add(batch, kinds, change):
+        revised = rows.filter(F.col("topic").isin(*kinds)).withColumn("magpsf", F.col("magpsf") + change)
+        archive.store_batch(revised, path, batch, key, partitions=columns)
+
+    add(0, [k for k in EVENT_TYPES if k != "signup"], 0)
+    add(1, ["purchase"], 1)
+    archive.settle_store(spark, path, key, order, archive.days_before("2024-01-11"), upto=1)
+    add(2, ["signup", "click"], 2)
+    archive.settle_store(spark, path, key, order, archive.days_before("2024-01-21"), upto=2)
+    drop_settled(spark, path)
+    add(3, ["error"], 3)
+    return archive.read_store(spark, path, key, order).select("candid", "topic", "magpsf", "month", "day")
+
+
 # -- cutouts ------------------------------------------------------------------
+def cleaned_images(spark, sf_dir):
+    """Images with NaN and infinite pixels, of single and double precision, made ready to show."""
+    long = cutouts.cutouts_long(derived.flawed_images(spark, sf_dir), "lsst")
+    images = cutouts.decode_cutouts(long, clean=True)
+    top, bottom = F.array_max("pixels"), F.array_min("pixels")
+    usual = F.filter("pixels", lambda x: F.abs(x) < 1e30)
+    return images.select(
+        "diaSourceId", "kind", top.alias("top"), bottom.alias("bottom"),
+        F.size(F.filter("pixels", lambda x: x == 0)).alias("n_zero"),
+        F.round(F.aggregate(usual, F.lit(0.0), lambda total, x: total + x), 5).alias("total"),
+    )
+
+
 def cutout_stats(spark, sf_dir):
     long = cutouts.cutouts_long(derived.image_alerts(spark, sf_dir), "lsst")
     stats = cutouts.cutout_stats(long)
@@ -720,6 +840,27 @@ def outbox_throttle(spark, sf_dir):
     )
 
 
+def live_throttle(spark, sf_dir):
+    """The outbox of a live query over several batches: every message of a channel has
+    a slot of its own, a gap after the one before, across batches."""
+    alerts, path = derived.ztf_alerts(spark, sf_dir).select("topic", "objectId", "candid", "candidate", "prv_candidates"), scratch_path(spark, "log")
+    schema, partition = struct_type_to_avro(alerts.drop("topic").schema), F.col("objectId").cast("bigint") % derived.PARTITIONS
+    to_topic_log(alerts, schema, F.col("topic"), partition, F.lit("4.0"), ["candid"], timeconv.jd_to_timestamp("candidate.jd"), path)
+    job = LiveJob(
+        topics=list(EVENT_TYPES), checkpoint=scratch_path(spark, "live-checkpoint"), target=avro_to_struct_type(schema), registry={"4.0": json.dumps(schema)},
+        log_path=path, per_trigger=1 + _half(spark, sf_dir) // 2, outbox=scratch_path(spark, "outbox"), topic_config=topic_config(spark), kinds=["telegram", "slack"],
+    )
+    start_live(spark, job, available_now=True).awaitTermination()
+    sent = spark.read.parquet(job.outbox).filter("not_before is not null")
+    before = F.lag("not_before").over(W.partitionBy("kind", "channel").orderBy("not_before"))
+    spacing = F.when(F.col("kind") == "telegram", 10).otherwise(2)
+    gap = (F.unix_micros("not_before") - F.unix_micros(before)) / 1000000
+    return sent.select("kind", "channel", "batch", "not_before", (gap >= spacing).alias("spaced")).groupBy("kind", "channel").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("not_before").alias("n_slots"),
+        F.bool_and("spaced").alias("spaced"), (F.count_distinct("batch") > 2).alias("several_batches"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -729,10 +870,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         bands_present, quality_tags, flux_to_mag, object_history,
         legal_topic_name, legal_topic_text, markdown_escape, tag_topic_name,
         topic_log, offset_lag, offset_totals, nonempty_partitions, last_offsets, partition_counts,
-        partition_sizes, backlog_report, start_offsets, partial_start_offsets,
-        avro_roundtrip, avro_files_roundtrip, avro_files_union, avro_codecs, many_versions, encode_missing_fields, wider_schema, poison_keys, multi_schema_union, dead_letters, schema_table,
-        drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, backlog_after_drain, backlog_after_live, limited_generation, restart_latest, live_stream,
-        archive_overwrite, archive_evolved_schema, archive_ignore, latest_per_object,
-        cutout_stats, cutouts_long, object_cutout, plain_fits, notification_outbox, outbox_throttle,
+        partition_sizes, backlog_report, one_message, start_offsets, partial_start_offsets,
+        avro_roundtrip, avro_files_roundtrip, avro_files_union, avro_codecs, gzip_files, first_records, many_versions, encode_missing_fields, wider_schema, poison_keys, multi_schema_union, dead_letters, schema_table,
+        drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, backlog_after_drain, backlog_from_progress, transfer_progress, backlog_after_live, limited_generation, restart_latest, idle_poll, live_stream,
+        archive_overwrite, archive_evolved_schema, archive_ignore, settled_store, latest_per_object,
+        cleaned_images, cutout_stats, cutouts_long, object_cutout, plain_fits, notification_outbox, outbox_throttle, live_throttle,
     )
 }

@@ -235,6 +235,33 @@ def half_committed(log: DataFrame) -> DataFrame:
 IMAGE_WIDTH = 8
 
 
+def flawed_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts whose cutouts have dead and saturated pixels: single precision as
+    Science, double precision as Template, and that gzip-packed as Difference."""
+
+    def stamps_of(double: bool, packed: bool):
+        @F.arrow_udf(T.BinaryType())
+        def stamps(ids: pa.Array, values: pa.Array) -> pa.Array:
+            out = []
+            for vec_id, vector in zip(ids.to_pylist(), values.to_pylist()):
+                pixels = np.asarray(vector, np.float64)
+                at = np.arange(len(pixels)) + vec_id
+                for step, value in ((13, -np.inf), (11, np.inf), (7, np.nan)):
+                    pixels[at % step == 0] = value
+                body = fits.write_image(pixels.reshape(-1, IMAGE_WIDTH), double)
+                out.append(gzip.compress(body, 1) if packed else body)
+            return pa.array(out, pa.binary())
+
+        return stamps(F.col("vec_id"), F.col("embedding"))
+
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("diaSourceId"),
+        stamps_of(False, False).alias("cutoutScience"),
+        stamps_of(True, False).alias("cutoutTemplate"),
+        stamps_of(True, True).alias("cutoutDifference"),
+    )
+
+
 def image_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts whose Science cutout is the embedding as an image, whose Template
     is the image negated and whose Difference is gzip-packed."""

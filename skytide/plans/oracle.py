@@ -232,6 +232,51 @@ b AS (SELECT CAST(part AS INTEGER) AS part, count(*) AS n FROM log GROUP BY part
 SELECT 'ftransfer_ztf_2024-01-01_1' AS topic, part AS "partition", n AS "offset", 0 AS lag FROM b
 UNION ALL
 SELECT 'ftransfer_ztf_2024-01-01_1', NULL, CAST(sum(n) AS BIGINT), 0 FROM b""",
+    "backlog_from_progress": f"""
+WITH {_BULK},
+b AS (SELECT CAST(part AS INTEGER) AS part, count(*) AS n FROM log GROUP BY part),
+l AS (SELECT part, CASE WHEN part = 3 THEN 0 ELSE n // 2 END AS done, CASE WHEN part = 3 THEN n ELSE n - n // 2 END AS lag FROM b)
+SELECT 'ftransfer_ztf_2024-01-01_1' AS topic, part AS "partition", done AS "offset", lag FROM l
+UNION ALL
+SELECT 'ftransfer_ztf_2024-01-01_1', NULL, CAST(sum(done) AS BIGINT), CAST(sum(lag) AS BIGINT) FROM l""",
+    "transfer_progress": """
+WITH n AS (SELECT count(*) AS n, 1 + count(*) // 2 // 2 AS step FROM events)
+SELECT (n + step - 1) // step AS n_batches, step AS largest, n AS n_messages, n AS returned FROM n""",
+    "one_message": f"""
+WITH {_LOG}
+SELECT topic AS asked, topic, min(part) AS "partition", arg_min("offset", part) AS "offset" FROM lags WHERE lag > 0 GROUP BY topic
+UNION ALL
+SELECT 'nothing', NULL, NULL, NULL""",
+    "gzip_files": _PLAIN,
+    "first_records": """
+WITH r AS (
+  SELECT event_id, event_type,
+         row_number() OVER (ORDER BY list_position(['view', 'signup', 'click', 'error', 'purchase'], event_type), event_id) AS n
+  FROM events
+)
+SELECT event_id, event_type FROM r WHERE n <= (SELECT count(*) // 3 FROM events)""",
+    "idle_poll": """
+SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", user_id || '_' || event_id AS alert_key FROM events""",
+    "settled_store": """
+SELECT event_id AS candid, event_type AS topic, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day,
+       CASE WHEN event_id % 7 <> 0 THEN value END
+       + CASE event_type WHEN 'purchase' THEN 1 WHEN 'signup' THEN 2 WHEN 'click' THEN 2 WHEN 'error' THEN 3 ELSE 0 END AS magpsf
+FROM events""",
+    "live_throttle": """
+WITH cfg(topic, kind, channel) AS (VALUES ('view', 'telegram', '@views'), ('view', 'slack', '#views'), ('purchase', 'slack', '#sales'))
+SELECT kind, channel, count(*) AS n, count(*) AS n_slots, TRUE AS spaced, TRUE AS several_batches
+FROM events e JOIN cfg ON cfg.topic = e.event_type GROUP BY kind, channel""",
+    "cleaned_images": """
+WITH px AS (
+  SELECT vec_id, vec_id + generate_subscripts(embedding, 1) - 1 AS place, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings
+),
+k(kind, top) AS (VALUES ('Science', 3.4028234663852886e38), ('Template', 1.7976931348623157e308), ('Difference', 1.7976931348623157e308)),
+c AS (
+  SELECT vec_id, kind, CASE WHEN place % 7 = 0 THEN 0 WHEN place % 11 = 0 THEN top WHEN place % 13 = 0 THEN -top ELSE v END AS v FROM px, k
+)
+SELECT vec_id AS diaSourceId, kind, max(v) AS top, min(v) AS bottom, CAST(count(*) FILTER (v = 0) AS INTEGER) AS n_zero,
+       round(sum(v) FILTER (abs(v) < 1e30), 5) AS total
+FROM c GROUP BY vec_id, kind""",
     "backlog_after_live": """
 SELECT event_type AS topic, count(*) AS total_offset, 0 AS total_lag, count(*) AS topic_size FROM events GROUP BY event_type""",
     "limited_generation": f"""

@@ -433,7 +433,7 @@ def read_alerts(
 ) -> DataFrame:
     """Alerts of a file, a list of files or a folder, versions merged by name.
 
-    ``size`` keeps the first ``size`` files and then ``size`` records of them.
+    ``size`` keeps the first ``size`` files and then the first ``size`` records of them.
     """
     register(spark)
     if not path:
@@ -461,7 +461,10 @@ def read_alerts(
     if size is not None:
         reader = reader.option("maxFiles", str(size))
     df = reader.load() if isinstance(path, list) else reader.load(path)
-    return df if size is None else df.limit(size)
+    if size is None:
+        return df
+    # Files are read in order, and so are their records: the id says which come first.
+    return df.withColumn("_at", F.monotonically_increasing_id()).orderBy("_at").limit(size).drop("_at")
 
 
 def write_avro(

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from skytide.operators.decode import encode_alerts
 from skytide.operators.numbering import number_rows
-from skytide.session import broadcast_if_small, has_kafka, read_table_if_exists, small_table, staging_scope
+from skytide.session import broadcast_if_small, has_kafka, qualified, read_table_if_exists, small_table, staging_scope
+from skytide.sources import log_source
+from skytide.sources.log_index import index_log, log_bounds
 
 LOG_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
@@ -46,13 +48,21 @@ def kafka_options(conf: dict) -> dict[str, str]:
     return options
 
 
-def starting_offsets_json(topic: str, start: str | dict[int, int]) -> str:
-    """The Kafka source's ``startingOffsets`` for a word or an offset per partition."""
+EARLIEST, LATEST = -2, -1  # fixed values: what Kafka's source calls a partition's two ends
+
+
+def starting_offsets_json(topic: str, start: str | dict[int, int], n_partitions: int = 0) -> str:
+    """The Kafka source's ``startingOffsets`` for a word or an offset per partition.
+
+    Kafka's source wants every partition of the topic named: of the ``n_partitions``
+    those that ``start`` leaves out begin at their beginning.
+    """
     if isinstance(start, str):
         if start not in ("earliest", "latest"):
             raise ValueError(f"start position must be earliest or latest, not {start!r}")
         return start
-    return json.dumps({topic: {str(p): o for p, o in sorted(start.items())}})
+    whole = {p: EARLIEST for p in range(n_partitions)} | start
+    return json.dumps({topic: {str(p): o for p, o in sorted(whole.items())}})
 
 
 def offset_bounds(log: DataFrame) -> DataFrame:
@@ -98,14 +108,18 @@ def read_topics(
     start: str | dict[int, int] | list[tuple[str, int, int]] = "earliest",
     kafka: dict | None = None,
     per_trigger: int | None = None,
+    until: list[tuple[str, int, int]] | None = None,
 ) -> DataFrame:
     """Messages of the given topics from a topic-log table or from Kafka.
 
     ``start`` is ``earliest``, ``latest`` or an offset per partition (one topic
-    only; partitions it leaves out start at their beginning); for a table also a
-    list of (topic, partition, offset). ``latest`` is looked up anew at each
-    call: a restarted stream has to be given what it started with. ``per_trigger`` bounds a micro-batch: files of a table, messages of
-    Kafka. With a checkpoint, a restarted stream goes on where it stopped.
+    only; partitions it leaves out start at their beginning, for which a Kafka
+    configuration names how many there are: ``partitions: {topic: n}``); for a table
+    also a list of (topic, partition, offset). ``latest`` is looked up anew at each
+    call: a restarted stream has to be given what it started with. ``per_trigger``
+    bounds the messages of a micro-batch. A stream of a table goes on to the
+    offsets ``until``, if they are given. With a checkpoint, a restarted stream goes
+    on where it stopped.
     """
     if not topics:
         warnings.warn("no topic given: nothing to read")
@@ -118,26 +132,28 @@ def read_topics(
             raise RuntimeError("the Kafka connector is not on the class path; give a topic-log path instead")
         options = kafka_options(kafka or {})
         options["subscribe"] = ",".join(topics)
-        options["startingOffsets"] = starting_offsets_json(topics[0] if topics else "", start)
+        counts = (kafka or {}).get("partitions", {})
+        options["startingOffsets"] = starting_offsets_json(topics[0] if topics else "", start, counts.get(topics[0], 0) if topics else 0)
         options.update((kafka or {}).get("ranges", {}))
         if per_trigger and streaming:
             options["maxOffsetsPerTrigger"] = str(per_trigger)
         source = spark.readStream if streaming else spark.read
         return source.format("kafka").options(**options).load().select(*LOG_NAMES)
-    if streaming:
-        reader = spark.readStream.schema(LOG_SCHEMA)
-        if per_trigger:
-            reader = reader.option("maxFilesPerTrigger", per_trigger)
-        log = reader.parquet(path)
-    else:
-        log = spark.read.schema(LOG_SCHEMA).parquet(path)
-    log = log.filter(F.col("topic").isin(*topics)) if topics else log.filter(F.lit(False))
-    if start == "earliest":
-        return log
     if start == "latest":
         start = latest_positions(spark, topics, path)
     elif isinstance(start, dict):
         start = [(topics[0], p, o) for p, o in sorted(start.items())]
+    if streaming:
+        log_source.register(spark)
+        index_log(spark, path)
+        options = {"path": qualified(spark, path), "topics": json.dumps(topics), "perTrigger": str(per_trigger or "")}
+        options["start"] = json.dumps([] if start == "earliest" else start)
+        options["until"] = json.dumps(until) if until is not None else ""
+        return spark.readStream.schema(LOG_SCHEMA).format("topic_log").options(**options).load()
+    log = spark.read.schema(LOG_SCHEMA).parquet(path)
+    log = log.filter(F.col("topic").isin(*topics)) if topics else log.filter(F.lit(False))
+    if start == "earliest":
+        return log
     # Partitions without a start of their own are read from their beginning.
     return within_ranges(log, [(t, p, o, None) for t, p, o in start], others=True)
 
@@ -154,8 +170,7 @@ def all_topics(spark: SparkSession, path: str | None = None, kafka: dict | None
 
 def latest_positions(spark: SparkSession, topics: list[str], path: str) -> list[tuple[str, int, int]]:
     """Topic, partition and the offset after the last message of a log table."""
-    now = spark.read.schema(LOG_SCHEMA).parquet(path).filter(F.col("topic").isin(*topics))
-    return [(r.topic, r.partition, r.hi) for r in offset_bounds(now).collect()]
+    return [(r.topic, r.partition, r.hi) for r in log_bounds(spark, path, topics).collect()]
 
 
 def number_messages(df: DataFrame, topic: Column, partition: Column, order: list[str], path: str | None = None) -> DataFrame:
@@ -166,7 +181,7 @@ def number_messages(df: DataFrame, topic: Column, partition: Column, order: list
     existing = read_table_if_exists(df.sparkSession, path, LOG_SCHEMA) if path else None
     if existing is None:
         return numbered
-    ends = broadcast_if_small(offset_bounds(existing).select("topic", "partition", "hi"))
+    ends = broadcast_if_small(log_bounds(df.sparkSession, path).select("topic", "partition", "hi"))
     return (
         numbered.join(ends, ["topic", "partition"], "left")
         .withColumn("offset", F.col("offset") + F.coalesce("hi", F.lit(0)))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyarrow.fs import FileType
@@ -13,16 +15,21 @@ from pyspark.sql import functions as F
 from skytide.naming import DEFAULT_NAMING, SCHEMA_TOPIC_SUFFIX, Naming
 from skytide.operators.archive import check_archive_arguments, with_partitions
 from skytide.operators.decode import decode_alerts, topic_schema
-from skytide.operators.offsets import commit_offsets, plan_ranges, read_committed, read_ranges, record_run, unfinished_run
+from skytide.operators.offsets import (
+    commit_offsets, plan_ranges, read_committed, read_ranges, record_run, topic_bounds, unfinished_run,
+)
 from skytide.operators.topics import check_transfer_topic
 from skytide.sources.avro_files import write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, prune
 from skytide.session import open_filesystem, qualified
-from skytide.sources.topic_log import read_topics
+from skytide.sources.topic_log import latest_positions, read_topics
+from skytide.streaming.progress import ProgressLog
 
 # Fixed value: empty looks at a topic before it counts as drained.
 MAX_IDLE = 4
 
+MOVED = "moved"  # what a drain observes of its messages
+
 
 @dataclass(frozen=True)
 class TransferJob:
@@ -47,6 +54,7 @@ class TransferJob:
     gather_partitions: bool = False
     generation: int = 0
     per_trigger: int | None = None
+    progress: str | None = None
     naming: Naming = field(default=DEFAULT_NAMING)
 
     def __post_init__(self):
@@ -92,16 +100,39 @@ def decoded_rows(raw: DataFrame, job: TransferJob, schema: str) -> tuple[DataFra
 def start_drain(spark: SparkSession, job: TransferJob, schema: str | None = None):
     """Start one query that reads what the topic holds now and then stops."""
     schema = schema or job.writer_schema(spark)
-    raw = read_topics(spark, [job.topic], job.log_path, True, kafka=job.kafka, per_trigger=job.per_trigger)
+    # Spark ends a query that takes what is available after one batch of a source whose
+    # admission it does not know: small batches of a log go on to the ends it has now.
+    stepwise = bool(job.per_trigger) and job.log_path is not None
+    until = latest_positions(spark, [job.topic], job.log_path) if stepwise else None
+    raw = read_topics(spark, [job.topic], job.log_path, True, kafka=job.kafka, per_trigger=job.per_trigger, until=until)
+    if job.progress:
+        raw = raw.observe(MOVED, F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("value")).alias("bytes"))
     rows, partitions = decoded_rows(raw, job, schema)
-    query = rows.writeStream.option("checkpointLocation", job.checkpoint).trigger(availableNow=True)
+    query = rows.writeStream.option("checkpointLocation", job.checkpoint)
+    query = query if stepwise else query.trigger(availableNow=True)
     if job.out_format == "avro":
         # A retried batch writes to the same folder again, so it replaces itself.
         def write(batch: DataFrame, batch_id: int) -> None:
             write_avro(batch, f"{job.output}/batch={batch_id}", mode="overwrite")
 
-        return query.foreachBatch(write).start()
-    return query.format("parquet").option("path", job.output).outputMode("append").partitionBy(*partitions).start()
+        started = query.foreachBatch(write).start()
+    else:
+        started = query.format("parquet").option("path", job.output).outputMode("append").partitionBy(*partitions).start()
+    return stop_when_drained(started) if stepwise else started
+
+
+def stop_when_drained(query):
+    """Stop a query, from a thread of its own, once it has handled all that its source gives."""
+
+    def wait():
+        try:
+            query.processAllAvailable()
+            query.stop()
+        except Exception:  # the query has failed or was stopped: whoever waits for it is told
+            return
+
+    threading.Thread(target=wait, daemon=True).start()
+    return query
 
 
 def run_to_end(query, poll_seconds: float = 1.0) -> int:
@@ -124,23 +155,28 @@ def drain_topic(spark: SparkSession, job: TransferJob, max_idle: int = MAX_IDLE,
     number of messages moved. New data resets the count of idle looks.
 
     With ``runs_path`` the offsets that a look is sure to have moved, those the
-    topic held when it began, are committed after it for the backlog report.
+    topic held when it began, are committed after it for the backlog report. With
+    ``job.progress`` every micro-batch's offsets and counts are kept there.
     """
     schema = job.writer_schema(spark)
     moved = idle = 0
-    while idle < max_idle:
-        held = _new_ranges(spark, job, runs_path) if runs_path else []
-        found = run_to_end(start_drain(spark, job, schema))
-        commit_offsets(spark, runs_path, job.run_group, held) if held else None
-        moved += found
-        idle = 0 if found else idle + 1
+    with ProgressLog(spark, job.progress) if job.progress else nullcontext() as progress:
+        while idle < max_idle:
+            held = _new_ranges(spark, job, runs_path) if runs_path else []
+            query = start_drain(spark, job, schema)
+            found = run_to_end(query)
+            if progress is not None:
+                progress.wait(query)
+            commit_offsets(spark, runs_path, job.run_group, held) if held else None
+            moved += found
+            idle = 0 if found else idle + 1
     return moved
 
 
 def _new_ranges(spark: SparkSession, job: TransferJob, runs_path: str):
-    log = read_topics(spark, [job.topic], job.log_path, kafka=job.kafka)
-    ranges = plan_ranges(log, read_committed(spark, runs_path, job.run_group), None)
-    return [r for r in ranges if r[3] > r[2]]
+    committed = read_committed(spark, runs_path, job.run_group)
+    bounds = topic_bounds(spark, [job.topic], job.log_path, job.kafka, committed)
+    return [r for r in plan_ranges(bounds, committed, None) if r[3] > r[2]]
 
 
 def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limit: int | None) -> int:
@@ -159,8 +195,8 @@ def transfer_limited(spark: SparkSession, job: TransferJob, runs_path: str, limi
     if pending is not None:
         run_id, ranges = pending
     else:
-        log = read_topics(spark, [job.topic], job.log_path, kafka=job.kafka)
-        ranges = plan_ranges(log, read_committed(spark, runs_path, job.run_group), limit)
+        committed = read_committed(spark, runs_path, job.run_group)
+        ranges = plan_ranges(topic_bounds(spark, [job.topic], job.log_path, job.kafka, committed), committed, limit)
         if not any(end > start for _, _, start, end in ranges):
             return 0
         run_id = uuid.uuid4().hex

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytide.naming import DEFAULT_NAMING, Naming
-from skytide.operators.archive import read_store, store_batch, with_partitions
+from skytide.operators.archive import days_before, read_store, settle_store, store_batch, with_partitions
 from skytide.operators.decode import decode_alerts
-from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, unfinished_run
-from skytide.operators.outbox import channels_busy_until, notification_outbox, throttle
+from skytide.operators.offsets import plan_ranges, read_committed, read_ranges, record_run, topic_bounds, unfinished_run
+from skytide.operators.outbox import ChannelState, notification_outbox, throttle
 from skytide.operators.summary import alert_key, alert_summary, print_rows
 from skytide.session import read_table_if_exists, small_table, staging_scope
 from skytide.sources.topic_log import latest_positions, read_topics
+from skytide.streaming.drain import stop_when_drained
 
 
 @dataclass(frozen=True)
@@ -75,11 +76,11 @@ def _batch_action(job: LiveJob, commits: bool = True):
                     alerts, job.topic_config, job.survey, job.kinds, job.naming, extra=["partition", "offset"]
                 )
                 now = F.lit(datetime.now(timezone.utc))
-                sent = read_table_if_exists(batch.sparkSession, job.outbox)
-                if sent is not None:
-                    sent = channels_busy_until(sent.filter(F.col("batch").cast("bigint") != batch_id), now)
-                timed = throttle(messages, ["topic", "partition", "offset"], now, busy_until=sent)
-                timed.write.mode("overwrite").parquet(f"{job.outbox}/batch={batch_id}")
+                channels = ChannelState(batch.sparkSession, f"{job.outbox.rstrip('/')}-channels")
+                timed = throttle(messages, ["topic", "partition", "offset"], now, busy_until=channels.before(batch_id))
+                written = f"{job.outbox}/batch={batch_id}"
+                timed.write.mode("overwrite").parquet(written)
+                channels.keep(batch_id, batch.sparkSession.read.schema(timed.schema).parquet(written))
             if job.summary:
                 alert_summary(alerts, job.survey).write.mode("overwrite").parquet(f"{job.summary}/batch={batch_id}")
             if job.display:
@@ -111,8 +112,8 @@ def run_limited(spark: SparkSession, job: LiveJob, runs_path: str, limit: int |
     if pending is not None:
         run_id, ranges = pending
     else:
-        log = read_topics(spark, job.topics, job.log_path, kafka=job.kafka)
-        ranges = plan_ranges(log, read_committed(spark, runs_path, group), limit)
+        committed = read_committed(spark, runs_path, group)
+        ranges = plan_ranges(topic_bounds(spark, job.topics, job.log_path, job.kafka, committed), committed, limit)
         if not any(end > start for _, _, start, end in ranges):
             return 0
         # The batch number is part of the run: a repeat writes to the same folders,
@@ -144,8 +145,12 @@ def _decided_start(spark: SparkSession, job: LiveJob):
 def start_live(spark: SparkSession, job: LiveJob, available_now: bool = False):
     """Start the live query: endless with a poll interval, or until what is
     there now has been handled."""
-    raw = read_topics(spark, job.topics, job.log_path, True, _decided_start(spark, job), job.kafka, job.per_trigger)
+    stepwise = available_now and bool(job.per_trigger) and job.log_path is not None
+    until = latest_positions(spark, job.topics, job.log_path) if stepwise else None
+    raw = read_topics(spark, job.topics, job.log_path, True, _decided_start(spark, job), job.kafka, job.per_trigger, until)
     query = _decoded(raw, job).writeStream.foreachBatch(_batch_action(job)).option("checkpointLocation", job.checkpoint)
+    if stepwise:
+        return stop_when_drained(query.start())
     if available_now:
         return query.trigger(availableNow=True).start()
     if job.poll_seconds:
@@ -156,3 +161,10 @@ def start_live(spark: SparkSession, job: LiveJob, available_now: bool = False):
 def stored_alerts(spark: SparkSession, job: LiveJob) -> DataFrame:
     """What the live query has archived, one row per alert key."""
     return read_store(spark, job.archive, ["alert_key"], ["partition", "offset"], job.archive_mode)
+
+
+def settle_days(spark: SparkSession, job: LiveJob, day: str, upto: int | None = None) -> list[str]:
+    """Settle the archived days before ``day`` (YYYY-MM-DD), so that reading them needs no look at versions."""
+    if job.partition_by != "time":
+        raise ValueError("only an archive partitioned by time has days")
+    return settle_store(spark, job.archive, ["alert_key"], ["partition", "offset"], days_before(day), job.archive_mode, upto)

@@ -1,6 +1,7 @@
 """Cases that once lost or changed data."""
 
 import gzip
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -49,7 +50,7 @@ def test_a_repeated_run_of_one_topic_replaces_its_outputs(spark, monkeypatch):
     one, two = (job(spark, path, [t], outbox=outbox, topic_config=topic_config(spark), kinds=["slack"]) for t in ("view", "purchase"))
     monkeypatch.setattr(live, "notification_outbox", lambda alerts, *a, **k: alerts.select("topic", "partition", "offset"))
     monkeypatch.setattr(live, "throttle", lambda messages, *a, **k: messages)
-    monkeypatch.setattr(live, "channels_busy_until", lambda sent, now: sent)
+    monkeypatch.setattr(live, "ChannelState", lambda *a: SimpleNamespace(before=lambda batch: None, keep=lambda batch, rows: None))
     real = live.record_run
 
     def dies(spark_, path_, group, run_id, ranges, done):
