@@ -100,12 +100,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and read it back: cuts lineage and fixes its rows."""
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back: cuts lineage and fixes its rows.
+
+    Inside a ``staging_scope`` the table goes with the scope, unless it is to be kept.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     scope = _scope.get()
-    if scope is not None:
+    if scope is not None and not keep:
         scope.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -115,8 +118,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def staging_scope():
     """Drop the tables staged inside the block when it ends.
 
-    For code that has written its results by then, so that a long-running
-    stream does not fill the scratch folder.
+    For code that has written its results by then (or stages them to be kept), so
+    that steps that are over do not fill the scratch folder.
     """
     paths: list[str] = []
     token = _scope.set(paths)
