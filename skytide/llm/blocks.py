@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK_BYTES = 4 << 20
 
@@ -56,7 +57,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Rolling:
-    """Hashes of ranges of ``values`` (64-bit numbers), by prefix sums."""
+    """Hashes of ranges of ``values`` (64-bit numbers), by prefix sums: a polynomial modulo
+    2^64, so ranges of over 1,000 values made to that end can collide. For words take
+    ``word_hashes``."""
 
     def __init__(self, values: np.ndarray):
         n = len(values)
@@ -104,6 +107,22 @@ class Block:
         return start, np.flatnonzero(ends) + 1, np.searchsorted(self.bounds, start, side="right") - 1
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def word_hashes(block: Block, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (A-Z as a-z) and its document. The words of a block
+    are told apart by their bytes; only different words are hashed, each as a whole."""
+    start, end, doc = block.words(inside)
+    letters = _LOWER[block.data[inside[block.data]]]
+    offsets = np.concatenate([[0], np.cumsum(end - start)])
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(offsets), pa.py_buffer(letters)])
+    coded = words.dictionary_encode()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()], _U)
+    return hashes[np.asarray(coded.indices)] if len(start) else np.zeros(0, _U), doc
+
+
 def blocks(column: pa.Array | pa.ChunkedArray, limit: int = BLOCK_BYTES) -> Iterator[Block]:
     """Cut a string column into blocks of up to ``limit`` bytes (one longer text
     makes a block of its own)."""

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skytide.llm.blocks import Rolling, blocks, byte_values, table_of
+from skytide.llm.blocks import blocks, table_of, word_hashes
 from skytide.session import stage
 
 # A-Z count as their lower case
@@ -40,8 +40,7 @@ SLICE_TERMS = 1 << 20
 
 
 def _word_hashes(block):
-    start, end, doc = block.words(WORD)
-    hashes = Rolling(byte_values(lower=True)[block.data]).of(start, end)
+    hashes, doc = word_hashes(block, WORD)
     first = np.searchsorted(doc, np.arange(len(block) + 1))  # first word of each document
     return hashes.view(np.int64), doc, first
 

@@ -33,12 +33,15 @@ documents link. No rows give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytide.llm.blocks import Rolling, blocks, byte_values, mix, pack, table_of, unpack
+from skytide.llm.blocks import blocks, mix, pack, table_of, unpack, word_hashes
 from skytide.llm.components import components
 from skytide.session import broadcast_if_small, stage
 
@@ -57,8 +60,7 @@ class _Sets:
     """The shingle sets of a block: ``tokens`` sorted within each set, set k at ``first[k]:first[k + 1]``."""
 
     def __init__(self, block, ngram: int):
-        start, end, doc = block.words(WORD)
-        words = Rolling(byte_values(lower=True)[block.data]).of(start, end)
+        words, doc = word_hashes(block, WORD)
         n_words = np.bincount(doc, minlength=len(block))
         after = np.cumsum(n_words)
         # a shingle starts at each word with enough words after it, or at the first of a short text
@@ -148,14 +150,14 @@ def digests(texts: DataFrame, ngram: int) -> DataFrame:
 def frequent_tokens(texts: DataFrame, ngram: int, limit: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """Tokens often seen within some batch and their counts, the ``limit`` most frequent."""
 
-    def count(batches):
+    def tally(batches):
         for batch in batches:
             parts = [_Sets(block, ngram).tokens for block in blocks(batch.column(0))]
             tokens, n = np.unique(np.concatenate(parts or [np.zeros(0, _U)]), return_counts=True)
             many = n >= max(4, batch.num_rows // 500)
             yield pa.RecordBatch.from_arrays([pa.array(tokens[many].view(np.int64)), pa.array(n[many])], ["token", "n"])
 
-    counted = texts.select("text").mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = texts.select("text").mapInArrow(tally, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "token").limit(limit).collect()
     tokens = np.array([r.token for r in top], np.int64).view(_U)
     order = np.argsort(tokens)
@@ -180,6 +182,7 @@ def prefix_entries(texts: DataFrame, ngram: int, percent: int, frequent, n_bucke
     def index(batches):
         listed, counts = shared.value
         seen: set[int] = set()
+        deal = count(TaskContext.get().partitionId() * 7919)
         for batch in batches:
             out = []
             for block in blocks(batch.column(0)):
@@ -203,8 +206,8 @@ def prefix_entries(texts: DataFrame, ngram: int, percent: int, frequent, n_bucke
                 n = sets.sizes[owner]
                 pick = pos < n - (percent * n + 99) // 100 + 1
                 token, owner, often, pos = token[pick] & _INDEXED, owner[pick], often[pick] > 0, pos[pick]
-                # frequent tokens need no bucket: they meet in a join that Spark can split
-                bucket = np.where(often, block.first % n_buckets, ((token >> _U(32)) * _U(n_buckets) >> _U(32)).astype(np.int64))
+                # frequent tokens need no bucket, they meet in a join that Spark can split: they are dealt out
+                bucket = np.where(often, next(deal) % n_buckets, ((token >> _U(32)) * _U(n_buckets) >> _U(32)).astype(np.int64))
                 order = np.lexsort((token, bucket, often))
                 token, owner, pos, bucket, often = token[order], owner[order], pos[order], bucket[order], often[order]
                 edges = np.flatnonzero(np.diff(bucket * 2 + often, prepend=-1)) if len(bucket) else []

@@ -9,6 +9,14 @@ def prose(rng, n):
     return " ".join(rng.choice(WORDS) + rng.choice(["", "s", "ed", "ing"]) for _ in range(n))
 
 
+def twins(turns=11):
+    """Two different words that polynomial hashes modulo 2^64 hold to be equal."""
+    one, other = "a", "b"
+    for _ in range(turns):
+        one, other = one + other, other + one
+    return one, other
+
+
 def corpus(seed=1, n=40):
     """Texts with copies, near copies, shared passages, nulls, empty and long ones."""
     rng = random.Random(seed)

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from plain import corpus, prose
+from plain import corpus, prose, twins
 from skytide.llm import decontaminate as dc
 
 DOCS, ITEMS = "doc_id bigint, text string", "item_id bigint, text string"
@@ -88,3 +88,10 @@ def test_near_items_beside_exact_ones(spark):
     assert got[3].near_items == got[4].near_items == [] and got[5]["items"] == ["8"] and got[5].n_near == 0
     alone = dc.find_contamination(spark.createDataFrame(rows[:1], DOCS), items, within=10).first()
     assert alone.near_items == ["10", "7"]  # replaced words occur nowhere
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    one, other = twins()
+    docs, items = [(1, f"x {one} y"), (2, f"x {other} y")], [(7, one)]
+    got = dc.find_contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert sorted(map(tuple, got.drop("items", "k1").collect()), key=str) == brute(docs, items)

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from plain import corpus, prose
+from plain import corpus, prose, twins
 from skytide.llm.components import components
 from skytide.llm.jaccard_join import jaccard_components
 
@@ -89,3 +89,10 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain + star + tangled + [(5, 5)], "a bigint, b bigint")).collect()}
     assert got == {**{k: 0 for k in range(301)}, **{k: 1000 for k in range(1000, 1200)}, **{k: 2000 for k in range(2000, 2100)}}
     assert components(spark.createDataFrame([(5, 5)], "a bigint, b bigint")).collect() == []
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    one, other = twins()
+    rows = [(1, one), (2, other), (3, f"{one} x y z"), (4, f"{other} x y z"), (5, one.upper())]
+    got = jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}

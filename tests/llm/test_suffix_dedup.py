@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from plain import corpus
+from plain import corpus, twins
 from skytide.llm.suffix_dedup import difference_cover, repeated_spans
 
 SCHEMA = "doc_id bigint, text string"
@@ -54,3 +54,10 @@ def test_no_rows_null_ids_extra_columns(spark):
     rows = [(None, "q" * 450, 1, "k"), (None, "q" * 450, 2, "k")]
     got = repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string, chunk int, keys string")).collect()
     assert [r.n_removed for r in got] == [450, 450]
+
+
+def test_strings_that_polynomial_hashes_confuse(spark):
+    one, other = twins(9)  # 512 bytes each; the 400-byte strings in them are told apart
+    rows = [(1, one), (2, other), (3, one[:300] + other[:300]), (4, other[56:456])]
+    got = repeated_spans(spark.createDataFrame(rows, SCHEMA))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 400)
