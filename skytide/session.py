@@ -29,7 +29,7 @@ RUNTIME_CONF = {
 
 _scratch_roots: dict[str, str] = {}
 _shipped: set[str] = set()
-_scope: ContextVar[list[str] | None] = ContextVar("staged_paths", default=None)
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staged_paths", default=())
 
 
 def build_session(app_name: str = "skytide", master: str | None = None, **conf) -> SparkSession:
@@ -103,13 +103,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and fixes its rows.
 
-    Inside a ``staging_scope`` the table goes with the scope, unless it is to be kept.
+    Inside a ``staging_scope`` the table goes with the scope; one to be kept goes with
+    the scope around that one, if there is any.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    scope = _scope.get()
-    if scope is not None and not keep:
-        scope.append(path)
+    scopes = _scopes.get()[: -1 if keep else None]
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -122,11 +123,11 @@ def staging_scope():
     that steps that are over do not fill the scratch folder.
     """
     paths: list[str] = []
-    token = _scope.set(paths)
+    token = _scopes.set((*_scopes.get(), paths))
     try:
         yield
     finally:
-        _scope.reset(token)
+        _scopes.reset(token)
         for path in paths:
             filesystem, inner = open_filesystem(path)
             if filesystem.get_file_info(inner).type == pafs.FileType.Directory:
