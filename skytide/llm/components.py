@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytide.session import stage
+from skytide.session import stage, staging_scope
 
 JUMPS = 3
 
@@ -20,6 +20,11 @@ def components(edges: DataFrame) -> DataFrame:
     collected; a node with very many edges is one key of a join that Spark can
     split. Null ends are ignored.
     """
+    with staging_scope():
+        return stage(_contracted(edges), "components", keep=True)
+
+
+def _contracted(edges: DataFrame) -> DataFrame:
     left = stage(
         edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges"
     )
@@ -42,4 +47,4 @@ def components(edges: DataFrame) -> DataFrame:
     for later in maps[1:]:
         step = later.select(F.col("node").alias("root"), F.col("root").alias("next"))
         out = out.join(step, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
-    return stage(out, "components")
+    return out

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from skytide.llm.blocks import blocks, mix, pack, table_of, unpack, word_hashes
 from skytide.llm.components import components
-from skytide.session import broadcast_if_small, stage
+from skytide.session import broadcast_if_small, stage, staging_scope
 
 NGRAM = 5
 PERCENT = 75
@@ -89,9 +89,9 @@ class _Sets:
         return self.tokens[self.first[k] : self.first[k + 1]]
 
     def bitmap(self, k: int) -> bytes:
-        """Parity of the tokens in each cell; cells at least twice the set's size, a power of two."""
+        """Parity of the tokens in each cell; cells at least as many as the set's size, a power of two."""
         own = self.of(k)
-        bits = max(9, (2 * len(own) - 1).bit_length())
+        bits = max(9, (len(own) - 1).bit_length())
         cells = (own >> _U(64 - bits)).astype(np.int64)
         return np.packbits((np.bincount(cells, minlength=1 << bits) & 1).astype(np.uint8)).tobytes()
 
@@ -374,6 +374,11 @@ def _rest(members: DataFrame, root: DataFrame, percent: int) -> DataFrame:
 
 def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
     """The pairs that do link, decided on the sets themselves."""
+    with staging_scope():
+        return stage(_linked(pairs, sets, texts, ngram, percent), "links", keep=True)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, ngram: int, percent: int) -> DataFrame:
     pairs = stage(pairs, "maybe")
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
     wanted = stage(sets.join(keys, "key").select("k1"), "wanted")
@@ -406,7 +411,7 @@ def _links(pairs: DataFrame, sets: DataFrame, texts: DataFrame, ngram: int, perc
     a = fetched.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
     b = fetched.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb")
-    return stage(both.mapInArrow(compare, "a bigint, b bigint"), "links")
+    return both.mapInArrow(compare, "a bigint, b bigint")
 
 
 def jaccard_components(
@@ -416,19 +421,26 @@ def jaccard_components(
     of the text, and ``root``, the same for all texts of a component. Documents link when 100 * intersection >= ``percent`` * union."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("k1"))
+    with staging_scope():
+        named = stage(_named(texts, ngram, percent), "named", keep=True)
+    smallest = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
+    return named.join(smallest, "root", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"), "k1", "root"
+    )
+
+
+def _named(texts: DataFrame, ngram: int, percent: int) -> DataFrame:
+    """``doc_id, k1, n, key, root`` per document. What a step has staged goes with the step."""
     rows = stage(digests(texts, ngram), "digests")
     sets = rows.where("n > 0").groupBy("key").agg(F.first("n").alias("n"), F.min(F.struct("k1", "bitmap")).alias("one"))
     sets = stage(sets.select("key", "n", F.col("one.k1").alias("k1"), F.col("one.bitmap").alias("bitmap")), "sets")
     frequent = frequent_tokens(texts, ngram)
     n_buckets = 1 + int((sets.agg(F.sum("n")).first()[0] or 0) * (100 - percent) / 100) // BUCKET_ENTRIES
-    lists = shared_lists(prefix_entries(texts, ngram, percent, frequent, n_buckets), percent)
-    members = stage(members_of_centres(lists, sets, percent), "members")
+    with staging_scope():
+        lists = shared_lists(prefix_entries(texts, ngram, percent, frequent, n_buckets), percent)
+        members = stage(members_of_centres(lists, sets, percent), "members", keep=True)
     first = _links(_star_pairs(members, sets, percent), sets, texts, ngram, percent)
-    second = _links(_rest(members, components(first), percent), sets, texts, ngram, percent)
+    with staging_scope():
+        second = stage(_links(_rest(members, components(first), percent), sets, texts, ngram, percent), "second", keep=True)
     root = components(first.unionByName(second)).withColumnRenamed("node", "key")
-    named = rows.drop("bitmap").join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    named = stage(named, "named")
-    smallest = named.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return named.join(smallest, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"), "k1", "root"
-    )
+    return rows.drop("bitmap").join(root, "key", "left").withColumn("root", F.coalesce("root", "key"))
