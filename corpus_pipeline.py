@@ -18,7 +18,7 @@ from skytide.llm.decontaminate import find_contamination
 from skytide.llm.jaccard_join import jaccard_components
 from skytide.llm.queries import table
 from skytide.llm.shards import shard_by_bytes
-from skytide.session import ship_package, stage
+from skytide.session import ship_package, stage, staging_scope
 
 LEAST_SCORE = 0.5
 
@@ -44,15 +44,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     (null ids last, then by the hash of the text; of equal ids and texts any one).
     Documents without words have no copies and stay."""
     ship_package(spark)
-    classes = stage(jaccard_components(docs).where("n_shingles > 0").select("doc_id", "k1", "root"), "classes")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1")).alias("first")
-    stays = classes.groupBy("root").agg(first)
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k1") == F.col("first.k1"))
-    goes = stage(classes.join(stays, "root").where(~same).select("doc_id", "k1").distinct(), "goes")
-    repeated = classes.groupBy("doc_id", "k1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    with staging_scope():
+        classes = stage(jaccard_components(docs).where("n_shingles > 0").select("doc_id", "k1", "root"), "classes")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1")).alias("first")
+        stays = classes.groupBy("root").agg(first)
+        same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k1") == F.col("first.k1"))
+        goes = stage(classes.join(stays, "root").where(~same).select("doc_id", "k1").distinct(), "goes", keep=True)
+        repeated = classes.groupBy("doc_id", "k1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        repeated = stage(repeated, "repeated", keep=True)
     rows = _rows(docs)
     kept = rows.join(goes, _same_document(rows, goes), "left_anti")
-    repeated = stage(repeated, "repeated")
     if repeated.isEmpty():
         return kept.select("row.*")
     several = kept.join(repeated, _same_document(kept, repeated), "left_semi")
@@ -66,14 +67,17 @@ def _same_document(rows: DataFrame, keys: DataFrame):
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark text go."""
-    hit = find_contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("k1").distinct()
-    return _rows(docs).join(stage(hit, "contaminated"), "k1", "left_anti").select("row.*")
+    with staging_scope():
+        hit = find_contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("k1").distinct()
+        hit = stage(hit, "contaminated", keep=True)
+    return _rows(docs).join(hit, "k1", "left_anti").select("row.*")
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: repeated rows, or none."""
     ship_package(spark)
-    planned = mixing.plan(stage(mixing.measured(docs), "measured"))
+    with staging_scope():
+        planned = mixing.plan(stage(mixing.measured(docs), "measured"))
     if not planned:
         return docs
     rows = _rows(docs)
