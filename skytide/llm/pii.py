@@ -22,13 +22,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytide.llm.spans import as_text, count_kind, in_order, located, only_if, outside, replaced
+from skytide.llm.spans import as_text, count_kind, in_order, located, once, only_if, outside, replaced
 from skytide.session import stage
 
 # Fixed patterns of the base kinds. Groups repeat possessively where nothing
-# follows them: same matches, no recursion on long runs.
-EMAIL = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
-IP = r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
+# follows them: same matches, no recursion on long runs. A run that cannot begin a
+# match is not tried again from its middle, unless a match has just ended there.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
+IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
@@ -37,6 +38,7 @@ REACH = 60
 SUPPORT = 3
 DISCLOSURE = 0.5
 _WORD = r"\p{L}{4,}"
+_BLOCK = 4096
 _PLACE = "array<struct<start: int, kind_no: int, end: int, kind: string, entity: bigint, term: bigint>>"
 
 
@@ -77,10 +79,16 @@ def _neighbours(text: Column, base: Column, reach: int) -> Column:
     span, outside all of them, with the hash of the entity; words cut by the
     edge of the reach are left out."""
 
-    def around(s):
+    def cut_out(blocks, start, size):
+        """A short piece of the text, from the one or two blocks it lies in."""
+        k = F.floor(start / _BLOCK).cast("int")
+        both = F.concat(F.coalesce(F.get(blocks, k), F.lit("")), F.coalesce(F.get(blocks, k + 1), F.lit("")))
+        return F.substring(both, start - k * _BLOCK + 1, size)
+
+    def around(s, blocks):
         low = F.greatest(s["start"] - reach, F.lit(0))
-        left = F.substring(text, low + 1, s["start"] - low)
-        right = F.substring(text, s["end"] + 1, F.lit(reach))
+        left = cut_out(blocks, low, s["start"] - low)
+        right = cut_out(blocks, s["end"], F.lit(reach))
         entity = F.xxhash64(s["kind"], F.lower(s["value"]))
 
         def at(words, offset, cut):
@@ -98,14 +106,17 @@ def _neighbours(text: Column, base: Column, reach: int) -> Column:
             at(located(right, _WORD, TERM, 4), s["end"], lambda w: w["end"] == reach),
         )
 
-    return F.flatten(F.transform(base, around))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), 0)
+    return once(blocks, lambda bs: F.flatten(F.transform(base, lambda s: around(s, bs))))
 
 
 def revealing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """``entity, term`` whose mutual information reaches the disclosure threshold."""
-    told = F.array_distinct(F.transform("places", lambda p: F.struct(p["entity"].alias("entity"), p["term"].alias("term"))))
+    # as text, of which Spark finds the distinct ones by hash; of structs, pair by pair
+    told = F.array_distinct(F.transform("places", lambda p: F.concat_ws(":", p["entity"], p["term"])))
     near = found.select("text_hash", F.explode(told).alias("p")).groupBy("text_hash", "p").agg(F.count(F.lit(1)).alias("c"))
-    pairs = near.groupBy("p.entity", "p.term").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    part = lambda k: F.substring_index("p", ":", k).cast("bigint")
+    pairs = near.groupBy(part(1).alias("entity"), part(-1).alias("term")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
     pairs = stage(pairs, "pairs")
     df_e = found.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), 0))
@@ -126,13 +137,13 @@ def find_personal_data(
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term`` and ``found``: all spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    rows = texts.select("doc_id", "text_hash", "text", base_spans(F.col("text")).alias("base"))
-    places = outside(_neighbours(F.col("text"), F.col("base"), reach), F.col("base"))
+    rows = texts.select("doc_id", "text_hash", "text", base_spans(F.col("text")).alias("held"))
+    places = outside(_neighbours(F.col("text"), F.col("held"), reach), F.col("held"))
     rows = rows.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash",
-        F.transform("base", lambda s: F.struct(s["start"], s["kind_no"], s["end"], s["kind"])).alias("base"),
-        F.transform("base", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))).alias("entities"),
-        F.when(F.size("base") > 0, places).otherwise(F.array().cast(_PLACE)).alias("places"),
+        F.transform("held", lambda s: F.struct(s["start"], s["kind_no"], s["end"], s["kind"])).alias("base"),
+        F.transform("held", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))).alias("entities"),
+        F.when(F.size("held") > 0, places).otherwise(F.array().cast(_PLACE)).alias("places"),
     )
     found = stage(rows, "personal")
     revealing = revealing_terms(found, texts, support, disclosure)

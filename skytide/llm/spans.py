@@ -3,6 +3,11 @@
 Spark's regular expressions return what matched but not where. The pieces
 between matches and the matches themselves add up to the positions, in code
 points, end exclusive. Patterns must not match the empty string.
+
+A lambda works out anew whatever expression it mentions, for every element. So what
+is wanted once a text is bound first, as the only element of an array (``once``),
+and running positions are added up in pieces of ``PIECE`` matches: arrays grow only
+within a piece. The work is all but linear in the text.
 """
 
 from __future__ import annotations
@@ -10,27 +15,54 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PIECE = 256
 SPAN = "array<struct<start: int, kind_no: int, end: int, kind: string, value: string>>"
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` worked out a single time."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _pieces(items: Column) -> Column:
+    """Numbers of the pieces of an array; none of an empty one."""
+    count = F.ceil(F.size(items) / PIECE).cast("int")
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _piece(items: Column, k: Column) -> Column:
+    return F.slice(items, k * PIECE + 1, F.lit(PIECE))
+
+
 def located(text: Column, pattern: str, kind: str, kind_no: int, value_group: int = 0) -> Column:
     """Leftmost non-overlapping matches as ``SPAN``; ``value`` is the given group."""
     matches = F.regexp_extract_all(text, F.lit(pattern), 0)
-    values = F.regexp_extract_all(text, F.lit(pattern), value_group) if value_group else matches
-    gaps = F.split(text, pattern, -1)
-    none = F.lit(None).cast(SPAN)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
+    parts = {"match": matches, "gap": F.split(text, pattern, -1)}
+    if value_group:
+        parts["value"] = F.regexp_extract_all(text, F.lit(pattern), value_group)
+    # the last gap follows the last match: it belongs to none
+    zipped = lambda p: F.filter(F.arrays_zip(*[p[c].alias(c) for c in parts]), lambda m: m["match"].isNotNull())
+    nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+
+    def spans(m: Column) -> Column:
+        length = lambda x: F.length(x["gap"]) + F.length(x["match"])
+        totals = F.transform(_pieces(m), lambda k: F.aggregate(_piece(m, k), F.lit(0), lambda n, x: n + length(x)))
+        begun = F.aggregate(totals, nothing, lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")))
+        return F.flatten(F.transform(begun["starts"], lambda at, k: of_piece(_piece(m, k), at)))
+
+    def of_piece(m: Column, at: Column) -> Column:
+        start = F.struct(at.alias("at"), F.array().cast(SPAN).alias("spans"))
 
-    def step(state, k):
-        first = state["at"] + F.length(F.element_at(gaps, k))
-        last = first + F.length(F.element_at(matches, k))
-        span = F.struct(
-            first.alias("start"), F.lit(kind_no).alias("kind_no"), last.alias("end"), F.lit(kind).alias("kind"), F.element_at(values, k).alias("value")
-        )
-        return F.struct(last.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+        def step(state, x):
+            first = state["at"] + F.length(x["gap"])
+            last = first + F.length(x["match"])
+            value = x["value" if value_group else "match"]
+            span = F.struct(first.alias("start"), F.lit(kind_no).alias("kind_no"), last.alias("end"), F.lit(kind).alias("kind"), value.alias("value"))
+            return F.struct(last.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.size(matches)), start, step)["spans"]
-    return F.when(F.size(matches) > 0, found).otherwise(F.coalesce(none, F.array().cast(SPAN)))
+        return F.aggregate(m, start, step)["spans"]
+
+    return once(F.struct(*[c.alias(n) for n, c in parts.items()]), lambda p: once(zipped(p), spans))
 
 
 def only_if(condition: Column, spans: Column) -> Column:
@@ -53,8 +85,16 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 
 def outside(spans: Column, others: Column) -> Column:
-    """The spans that overlap none of ``others``."""
-    return F.filter(spans, lambda s: ~F.exists(others, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"])))
+    """The spans that overlap none of ``others``: piece by piece, most of which a span
+    is clear of as a whole."""
+
+    def bounded(items: Column) -> Column:
+        low, high = F.array_min(F.transform(items, lambda o: o["start"])), F.array_max(F.transform(items, lambda o: o["end"]))
+        return F.struct(low.alias("start"), high.alias("end"), items.alias("items"))
+
+    meets = lambda s, o: (o["start"] < s["end"]) & (s["start"] < o["end"])
+    pieces = once(others, lambda found: F.transform(_pieces(found), lambda k: bounded(_piece(found, k))))
+    return once(pieces, lambda ps: F.filter(spans, lambda s: ~F.exists(ps, lambda p: meets(s, p) & F.exists(p["items"], lambda o: meets(s, o)))))
 
 
 def replaced(text: Column, spans: Column, label) -> Column:

@@ -114,3 +114,29 @@ def test_empty_and_clashing_columns(spark):
     frame = spark.createDataFrame(rows, SCHEMA + ", row int, hash string, base string")
     assert [r.n_assign for r in secrets.find_secrets(frame).collect()] == [1, 1]
     assert [r.n_email for r in pii.find_personal_data(frame).collect()] == [0, 0]
+
+
+def test_very_many_matches_and_long_runs(spark):
+    """The work is about linear: quadratic work would take hours here."""
+    texts = {
+        "mails": " ".join(f"u{k}@host{k % 7}.example.org" for k in range(60_000)),
+        "hex": " ".join(f"{k:016x}" for k in range(60_000)),
+        "digits": "7" * 1_000_000,
+        "local part": "a." * 400_000,
+        "dots": "1." * 300_000,
+    }
+    frame = spark.createDataFrame([(k, t, "s", "en") for k, t in enumerate(texts.values())], SCHEMA)
+    for find, rules, names in ((secrets.find_secrets, SECRET_RULES[2:], secrets.KINDS[2:]), (pii.find_personal_data, PII_RULES[:1], pii.KINDS[:1])):
+        got = {r.doc_id: r for r in find(frame).collect()}
+        for k, text in enumerate(list(texts.values())[:2]):
+            counts, _ = brute(text, rules)
+            assert [got[k][f"n_{name}"] for name in names] == counts
+        assert len(got) == len(texts)
+
+
+def test_matches_that_touch(spark):
+    text = "a@b.c_d@e.f g@h.i%j@k.l-m@n.o @p.q r@s.t@u.v 1.2.3.4.5.6.7.8 9.9.9.9 12345.1.2.3.4"
+    frame = spark.createDataFrame([(1, text, "s", "en")], SCHEMA)
+    counts, joined = brute(text, PII_RULES)
+    row = pii.find_personal_data(frame).first()
+    assert [row[f"n_{k}"] for k in pii.KINDS] == counts and row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
