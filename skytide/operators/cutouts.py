@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from skytide.functions import fits
 from skytide.naming import layout
+from skytide.sources.object_index import read_objects
 
 # The cutouts of an alert, in display order.
 KINDS = ("Science", "Template", "Difference")
@@ -52,8 +53,10 @@ def plain_fits(df: DataFrame, stamp: str = "stamp", name: str = "fits") -> DataF
 
 def object_cutout(spark: SparkSession, archive_path: str, key: dict, kind: str, survey: str,
                   display_orientation: bool = True) -> DataFrame:
-    """One kind of cutout of the archived alerts matching ``key``, decoded and clean."""
-    found = spark.read.parquet(archive_path)
+    """One kind of cutout of the archived alerts matching ``key``, decoded and clean; an
+    index of the archive by the key's first column spares files that cannot match."""
+    first, sought = next(iter(key.items()))
+    found = read_objects(spark, archive_path, first, [sought])
     for column, value in key.items():
         found = found.filter(F.col(column) == value)
     return decode_cutouts(

@@ -12,10 +12,12 @@ from skytide.functions.photometry import (
     flux_to_mag,
     has_positive_error,
     is_lsst_band,
+    is_missing,
     ztf_band,
 )
 from skytide.naming import layout
 from skytide.session import broadcast_if_small
+from skytide.sources.object_index import read_objects
 
 
 def _struct_of(df: DataFrame, name: str) -> T.StructType:
@@ -96,6 +98,51 @@ def lightcurve(
     return out.filter(keep) if plotted_only else out
 
 
+def band_statistics(df: DataFrame, survey: str, ids: list[str] | None = None) -> DataFrame:
+    """One row per alert and band: ``n_points``, ``n_shown`` (detections, or points with
+    a positive error), and of the shown points ``mag_min`` and the largest finite
+    ``magerr_max``. An alert holds its whole light curve, so this needs no shuffle.
+    """
+    shape = layout(survey)
+    ids = ids if ids is not None else [c for c in shape.key if c in df.columns]
+    names = ("fid", "magpsf", "sigmapsf") if survey == "ztf" else ("band", "psfFlux", "psfFluxErr")
+    zipped = F.arrays_zip(*[extract_field(df, f, shape.current, shape.history).alias(f) for f in names])
+
+    def point(p: Column) -> Column:
+        if survey == "ztf":
+            band, mag, err = ztf_band(p["fid"]), p["magpsf"].cast("double"), p["sigmapsf"].cast("double")
+            shown = ~is_missing(p["magpsf"])
+        else:
+            (mag, err), band = flux_to_mag(p["psfFlux"], p["psfFluxErr"]), p["band"]
+            shown = has_positive_error(err)
+        finite = shown & (F.abs(err) < float("inf"))  # NaN is above every number
+        return F.struct(
+            band.alias("band"), F.when(shown, 1).otherwise(0).cast("bigint").alias("shown"),
+            F.when(shown, mag).alias("mag"), F.when(finite, err).alias("err"),
+        )
+
+    def of_band(points: Column, band: Column) -> Column:
+        nothing, none = F.lit(0).cast("bigint"), F.lit(None).cast("double")
+        start = F.struct(nothing.alias("n"), nothing.alias("shown"), none.alias("mag"), none.alias("err"))
+
+        def add(total: Column, p: Column) -> Column:
+            return F.struct(
+                (total["n"] + 1).alias("n"), (total["shown"] + p["shown"]).alias("shown"),
+                F.least(total["mag"], p["mag"]).alias("mag"), F.greatest(total["err"], p["err"]).alias("err"),
+            )
+
+        same = F.filter(points, lambda p: p["band"].eqNullSafe(band))
+        return F.struct(band.alias("band"), F.aggregate(same, start, add).alias("of"))
+
+    # An array of one element, so that a lambda names the points, worked out once an alert.
+    per_band = F.transform(F.array(F.transform(zipped, point)), lambda ps: F.transform(F.array_distinct(F.transform(ps, lambda p: p["band"])), lambda b: of_band(ps, b)))
+    rows = df.select(*ids, F.explode(F.element_at(per_band, 1)).alias("_b"))
+    return rows.select(
+        *ids, "_b.band", F.col("_b.of.n").alias("n_points"), F.col("_b.of.shown").alias("n_shown"),
+        F.col("_b.of.mag").alias("mag_min"), F.col("_b.of.err").alias("magerr_max"),
+    )
+
+
 def bands_present(points: DataFrame, ids: list[str]) -> DataFrame:
     """Distinct bands of each light curve, from its points in rows."""
     return points.select(*ids, "band").distinct()
@@ -116,9 +163,10 @@ def object_history(
     """Chosen columns of all archived points of some objects, upper limits included.
 
     A list of ids becomes a filter and reaches the Parquet scan; a table of ids
-    is joined.
+    is joined. If the archive has an index (``index_objects``), only files that
+    hold some of the objects are opened.
     """
-    archive = spark.read.parquet(archive_path)
+    archive = read_objects(spark, archive_path, id_column, object_ids)
     if isinstance(object_ids, DataFrame):
         # Broadcast when small: an object with very many rows then never shuffles.
         found = archive.join(broadcast_if_small(object_ids.select(id_column).distinct()), id_column, "left_semi")

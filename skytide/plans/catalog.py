@@ -13,11 +13,13 @@ from pyspark.sql import Window as W
 from skytide.functions import photometry, text, timeconv
 from skytide.naming import MMA_STREAMS, Naming
 from skytide.operators import archive, cutouts, decode, lightcurve, offsets, outbox, summary, topics
+from skytide.operators.merged import compact_merged, drop_replaced, merge_alerts, read_merged
 from skytide.operators.settled import drop_settled
 from skytide.plans import derived
 from skytide.session import open_filesystem, scratch_path, small_table
 from skytide.sources.avro_files import CODECS, list_files, read_alerts, write_avro
 from skytide.sources.avro_schema import avro_to_struct_type, struct_type_to_avro, superset
+from skytide.sources.object_index import index_objects
 from skytide.sources.topic_log import LOG_SCHEMA, read_topics, to_topic_log, write_topic_log
 from skytide.streaming.drain import MOVED, TransferJob, drain_topic, transfer_limited
 from skytide.streaming.live import LiveJob, start_live, stored_alerts
@@ -216,14 +218,8 @@ def lightcurve_long(spark, sf_dir):
 
 
 def lightcurve_lsst(spark, sf_dir):
-    points = lightcurve.lightcurve(derived.lsst_alerts(spark, sf_dir), "lsst")
-    shown = photometry.has_positive_error("magerr")
-    return points.groupBy("diaSourceId", "band").agg(
-        F.count(F.lit(1)).alias("n_points"),
-        F.count_if(shown).alias("n_shown"),
-        F.round(F.min(F.when(shown, F.col("mag"))), 6).alias("mag_min"),
-        F.max(F.when(shown, _finite(F.col("magerr"), 9))).alias("magerr_max"),
-    )
+    stats = lightcurve.band_statistics(derived.lsst_alerts(spark, sf_dir), "lsst")
+    return stats.select("diaSourceId", "band", "n_points", "n_shown", F.round("mag_min", 6).alias("mag_min"), F.round("magerr_max", 9).alias("magerr_max"))
 
 
 def bands_present(spark, sf_dir):
@@ -274,6 +270,18 @@ def object_history(spark, sf_dir):
     )
 
 
+def indexed_history(spark, sf_dir):
+    """The same through an index of objects to files, some files being newer than it."""
+    path = scratch_path(spark, "indexed-archive")
+    rows, columns = archive.with_partitions(derived.ztf_measurements(spark, sf_dir), "time", "ztf")
+    late = F.col("day") > "20"
+    archive.append_parquet(rows.filter(~late), path, columns, gather=True, lookup=["objectId"])
+    index_objects(spark, path, "objectId")
+    archive.append_parquet(rows.filter(late), path, columns, gather=True, lookup=["objectId"])
+    ids = derived.table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("objectId"))
+    return lightcurve.object_history(spark, path, ids, ["jd", "fid", "magpsf", "sigmapsf", "diffmaglim"])
+
+
 # -- text ---------------------------------------------------------------------
 def legal_topic_name(spark, sf_dir):
     rows = derived.table(spark, sf_dir, "documents")
@@ -701,6 +709,20 @@ def _two_versions(spark, sf_dir, mode):
     return spark.read.parquet(path).select("candid", "topic", "magpsf", "month", "day")
 
 
+def archive_merge(spark, sf_dir):
+    """Revised alerts merged into an archive without partitions, then part of it compacted."""
+    rows, path = derived.ztf_measurements(spark, sf_dir), scratch_path(spark, "merged")
+    dated, _ = archive.with_partitions(rows, "time", "ztf")
+    merge_alerts(dated.filter("topic <> 'signup'"), path, ["candid"], "error")
+    revised = dated.filter("topic in ('signup', 'purchase')")
+    merge_alerts(revised.withColumn("magpsf", F.col("magpsf") + 9), path, ["candid"], "overwrite")
+    merge_alerts(revised.withColumn("magpsf", F.col("magpsf") + 1), path, ["candid"], "overwrite")
+    compact_merged(spark, path, replaced=0.9, small_rows=0)
+    drop_replaced(spark, path)
+    merge_alerts(dated, path, ["candid"], "ignore")
+    return read_merged(spark, path).select("candid", "topic", "magpsf", "month", "day")
+
+
 def archive_overwrite(spark, sf_dir):
     return _two_versions(spark, sf_dir, "overwrite")
 
@@ -867,13 +889,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         detections_per_object, alert_summary_ztf, alert_summary_lsst, alert_key, display_rows, missing_ids, poll_rows, topic_catalogue,
         date_partitions, date_partitions_nested, partition_fallback, jd_to_mjd, tai_to_utc,
         relative_days_last, relative_days_first, extract_field, lightcurve_long, lightcurve_lsst,
-        bands_present, quality_tags, flux_to_mag, object_history,
+        bands_present, quality_tags, flux_to_mag, object_history, indexed_history,
         legal_topic_name, legal_topic_text, markdown_escape, tag_topic_name,
         topic_log, offset_lag, offset_totals, nonempty_partitions, last_offsets, partition_counts,
         partition_sizes, backlog_report, one_message, start_offsets, partial_start_offsets,
         avro_roundtrip, avro_files_roundtrip, avro_files_union, avro_codecs, gzip_files, first_records, many_versions, encode_missing_fields, wider_schema, poison_keys, multi_schema_union, dead_letters, schema_table,
         drain_archive, drain_resume, drain_avro, bounded_limit, bounded_resume, backlog_after_drain, backlog_from_progress, transfer_progress, backlog_after_live, limited_generation, restart_latest, idle_poll, live_stream,
-        archive_overwrite, archive_evolved_schema, archive_ignore, settled_store, latest_per_object,
+        archive_overwrite, archive_merge, archive_evolved_schema, archive_ignore, settled_store, latest_per_object,
         cleaned_images, cutout_stats, cutouts_long, object_cutout, plain_fits, notification_outbox, outbox_throttle, live_throttle,
     )
 }

@@ -313,6 +313,10 @@ FROM m""",
     "object_history": f"""
 WITH {_MEASURED}
 SELECT objectId, jd AS jd, fid, magpsf, sigmapsf AS sigmapsf, diffmaglim
+FROM m WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
+    "indexed_history": f"""
+WITH {_MEASURED}
+SELECT objectId, jd AS jd, fid, magpsf, sigmapsf AS sigmapsf, diffmaglim
 FROM m WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "legal_topic_name": """
 SELECT doc_id, lower(regexp_replace(source || ' ' || lang, '[^\\p{L}]', '', 'g')) AS topic FROM documents""",
@@ -387,6 +391,7 @@ SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS "partition", user_id
        CASE WHEN event_id % 7 <> 0 THEN value END AS magpsf
 FROM events""",
     "archive_overwrite": _STORE.format(revised="'signup', 'purchase'"),
+    "archive_merge": _STORE.format(revised="'signup', 'purchase'"),
     "archive_ignore": _STORE.format(revised="'signup'"),
     "latest_per_object": """
 SELECT CAST(user_id AS VARCHAR) AS objectId, event_id AS candid, event_type AS topic
