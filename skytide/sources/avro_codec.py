@@ -62,6 +62,11 @@ def _spread(part: pa.Array, at: np.ndarray, n: int) -> pa.Array:
     return part.take(pa.array(take, mask=missing))
 
 
+# From this many items on, a block is read as one vector instead of slot by slot.
+LONG_BLOCK = 512
+WINDOW = 1 << 15
+
+
 class BodyReader:
     """Read positions of the bodies in ``buf``; row i spans starts[i]..ends[i]."""
 
@@ -277,8 +282,9 @@ class BodyReader:
         arrays = [columns[f.name] if f.name in columns else pa.nulls(len(rows), f.type) for f in target]
         return pa.StructArray.from_arrays(arrays, fields=list(target))
 
-    def _blocks(self, rows, read_items):
-        """Walk the counted blocks of an array or map for all rows at once."""
+    def _blocks(self, rows, read_items, read_long=None):
+        """Walk the counted blocks of an array or map for all rows at once; long blocks
+        by themselves, if there is a way."""
         waiting = np.arange(len(rows))
         while waiting.size:
             count = self.read_long(rows[waiting])
@@ -288,7 +294,10 @@ class BodyReader:
                 count = np.abs(count)
             count[self.status[rows[waiting]] != OK] = 0
             waiting, count = waiting[count > 0], count[count > 0]
-            self.repeat(rows, waiting, count, read_items)
+            short = count < LONG_BLOCK if read_long else np.ones(len(count), bool)
+            for at, n in zip(waiting[~short], count[~short]):
+                read_long(at, int(n))
+            self.repeat(rows, waiting[short], count[short], read_items)
 
     def repeat(self, rows, live, count, read_items):
         """Read slot 0 of every row, then slot 1 of the rows that have one, …"""
@@ -299,17 +308,64 @@ class BodyReader:
             more = (left > 0) & (self.status[rows[live]] == OK)
             live, left = live[more], left[more]
 
+    def _at(self, pos: np.ndarray, end: int) -> "BodyReader":
+        """A reader that takes each position for a row of its own."""
+        return BodyReader(self.buf, pos, np.full(len(pos), end, dtype=np.int64))
+
+    def _item_starts(self, items, at: int, end: int, count: int) -> tuple[np.ndarray, int] | None:
+        """Where ``count`` items one after the other begin, and where the last one ends.
+
+        An item is skipped from every byte of a window at once, which tells for each
+        byte where the item after it would begin. The items that do follow each other
+        from the first are then found by doubling: the first n, and as many steps of n.
+        """
+        starts, left = [], count
+        while left:
+            size = min(WINDOW, end - at)
+            if size <= 0:
+                return None if not _is_empty(items) else (np.concatenate([*starts, np.full(left, at)]), at)
+            probe = self._at(np.arange(at, at + size), end)
+            probe.read(items, np.arange(size), None)
+            good = probe.status == OK
+            step = np.append(np.where(good & (probe.pos < at + size), probe.pos - at, size), size)
+            chain = np.zeros(1, dtype=np.int64)
+            while len(chain) < left and chain[-1] < size:
+                chain = np.concatenate([chain, step[chain]])
+                step = step[step]
+            chain = chain[chain < size][:left]
+            if not good[chain].all():
+                return None
+            starts.append(at + chain)
+            left -= len(chain)
+            at = int(probe.pos[chain[-1]])
+        return np.concatenate(starts), at
+
     def _array(self, items, rows, target):
         value_type = target.value_type if target is not None else None
         parts, owners = [], []
 
+        def long(at, n):
+            row = rows[at]
+            end = int(self.end[row])
+            found = self._item_starts(items, int(self.pos[row]), end, n)
+            if found is not None and value_type is not None:
+                reader = self._at(found[0], end)
+                part = reader.read(items, np.arange(n), value_type)
+                found = found if (reader.status == OK).all() else None
+                parts.append(part)
+                owners.append(np.full(n, at))
+            if found is None:
+                self.fail(rows[at : at + 1])
+            else:
+                self.pos[row] = found[1]
+
         def slot(live):
             part = self.read(items, rows[live], value_type)
             if value_type is not None:
                 parts.append(part)
                 owners.append(live)
 
-        self._blocks(rows, slot)
+        self._blocks(rows, slot, long if _is_flat(items) else None)
         if target is None:
             return None
         offsets, values = gather(parts, owners, len(rows), value_type)
@@ -335,6 +391,20 @@ class BodyReader:
         return pa.MapArray.from_arrays(offsets, key_array, item_array, type=target)
 
 
+def _is_flat(avro_type) -> bool:
+    """Whether values hold no further array or map, whose length any byte could pretend."""
+    if isinstance(avro_type, list):
+        return all(_is_flat(b) for b in avro_type)
+    kind = _kind(avro_type)
+    return all(_is_flat(f["type"]) for f in avro_type["fields"]) if kind == "record" else kind not in ("array", "map")
+
+
+def _is_empty(avro_type) -> bool:
+    """Whether values take no byte."""
+    kind = None if isinstance(avro_type, list) else _kind(avro_type)
+    return kind == "null" or (kind == "record" and all(_is_empty(f["type"]) for f in avro_type["fields"]))
+
+
 def gather(parts, owners, n, value_type):
     """Slot-wise pieces to row order: list offsets and the ordered values."""
     if not parts:

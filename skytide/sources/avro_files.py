@@ -43,7 +43,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from skytide.session import open_filesystem, qualified
+from skytide.session import open_filesystem, qualified, read_table_if_exists
 from skytide.sources import avro_codec, avro_schema
 
 # Container magic, file pattern of a folder scan, suffixes.
@@ -403,22 +403,35 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(AlertAvroSource)
 
 
-def distinct_file_schemas(spark: SparkSession, files: list[str]) -> list[str]:
-    """Writer schemas of many files, their headers read by a Spark job.
+_HEADERS = "path string, size bigint, schema_json string"
+
+
+def distinct_file_schemas(spark: SparkSession, files: list[tuple[str, int]], manifest: str | None = None) -> list[str]:
+    """Writer schemas of many files (path and size), their headers read by a Spark job.
 
     Only the distinct schema texts come back, in the order of the first file in
-    the list that carries each.
+    the list that carries each. A ``manifest`` is a table of the headers read so
+    far: files it has, by path and size, are not opened, and the others are added.
     """
 
     def headers(batches):
         for batch in batches:
-            paths = batch.column(0).to_pylist()
-            schemas = pa.array([file_schema(p) for p in paths], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(1), schemas], ["place", "schema_json"])
+            schemas = pa.array([file_schema(p) for p in batch.column(0).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), schemas], ["path", "size", "schema_json"])
 
-    listing = spark.createDataFrame(pa.table({"path": pa.array(files, pa.string()), "place": pa.array(range(len(files)), pa.int64())}))
+    paths, sizes = [f for f, _ in files], [n for _, n in files]
+    listing = spark.createDataFrame(
+        pa.table([pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(range(len(files)), pa.int64())], ["path", "size", "place"])
+    )
     width = max(1, min(len(files) // 16, 4 * spark.sparkContext.defaultParallelism))
-    found = listing.repartition(width).mapInArrow(headers, "place bigint, schema_json string")
+    known = read_table_if_exists(spark, manifest, T.StructType.fromDDL(_HEADERS)) if manifest else None
+    new = listing if known is None else listing.join(known, ["path", "size"], "left_anti")
+    read = new.select("path", "size").repartition(width).mapInArrow(headers, _HEADERS)
+    if manifest:
+        if not new.isEmpty():
+            read.write.mode("append").parquet(manifest)
+        read = spark.read.schema(_HEADERS).parquet(manifest)
+    found = listing.join(read, ["path", "size"])
     rows = found.groupBy("schema_json").agg(F.min("place").alias("place")).orderBy("place").collect()
     return [r.schema_json for r in rows]
 
@@ -430,9 +443,11 @@ def read_alerts(
     columns: list[str] | None = None,
     avro_schemas: list[str] | None = None,
     logical_types: bool = False,
+    manifest: str | None = None,
 ) -> DataFrame:
     """Alerts of a file, a list of files or a folder, versions merged by name.
 
+    Headers are read by a job, only of files that the table ``manifest`` lacks, if it is given.
     ``size`` keeps the first ``size`` files and then the first ``size`` records of them.
     """
     register(spark)
@@ -444,7 +459,7 @@ def read_alerts(
     for name, _ in files:
         _check_suffix(name)
     if avro_schemas is None:
-        avro_schemas = distinct_file_schemas(spark, [f for f, _ in files])
+        avro_schemas = distinct_file_schemas(spark, files, qualified(spark, manifest) if manifest else None)
     reader = (
         spark.read.format("alert_avro")
         .option("avroSchema", json.dumps([avro_schema.parse(s) for s in avro_schemas]))

@@ -94,10 +94,25 @@ def test_versions_are_merged_by_name(spark, folder, path):
 
 def test_many_headers_are_read_by_a_job(spark, folder):
     path, _, schema = folder
-    got = avro_files.distinct_file_schemas(spark, files(path) * 3)
+    got = avro_files.distinct_file_schemas(spark, avro_files.list_files(path) * 3)
     assert [len(s) > 0 for s in got] == [True]
 
 
+def test_headers_of_a_manifest_are_not_read_again(spark, folder, path, monkeypatch):
+    _, df, schema = folder
+    manifest = path + "-headers"
+    write_avro(df, path, schema)
+    first = read_alerts(spark, path, manifest=manifest)
+    assert first.count() == 7 and spark.read.parquet(manifest).count() == len(files(path))
+    known = set(files(path))
+    write_avro(df.withColumn("tracklet", F.lit("t")), path, alerts.ztf_schema(extra=[("tracklet", "string")]), mode="append")
+    for file in known:  # headers that are known are not looked at: here they no longer are any
+        with open(file, "r+b") as out:
+            out.write(b"XXXX")
+    got = avro_files.distinct_file_schemas(spark, avro_files.list_files(path), manifest)
+    assert len(got) == 2 and spark.read.parquet(manifest).count() == len(files(path))
+
+
 def test_large_files_are_cut_at_sync_markers(spark, path):
     df = spark.range(20000).select("id", (F.col("id") * 7 % 1000).cast("string").alias("s")).coalesce(1)
     for compression in ("null", "deflate"):

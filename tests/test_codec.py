@@ -229,3 +229,38 @@ def test_nan_is_not_null():
     assert not status.any()
     for name in ("x", "y"):
         assert decoded.field(name).null_count == 1 and typed.field(name).is_valid().equals(decoded.field(name).is_valid())
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.recursive(_leaf, _wrap, max_leaves=5), min_size=1, max_size=3), st.integers(0, 10**6), st.sampled_from([7, 64, 1 << 15]))
+def test_long_blocks_round_trip(types, seed, window):
+    """Arrays read as one vector give what arrays read slot by slot give."""
+    schema = record(*[(f"c{i}", {"type": "array", "items": t}) for i, t in enumerate(types)])
+    typed = pa.array(alerts.rows(schema, 17, seed), arrow_type(schema))
+    bodies = codec.encode(schema, typed)
+    before = codec.LONG_BLOCK, codec.WINDOW
+    codec.LONG_BLOCK, codec.WINDOW = 2, window
+    try:
+        decoded, status = codec.decode_bodies(bodies, schema, typed.type)
+        cut = pa.array([b[: len(b) // 2] if k % 2 else b for k, b in enumerate(bodies.to_pylist())], pa.binary())
+        _, broken = codec.decode_bodies(cut, schema, typed.type)
+    finally:
+        codec.LONG_BLOCK, codec.WINDOW = before
+    assert not status.any() and decoded.to_pylist() == typed.to_pylist()
+    _, expected = codec.decode_bodies(cut, schema, typed.type)
+    assert broken.tolist() == expected.tolist()
+
+
+def test_an_array_of_many_items_takes_few_steps(monkeypatch):
+    item = record(("jd", "double"), ("mag", ["float", "null"]), ("n", "long"), ("tag", "string"), ("nothing", "null"))
+    schema = record(("id", "long"), ("points", {"type": "array", "items": item}), ("empty", {"type": "array", "items": "null"}), ("end", "string"))
+    rng = random.Random(5)
+    points = [dict(jd=rng.random(), mag=None if rng.random() < 0.3 else 0.5 * k, n=rng.randrange(-(2**40), 2**40), tag="x" * rng.randrange(200), nothing=None) for k in range(100_000)]
+    rows = [dict(id=1, points=points, empty=[None] * 5000, end="e"), dict(id=2, points=points[:3], empty=[], end="f")]
+    typed = pa.array(rows, arrow_type(schema))
+    steps = []
+    real = codec.BodyReader.read
+    monkeypatch.setattr(codec.BodyReader, "read", lambda self, t, r, target: steps.append(1) or real(self, t, r, target))
+    decoded, status = codec.decode_bodies(codec.encode(schema, typed), schema, typed.type)
+    assert not status.any() and decoded.equals(typed)
+    assert len(steps) < 6000  # slot by slot: 500,000
