@@ -3,9 +3,11 @@
 Documents get rates, how often the mix takes them, as close to their base rate
 as the token targets allow (least relative entropy): the rate is the base times
 the exponential of a multiplier per source, limited to ``cap``. The multipliers
-solve the convex dual; each Newton step is one aggregation over all documents,
-and the Hessian is diagonal because sources are disjoint. Only one row per
-source reaches the driver. Sums are of integers, so reruns agree.
+solve the convex dual; each Newton step is one aggregation over the words of each
+source and base rate, on which alone rates depend, summed up beforehand. The Hessian
+is diagonal because sources are disjoint. Only one row per source reaches the
+driver. Sums are of integers, so reruns agree. Targets that are not met after
+``STEPS`` steps are an error.
 
 Rates become copies: the whole part for all, one more for the documents of a
 source with the smallest ``u - fraction``, ``u`` a hash of id and text. The cut
@@ -13,8 +15,9 @@ is found by a histogram per source and a running sum within the one bin that
 holds it, so the words taken miss the target by about one document.
 
 A null text has no words; a null source is a source, the last one. A source
-without words has target 0. Repeated rows share their hash and are taken alike.
-No rows give no rows. Extra columns are ignored.
+without words has target 0. Rows equal in id, text and source would share their
+hash: the second and later ones get one of their own, by their number. Texts of any
+length are counted whole. No rows give no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from skytide.session import small_table, stage
+from skytide.operators.numbering import number_rows
+from skytide.session import broadcast_if_small, small_table, stage
 
 WEIGHTS = (5, 2, 1)
 CAP = 3
@@ -73,6 +77,22 @@ def hash_of(doc_id, text):
     return F.shiftrightunsigned(F.xxhash64(doc_id, text), 11) / F.lit(float(1 << 53))
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``doc_id, source, u``) with different ``u`` for rows that are equal otherwise."""
+    same = ["doc_id", "source", "u"]
+    repeated = stage(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "repeated-rows")
+    if repeated.isEmpty():
+        return rows
+    known = broadcast_if_small(repeated)
+    equal = F.lit(True)
+    for c in same:
+        equal = equal & rows[c].eqNullSafe(known[c])
+    several = rows.join(known, equal, "left_semi").withColumn("_at", F.monotonically_increasing_id())
+    numbered = number_rows(several, same, ["_at"], "_n", "numbered-rows")
+    own = F.when(F.col("_n") == 0, F.col("u")).otherwise(hash_of(F.col("u"), F.col("_n")))
+    return rows.join(known, equal, "left_anti").unionByName(numbered.withColumn("u", own).select(*rows.columns))
+
+
 def _rate(cap: float):
     return F.least(F.lit(float(cap)), F.col("base") * F.exp("multiplier"))
 
@@ -87,14 +107,16 @@ def _with(rows: DataFrame, per_source: dict[str, dict]) -> DataFrame:
 
 
 def solve(rows: DataFrame, goal: dict, cap: float = CAP, steps: int = STEPS, tolerance: float = 1e-9) -> dict:
-    """The multipliers: Newton's method on the dual, a pass over ``rows`` for each step."""
+    """The multipliers: Newton's method on the dual, kept within what is known of each."""
     multiplier = dict.fromkeys(goal, 0.0)
+    rows = stage(rows.groupBy("source", "base").agg(F.sum("size").alias("size")), "rated-words")
     open_ = {s for s in goal if goal[s] > 0}
     for s in goal.keys() - open_:
         multiplier[s] = -60.0
+    low, high = dict.fromkeys(goal, -math.inf), dict.fromkeys(goal, math.inf)
     for _ in range(steps):
         rate = _rate(cap)
-        fixed = F.round(rate * _FIXED).cast("bigint") * F.col("size")
+        fixed = F.round(rate * _FIXED).cast("decimal(20,0)") * F.col("size")
         sums = _with(rows, {"multiplier": multiplier}).groupBy("source").agg(
             F.sum(fixed.cast("decimal(38,0)")).alias("taken"),
             F.sum(F.when(rate < cap, fixed).otherwise(0).cast("decimal(38,0)")).alias("slope"),
@@ -108,12 +130,15 @@ def solve(rows: DataFrame, goal: dict, cap: float = CAP, steps: int = STEPS, tol
                 continue
             if slope == 0 and gradient < 0:  # every document is at the cap
                 continue
-            step = -gradient / slope if slope else -1.0
-            multiplier[row.source] += max(-2.0, min(2.0, step))
+            s, here = row.source, multiplier[row.source]
+            low[s], high[s] = (here, high[s]) if gradient < 0 else (low[s], here)
+            there = here + max(-2.0, min(2.0, -gradient / slope if slope else -1.0))
+            # a step past a point known to be too far, as a kink at the cap can cause, is halved instead
+            multiplier[s] = there if low[s] < there < high[s] else (low[s] + high[s]) / 2
             moved = True
         if not moved:
-            break
-    return multiplier
+            return multiplier
+    raise ArithmeticError(f"the targets are not met after {steps} Newton steps")
 
 
 def plan(rows: DataFrame, weights=WEIGHTS, cap: float = CAP) -> dict[str, dict]:
@@ -165,7 +190,7 @@ def with_copies(rows: DataFrame, planned: dict[str, dict], cap: float = CAP) ->
 
 def mix(docs: DataFrame, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken``."""
-    rows = stage(measured(docs), "measured")
+    rows = stage(apart(stage(measured(docs), "measured")), "apart")
     planned = plan(rows, weights, cap)
     if not planned:
         planned = {c: {None: 0.0} for c in ("source_size", "target", "multiplier", "cut")}

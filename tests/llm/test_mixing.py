@@ -1,9 +1,10 @@
+import math
 import random
 
 import pytest
 
 from plain import corpus, prose
-from skytide.llm.mixing import mix, targets
+from skytide.llm.mixing import mix, solve, targets
 
 SCHEMA = "doc_id bigint, text string, source string"
 
@@ -42,6 +43,28 @@ def test_mix_comes_near_every_target(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+@pytest.mark.parametrize("equal, others", [(900, 40), (5, 300)])
+def test_repeated_rows_are_taken_one_by_one(spark, equal, others):
+    rows = [(1, "same three words", "a")] * equal + [(k, "b words", "b") for k in range(others)] + [(None, "x y z", "c")] * 50
+    goal = targets({"a": 3 * equal, "b": 2 * others, "c": 150})
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = mix(frame.repartition(3)).collect()
+    taken = dict.fromkeys(goal, 0)
+    for r in got:
+        taken[r.source] += r.taken
+        assert r.taken <= 3 * r.size
+    assert len(got) == len(rows) and all(abs(taken[s] - goal[s]) <= 3 for s in goal), (taken, goal)
+    assert sorted(map(str, got)) == sorted(map(str, mix(frame.repartition(5)).collect()))
+
+
+def test_base_rates_and_targets_out_of_reach(spark):
+    frame = spark.createDataFrame([("a", 10, 0.5), ("a", 30, 2.0), ("b", 20, 1.0)], "source string, size bigint, base double")
+    multiplier = solve(frame, {"a": 50.0, "b": 20.0})
+    assert sum(min(3, base * math.exp(multiplier["a"])) * n for n, base in ((10, 0.5), (30, 2.0))) == pytest.approx(50, rel=1e-5)
+    with pytest.raises(ArithmeticError, match="not met"):
+        solve(frame, {"a": 50.0, "b": 20.0}, steps=1)
+
+
 def test_edges(spark):
     assert mix(spark.createDataFrame([], SCHEMA)).collect() == []
     only = mix(spark.createDataFrame([(1, None, None), (2, None, None)], SCHEMA)).collect()
