@@ -1,19 +1,20 @@
 """Personal data in texts, and the terms that give a person away.
 
 Four kinds are found by pattern and stay as they are; their values are the
-protected entities. Sanitisation by information content then looks at the words
-around them: over the corpus, a term reveals an entity by their pointwise mutual
-information, log2(c(t, e) N / (df(t) df(e))), held against what there is to
-reveal, the entity's information content log2(N / df(e)). Terms whose share
-reaches ``disclosure``, seen with the entity in ``support`` different texts or
-more, are reported as kind ``term`` where they stand beside it; ``sanitised``
-removes entities and generalises terms.
+protected entities. Sanitisation by information content then looks at all words of
+two letters or more of the documents that hold them: over the corpus, a term reveals
+an entity by their pointwise mutual information, log2(c(t, e) N / (df(t) df(e))),
+held against what there is to reveal, the entity's information content
+log2(N / df(e)). Terms whose share reaches ``disclosure``, seen with the entity in
+``support`` different texts or more, are reported as kind ``term`` wherever they
+stand in a document that holds the entity; ``sanitised`` removes entities and
+generalises terms.
 
 N, df and c count documents; ``support`` counts different texts (by hash), so
 copies alone are no evidence. Counts cover every text and are summed in each
 task before the shuffle.
 
-Null texts count as empty. Repeated rows each get their row; ids may be null or
+Null texts count as empty; texts of any length are searched whole. Repeated rows each get their row; ids may be null or
 repeated. No rows give no rows; extra columns are ignored.
 """
 
@@ -22,8 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytide.llm.spans import as_text, count_kind, in_order, located, once, only_if, outside, replaced
-from skytide.session import stage
+from skytide.llm.spans import as_text, count_kind, in_order, located, only_if, outside, replaced
+from skytide.session import broadcast_if_small, stage
 
 # Fixed patterns of the base kinds. Groups repeat possessively where nothing
 # follows them: same matches, no recursion on long runs. A run that cannot begin a
@@ -34,12 +35,9 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-REACH = 60
 SUPPORT = 3
 DISCLOSURE = 0.5
-_WORD = r"\p{L}{4,}"
-_BLOCK = 4096
-_PLACE = "array<struct<start: int, kind_no: int, end: int, kind: string, entity: bigint, term: bigint>>"
+_WORD = r"\p{L}{2,}"
 
 
 def _digits(value: Column) -> Column:
@@ -74,84 +72,62 @@ def base_spans(text: Column) -> Column:
     return in_order(email, ip, card, phone)
 
 
-def _neighbours(text: Column, base: Column, reach: int) -> Column:
-    """Words of four letters or more within ``reach`` code points of each base
-    span, outside all of them, with the hash of the entity; words cut by the
-    edge of the reach are left out."""
-
-    def cut_out(blocks, start, size):
-        """A short piece of the text, from the one or two blocks it lies in."""
-        k = F.floor(start / _BLOCK).cast("int")
-        both = F.concat(F.coalesce(F.get(blocks, k), F.lit("")), F.coalesce(F.get(blocks, k + 1), F.lit("")))
-        return F.substring(both, start - k * _BLOCK + 1, size)
-
-    def around(s, blocks):
-        low = F.greatest(s["start"] - reach, F.lit(0))
-        left = cut_out(blocks, low, s["start"] - low)
-        right = cut_out(blocks, s["end"], F.lit(reach))
-        entity = F.xxhash64(s["kind"], F.lower(s["value"]))
-
-        def at(words, offset, cut):
-            kept = F.filter(words, lambda w: ~cut(w))
-            return F.transform(
-                kept,
-                lambda w: F.struct(
-                    (w["start"] + offset).alias("start"), F.lit(4).alias("kind_no"), (w["end"] + offset).alias("end"),
-                    F.lit(TERM).alias("kind"), entity.alias("entity"), F.xxhash64(F.lower(w["value"])).alias("term"),
-                ),
-            )
-
-        return F.concat(
-            at(located(left, _WORD, TERM, 4), low, lambda w: (w["start"] == 0) & (low > 0)),
-            at(located(right, _WORD, TERM, 4), s["end"], lambda w: w["end"] == reach),
-        )
-
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), 0)
-    return once(blocks, lambda bs: F.flatten(F.transform(base, lambda s: around(s, bs))))
+def _terms(text: Column, base: Column) -> Column:
+    """Words outside all base spans, as spans with the hash of the lower-cased word."""
+    words = outside(located(text, _WORD, TERM, 4), base)
+    plain = lambda w: [w[c].alias(c) for c in ("start", "kind_no", "end", "kind")]
+    return F.transform(words, lambda w: F.struct(*plain(w), F.xxhash64(F.lower(w["value"])).alias("term")))
 
 
 def revealing_terms(found: DataFrame, texts: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """``entity, term`` whose mutual information reaches the disclosure threshold."""
-    # as text, of which Spark finds the distinct ones by hash; of structs, pair by pair
-    told = F.array_distinct(F.transform("places", lambda p: F.concat_ws(":", p["entity"], p["term"])))
-    near = found.select("text_hash", F.explode(told).alias("p")).groupBy("text_hash", "p").agg(F.count(F.lit(1)).alias("c"))
-    part = lambda k: F.substring_index("p", ":", k).cast("bigint")
-    pairs = near.groupBy(part(1).alias("entity"), part(-1).alias("term")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
-    pairs = stage(pairs, "pairs")
-    df_e = found.select(F.explode(F.array_distinct("entities")).alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("df_e"))
+    """``text_hash, spans``: where terms stand that reveal an entity of the same text.
+
+    Entities of fewer than ``support`` texts, and terms too frequent to reach the
+    threshold even if they always stood with the entity, go before any pair is made.
+    """
+    n = F.lit(found.count())
+    held = found.where(F.size("entities") > 0).groupBy("text_hash").agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("copies"))
+    each = stage(held.select("text_hash", "copies", F.explode("entities").alias("entity")), "entities")
+    shared = each.groupBy("entity").agg(F.sum("copies").alias("df_e"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= support)
+    each = stage(each.join(broadcast_if_small(stage(shared.drop("texts"), "shared-entities")), "entity"), "held-entities")
+
+    told = texts.join(broadcast_if_small(each.select("text_hash").distinct()), "text_hash", "left_semi").dropDuplicates(["text_hash"])
+    worded = stage(told.select("text_hash", _terms(F.col("text"), base_spans(F.col("text"))).alias("words")), "worded")
+    distinct = stage(worded.select("text_hash", F.explode(F.array_distinct("words.term")).alias("term")), "terms")
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), 0))
     # counted before the join: its rows follow the vocabulary, not the terms' occurrences
     counted = texts.select(F.explode(words).alias("w")).groupBy(F.xxhash64("w").alias("term")).agg(F.count(F.lit(1)).alias("df_t"))
-    df_t = counted.join(pairs.select("term").distinct(), "term")
-    n = F.lit(found.count())
-    scored = pairs.join(df_t, "term").join(df_e, "entity")
-    mutual = F.log2(F.col("c") * n / (F.col("df_t") * F.col("df_e")))
+    df_t = broadcast_if_small(stage(counted.join(distinct.select("term").distinct(), "term"), "frequencies"))
+
     content = F.log2(n / F.col("df_e"))
-    return scored.where((content > 0) & (mutual >= disclosure * content)).select("entity", "term")
+    most = F.col("df_e") * F.pow(n / F.col("df_e"), F.lit(1 - disclosure)) * (1 + 1e-9)
+    pairs = distinct.join(df_t, "term").join(each, "text_hash").where((F.col("df_t") <= most) & (content > 0))
+    pairs = pairs.groupBy("entity", "term", "df_e", "df_t").agg(F.sum("copies").alias("c"), F.count(F.lit(1)).alias("texts"))
+    mutual = F.log2(F.col("c") * n / (F.col("df_t") * F.col("df_e")))
+    revealing = pairs.where((F.col("texts") >= support) & (mutual >= disclosure * content)).select("entity", "term")
+    revealing = broadcast_if_small(stage(revealing, "revealing"))
+    terms = each.join(revealing, "entity").groupBy("text_hash").agg(F.collect_set("term").alias("known"))
+    plain = lambda w: F.struct(*[w[c].alias(c) for c in ("start", "kind_no", "end", "kind")])
+    mine = F.transform(F.filter("words", lambda w: F.array_contains(F.col("known"), w["term"])), plain)
+    return worded.join(terms, "text_hash").select("text_hash", mine.alias("terms"))
 
 
 def find_personal_data(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, disclosure: float = DISCLOSURE
 ) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term`` and ``found``: all spans."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    rows = texts.select("doc_id", "text_hash", "text", base_spans(F.col("text")).alias("held"))
-    places = outside(_neighbours(F.col("text"), F.col("held"), reach), F.col("held"))
+    rows = texts.select("doc_id", "text_hash", base_spans(F.col("text")).alias("held"))
     rows = rows.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "text_hash",
+        "doc_id", "text_hash",
         F.transform("held", lambda s: F.struct(s["start"], s["kind_no"], s["end"], s["kind"])).alias("base"),
-        F.transform("held", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))).alias("entities"),
-        F.when(F.size("held") > 0, places).otherwise(F.array().cast(_PLACE)).alias("places"),
+        F.array_distinct(F.transform("held", lambda s: F.xxhash64(s["kind"], F.lower(s["value"])))).alias("entities"),
     )
     found = stage(rows, "personal")
-    revealing = revealing_terms(found, texts, support, disclosure)
-    each = found.select("row", F.explode("places").alias("p")).select("row", "p", F.col("p.entity").alias("entity"), F.col("p.term").alias("term"))
-    plain = F.struct(F.col("p.start"), F.col("p.kind_no"), F.col("p.end"), F.col("p.kind"))
-    told = each.join(revealing, ["entity", "term"]).groupBy("row").agg(F.collect_set(plain).alias("terms"))
+    terms = broadcast_if_small(stage(revealing_terms(found, texts, support, disclosure), "told"))
     spans = F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast("array<struct<start: int, kind_no: int, end: int, kind: string>>"))))
-    return found.join(told, "row", "left").select(
+    return found.join(terms, "text_hash", "left").select(
         "doc_id", *[count_kind(F.col("base"), k).alias(f"n_{k}") for k in KINDS],
         F.sha2(as_text(F.col("base")), 256).alias("base_sha256"), as_text(spans).alias("spans"),
         count_kind(spans, TERM).alias("n_term"), spans.alias("found"),

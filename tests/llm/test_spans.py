@@ -1,6 +1,8 @@
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 from plain import corpus, prose
 from pyspark.sql import functions as F
@@ -107,6 +109,53 @@ def test_terms_that_reveal(spark):
     assert "zq@mail" not in line and "Zarquon" not in line and "[term]" in line
 
 
+def brute_terms(rows, support=3, disclosure=0.5):
+    """Per row the places of revealing terms, by counting every pair."""
+    texts = {t for _, t in rows}
+    spans = {t: [(m.start(), m.end(), kind, m[0].lower()) for kind, pattern, ok in PII_RULES for m in pattern.finditer(t) if ok(m)] for t in texts}
+    entities = {t: {(k, v) for _, _, k, v in found} for t, found in spans.items()}
+    words = {t: [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{2,}", t)] for t in texts}
+    free = {t: [w for w in ws if all(e <= w[0] or w[1] <= s for s, e, _, _ in spans[t])] for t, ws in words.items()}
+    n, df_e, df_t, c, support_of = len(rows), Counter(), Counter(), Counter(), Counter()
+    for _, t in rows:
+        df_e.update(entities[t])
+        df_t.update({w[2] for w in words[t]})
+        c.update((e, w) for e in entities[t] for w in {w[2] for w in free[t]})
+    for t in texts:
+        support_of.update((e, w) for e in entities[t] for w in {w[2] for w in free[t]})
+    revealing = {
+        (e, w) for (e, w), k in c.items()
+        if support_of[e, w] >= support and df_e[e] < n and math.log2(k * n / (df_t[w] * df_e[e])) >= disclosure * math.log2(n / df_e[e]) - 1e-12
+    }
+    return {i: sorted(w[:2] for w in free[t] if any((e, w[2]) in revealing for e in entities[t])) for i, t in rows}
+
+
+def test_terms_match_brute_force(spark):
+    rng = random.Random(8)
+    people = [("Ann Li", "al@mail.example.org"), ("Bo Vang", "+49 170 1234567"), ("Ulf", "10.1.2.3"), ("李明", "liming@x.example.org")]
+    rows = []
+    for i in range(120):
+        name, entity = rng.choice(people)
+        place = rng.random()
+        body = prose(rng, rng.randint(5, 60))
+        rows.append((i, f"{name} says: {body}" + (f" {entity} or {rng.choice(people)[1]}" if place < 0.4 else f" write {entity}" if place < 0.6 else "")))
+    rows += [(200 + i, rows[0][1]) for i in range(5)] + [(300, "al@mail.example.org")]
+    frame = spark.createDataFrame([(i, t, "s", "en") for i, t in rows], SCHEMA)
+    got = {r.doc_id: sorted((f.start, f.end) for f in r.found if f.kind == "term") for r in pii.find_personal_data(frame).collect()}
+    expected = brute_terms(rows)
+    assert got == expected and sum(map(len, expected.values())) > 50
+
+
+def test_names_far_from_the_entity_are_found(spark):
+    rng = random.Random(3)
+    letters = [(i, f"Ann Li. {prose(rng, 100)} al@mail.example.org and Ann again", "s", "en") for i in range(5)]
+    frame = spark.createDataFrame(letters + [(50 + i, prose(rng, 90), "s", "en") for i in range(40)], SCHEMA)
+    for r in pii.find_personal_data(frame).where("doc_id < 50").collect():
+        text = letters[r.doc_id][1]
+        terms = [text[f.start : f.end] for f in r.found if f.kind == "term"]
+        assert terms.count("Ann") == 2 and "Li" in terms
+
+
 def test_empty_and_clashing_columns(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert secrets.find_secrets(empty).collect() == [] and pii.find_personal_data(empty).collect() == []
