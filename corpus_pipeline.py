@@ -77,16 +77,16 @@ def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents as often as the mix takes them: repeated rows, or none."""
     ship_package(spark)
     with staging_scope():
-        planned = mixing.plan(stage(mixing.measured(docs), "measured"))
+        planned = mixing.plan(stage(mixing.apart(stage(mixing.measured(docs), "measured")), "apart"))
     if not planned:
         return docs
     rows = _rows(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = rows.select(
-        "row", F.col("source").cast("string").alias("source"), mixing.word_count(F.col("text")).alias("size"),
+        "row", "doc_id", F.col("source").cast("string").alias("source"), mixing.word_count(F.col("text")).alias("size"),
         F.lit(1.0).alias("base"), mixing.hash_of(F.col("doc_id"), text).alias("u"),
     )
-    taken = mixing.with_copies(rows, planned).where("copies > 0")
+    taken = mixing.with_copies(mixing.apart(rows), planned).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("row.*")
 
 
