@@ -36,7 +36,7 @@ CAP = 3
 BINS = 2048
 STEPS = 40
 WORD = r"[^\x20\x09-\x0D]+"
-_FIXED = 1 << 20  # rates as integers, for sums that do not depend on their order
+_FIXED = 1 << 40  # rates as integers, for sums that do not depend on their order
 
 
 def word_count(text):
@@ -106,7 +106,7 @@ def _with(rows: DataFrame, per_source: dict[str, dict]) -> DataFrame:
     return rows.join(own, rows["source"].eqNullSafe(own["own_source"]), "left").drop("own_source")
 
 
-def solve(rows: DataFrame, goal: dict, cap: float = CAP, steps: int = STEPS, tolerance: float = 1e-9) -> dict:
+def solve(rows: DataFrame, goal: dict, cap: float = CAP, steps: int = STEPS, tolerance: float = 1e-6) -> dict:
     """The multipliers: Newton's method on the dual, kept within what is known of each."""
     multiplier = dict.fromkeys(goal, 0.0)
     rows = stage(rows.groupBy("source", "base").agg(F.sum("size").alias("size")), "rated-words")
@@ -120,13 +120,14 @@ def solve(rows: DataFrame, goal: dict, cap: float = CAP, steps: int = STEPS, tol
         sums = _with(rows, {"multiplier": multiplier}).groupBy("source").agg(
             F.sum(fixed.cast("decimal(38,0)")).alias("taken"),
             F.sum(F.when(rate < cap, fixed).otherwise(0).cast("decimal(38,0)")).alias("slope"),
+            F.sum("size").alias("size"),
         )
         moved = False
         for row in sums.collect():
             if row.source not in open_:
                 continue
             gradient, slope = float(row.taken) / _FIXED - goal[row.source], float(row.slope) / _FIXED
-            if abs(gradient) <= max(1e-6, tolerance) * goal[row.source]:
+            if abs(gradient) <= max(tolerance * goal[row.source], float(row["size"]) / _FIXED):  # rates are no finer
                 continue
             if slope == 0 and gradient < 0:  # every document is at the cap
                 continue

@@ -61,6 +61,9 @@ def test_base_rates_and_targets_out_of_reach(spark):
     frame = spark.createDataFrame([("a", 10, 0.5), ("a", 30, 2.0), ("b", 20, 1.0)], "source string, size bigint, base double")
     multiplier = solve(frame, {"a": 50.0, "b": 20.0})
     assert sum(min(3, base * math.exp(multiplier["a"])) * n for n, base in ((10, 0.5), (30, 2.0))) == pytest.approx(50, rel=1e-5)
+    small = solve(frame, {"a": 0.013, "b": 60.0})  # a very small rate, and one at the cap
+    assert sum(base * math.exp(small["a"]) * n for n, base in ((10, 0.5), (30, 2.0))) == pytest.approx(0.013, rel=1e-5)
+    assert min(3, math.exp(small["b"])) == pytest.approx(3, rel=1e-5)
     with pytest.raises(ArithmeticError, match="not met"):
         solve(frame, {"a": 50.0, "b": 20.0}, steps=1)
 
