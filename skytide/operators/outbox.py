@@ -101,13 +101,20 @@ def throttle(
     A channel starts at ``start``, or one gap after the message it is already
     waiting to send (``busy_until``: kind, channel, last). Places in a queue
     come from ranged numbering, so one channel that takes most messages is
-    still spread over many tasks.
+    still spread over many tasks; only the columns that decide the order are numbered,
+    which must be unique within a channel, and joined to the messages again.
     """
     seconds = F.lit(0)
     for kind, gap in (spacing or SPACING_SECONDS).items():
         seconds = F.when(F.col("kind") == kind, F.lit(gap)).otherwise(seconds)
     gap_micros = seconds.cast("bigint") * 1000000
-    placed = number_rows(outbox, ["kind", "channel"], order, "queue_position", "outbox")
+    key = ["kind", "channel", *[c for c in order if c not in ("kind", "channel")]]
+    slim = number_rows(outbox.select(*key), ["kind", "channel"], order, "queue_position", "outbox")
+    numbers = broadcast_if_small(slim)
+    same = F.lit(True)
+    for c in key:
+        same = same & outbox[c].eqNullSafe(numbers[c])
+    placed = outbox.join(numbers, same).select(*[outbox[c] for c in outbox.columns], "queue_position")
     first = F.unix_micros(start)
     if busy_until is not None:
         waiting = busy_until.select("kind", "channel", F.unix_micros("last").alias("_last"))
