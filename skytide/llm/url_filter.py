@@ -3,12 +3,14 @@
 A rule is a regular expression with literal tokens that every match contains
 whole. Over all urls the tokens' frequencies are counted; each rule is filed
 under its rarest one. A url fetches the rules filed under its own tokens, and
-only those run their expression. Rules without a literal are tried on every url.
+only those run their expression. Rules without a literal are tried on every url,
+and only those that match make a row.
 
 Two layers: list rules ``host/path`` (a host with its subdomains, and a prefix of
 the path; the longest fitting rule wins), then pattern rules on the whole url,
 lower-cased in A-Z, for urls no list rule decides; a block among the matching
-pattern rules wins; without any match a url is allowed.
+pattern rules wins over an allow, an exception over a block; without any match a url
+is allowed. ``filter_list`` reads pattern rules in the usual notation of such lists.
 
 Different urls are judged once. The rule index is a table like any other: Spark
 broadcasts it when its size allows, else joins it by token and splits hot ones.
@@ -67,8 +69,40 @@ def list_rule(name: str, verdict: str) -> Rule:
     return Rule(name, verdict, pattern, tuple(dict.fromkeys(whole + inner)), True, len(name))
 
 
-def pattern_rule(name: str, verdict: str, pattern: str, literals: tuple[str, ...]) -> Rule:
-    return Rule(name, verdict, pattern, tuple(literals), False, len(pattern))
+def pattern_rule(name: str, verdict: str, pattern: str, literals: tuple[str, ...], exception: bool = False) -> Rule:
+    """``length`` ranks the matching ones: allow, block, exception."""
+    return Rule(name, verdict, pattern, tuple(literals), False, 2 if exception else int(verdict == "block"))
+
+
+# Fixed notation: ``||`` a host or its subdomains, ``|`` the url's start or end, ``^`` a
+# separator or the end, ``*`` anything, ``@@`` an exception, ``/…/`` an expression.
+_HOST_START = "^[a-z][a-z0-9+.-]*://([^/?#]*[.])?"
+_SEPARATOR = "([^a-z0-9_.%-]|$)"
+
+
+def filter_list(lines) -> list[Rule]:
+    """Rules of a filter list. Comments (``!``) and headers (``[``) are left out; options
+    (``$…``) say what a crawler does not know, so a line with them is an error."""
+    rules = []
+    for line in (raw.strip() for raw in lines):
+        if not line or line.startswith(("!", "[")):
+            continue
+        exception, body = line.startswith("@@"), line.removeprefix("@@").translate(str.maketrans(_UPPER, _LOWER))
+        verdict = "allow" if exception else "block"
+        if len(body) > 2 and body.startswith("/") and body.endswith("/"):
+            rules.append(pattern_rule(line, verdict, line.removeprefix("@@")[1:-1], (), exception))
+            continue
+        if "$" in body:
+            raise ValueError(f"options are not supported: {line!r}")
+        host, start, end = body.startswith("||"), body.startswith("|"), body.endswith("|") and len(body) > 1
+        body = body[2 if host else int(start) : len(body) - int(end)]
+        pattern = "".join({"^": _SEPARATOR, "*": ".*"}.get(c) or re.escape(c) for c in body)
+        # a token is whole if on either side stands what cannot go on with it
+        bounded = ("^" if start or host else "*") + body + ("^" if end else "*")
+        literals = re.findall("(?<=[^a-z0-9*])" + _TOKEN + "(?=[^a-z0-9*])", bounded)
+        anchored = (_HOST_START if host else "^" if start else "") + pattern + ("$" if end else "")
+        rules.append(pattern_rule(line, verdict, anchored, tuple(dict.fromkeys(literals)), exception))
+    return rules
 
 
 def default_rules() -> list[Rule]:
@@ -117,12 +151,14 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, id_col: str = "page
     filed = tokens.join(index, "token").drop("token")
     free = [r for r in rules if not r.literals]
     if free:
-        each = F.array(*[F.struct(*[F.lit(getattr(r, c)).alias(c) for c in _RULE]) for r in free])
-        filed = filed.unionByName(urls.select("*", F.explode(each).alias("each")).select("url", "place", "plain", "each.*"))
+        # a fixed pattern each, compiled once
+        each = [F.when(F.col("place" if r.listed else "plain").rlike(r.pattern), F.struct(*[F.lit(getattr(r, c)).alias(c) for c in _RULE])) for r in free]
+        fitting = F.array_compact(F.array(*each))
+        filed = filed.unionByName(urls.select("*", F.explode(fitting).alias("each")).select("url", "place", "plain", "each.*"))
     found = (
         filed.where("rlike(if(listed, place, plain), pattern)")
         .groupBy("url")
-        .agg(F.max(F.struct("listed", F.when(F.col("listed"), F.col("length")).otherwise((F.col("verdict") == "block").cast("int")), "rule", "verdict")).alias("best"))
+        .agg(F.max(F.struct("listed", "length", "rule", "verdict")).alias("best"))
         .select("url", F.col("best.listed").alias("listed"), F.col("best.rule").alias("reason"), F.col("best.verdict").alias("verdict"))
     )
     return rows.join(found, "url", "left").select(

@@ -1,6 +1,9 @@
+import random
 import re
 
-from skytide.llm.url_filter import LIST_RULES, PATTERN_RULES, default_rules, judge, list_rule, pattern_rule, rule_index
+import pytest
+
+from skytide.llm.url_filter import LIST_RULES, PATTERN_RULES, default_rules, filter_list, judge, list_rule, pattern_rule, rule_index
 
 SCHEMA = "page_id bigint, url string"
 URLS = [
@@ -62,3 +65,44 @@ def test_edges(spark):
     both = [pattern_rule("a", "allow", "good", ("good",)), pattern_rule("b", "block", "bad", ())]
     rows = [(1, "http://good"), (2, "http://good-bad"), (3, "http://bad")]
     assert [r.verdict for r in judge(spark.createDataFrame(rows, SCHEMA), both).orderBy("page_id").collect()] == ["allow", "block", "block"]
+
+
+LIST = ["! comment", "[header]", "", "||ads.example.com^", "|http://start.", "end.gif|", "/banner/*/img^", "@@||ads.example.com/ok^", "||x.org^*tail|", "/ads[0-9]+[.]js$/", "track^"]
+
+
+def tried_on_every_url(rules, url):
+    plain = (url or "").translate({c: c + 32 for c in range(65, 91)})
+    fits = [r for r in rules if re.search(r.pattern, plain)]
+    best = max(fits, key=lambda r: r.length, default=None)
+    return best.verdict if best else "allow"
+
+
+def test_notation_of_filter_lists(spark):
+    rules = filter_list(LIST)
+    expected = {
+        "http://ads.example.com/x": "block", "https://a.ads.example.com:8080/x": "block", "http://ads.example.community/": "allow", "http://bads.example.com/": "allow",
+        "http://ads.example.com/ok": "allow", "http://ads.example.com/ok/2": "allow", "http://ads.example.com/okay": "block", "http://start.de/": "block",
+        "https://a.b/?http://start.de/": "allow", "http://a.b/friend.gif": "block", "http://a.b/end.gif?x": "allow", "http://a.b/banner/1/2/img?x": "block",
+        "http://a.b/banner/1/imgs": "allow", "http://x.org/1/tail": "block", "http://y.x.org?tail": "block", "http://x.org/tails": "allow", "http://a.b/ads12.js": "block",
+        "http://a.b/backtrack": "block", "HTTP://A.B/TRACK/": "block", "http://a.b/tracks": "allow",
+    }
+    got = judge(spark.createDataFrame(list(enumerate(expected)), SCHEMA), rules).orderBy("page_id").collect()
+    assert {u: r.verdict for u, r in zip(expected, got)} == expected
+    assert all(tried_on_every_url(rules, u) == v for u, v in expected.items())
+    assert {r.rule: r.literals for r in rules}["||ads.example.com^"] == ("ads", "example", "com")
+    assert {r.rule: r.literals for r in rules}["/banner/*/img^"] == ("banner", "img") and {r.rule: r.literals for r in rules}["track^"] == ()
+    with pytest.raises(ValueError, match="options"):
+        filter_list(["||a.b^$script"])
+
+
+def test_thousands_of_rules_equal_every_rule_on_every_url(spark):
+    rng = random.Random(6)
+    words = ["ads", "img", "track", "shop", "news", "cdn", "pixel", "blog", "x1", "promo"] + [f"w{k}" for k in range(300)]
+    word = lambda: rng.choice(words)
+    forms = [lambda: f"||{word()}.example.{rng.choice(['com', 'org'])}^", lambda: f"/{word()}/{word()}^", lambda: f"||{word()}.net/{word()}/*{word()}", lambda: f"{word()}-{word()}",
+             lambda: f"@@||{word()}.net/{word()}^", lambda: f"|https://{word()}.", lambda: f".{word()}|"]
+    rules = filter_list(dict.fromkeys(rng.choice(forms)() for _ in range(2000)))
+    urls = [f"http{rng.choice(['', 's'])}://{word()}.{rng.choice(['net', 'example.com', 'example.org'])}/{word()}/{word()}{rng.choice(['', '-'])}{word()}{rng.choice(['', '.' + word(), '?' + word()])}" for _ in range(150)]
+    got = judge(spark.createDataFrame(list(enumerate(urls)), SCHEMA), rules).collect()
+    assert {r.page_id: r.verdict for r in got} == {k: tried_on_every_url(rules, u) for k, u in enumerate(urls)}
+    assert len({r.verdict for r in got}) == 2
