@@ -36,12 +36,15 @@ def _piece(items: Column, k: Column) -> Column:
 
 def located(text: Column, pattern: str, kind: str, kind_no: int, value_group: int = 0) -> Column:
     """Leftmost non-overlapping matches as ``SPAN``; ``value`` is the given group."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), 0)
-    parts = {"match": matches, "gap": F.split(text, pattern, -1)}
+    parts = {"gap": F.split(text, pattern, -1)}
     if value_group:
         parts["value"] = F.regexp_extract_all(text, F.lit(pattern), value_group)
-    # the last gap follows the last match: it belongs to none
-    zipped = lambda p: F.filter(F.arrays_zip(*[p[c].alias(c) for c in parts]), lambda m: m["match"].isNotNull())
+
+    def zipped(matches: Column) -> Column:
+        """Matches with the gap before each; the last gap follows the last match, it belongs to none."""
+        with_gaps = F.arrays_zip(matches.alias("match"), *[c.alias(n) for n, c in parts.items()])
+        return F.filter(with_gaps, lambda m: m["match"].isNotNull())
+
     nothing = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
 
     def spans(m: Column) -> Column:
@@ -62,7 +65,9 @@ def located(text: Column, pattern: str, kind: str, kind_no: int, value_group: in
 
         return F.aggregate(m, start, step)["spans"]
 
-    return once(F.struct(*[c.alias(n) for n, c in parts.items()]), lambda p: once(zipped(p), spans))
+    # where nothing matches, as in most texts, nothing else is looked for
+    found = lambda m: F.when(F.size(m) > 0, once(zipped(m), spans)).otherwise(F.array().cast(SPAN))
+    return once(F.regexp_extract_all(text, F.lit(pattern), 0), found)
 
 
 def only_if(condition: Column, spans: Column) -> Column:
