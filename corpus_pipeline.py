@@ -18,7 +18,7 @@ from skytide.llm.decontaminate import find_contamination
 from skytide.llm.jaccard_join import jaccard_components
 from skytide.llm.queries import table
 from skytide.llm.shards import shard_by_bytes
-from skytide.session import ship_package, stage, staging_scope
+from skytide.session import broadcast_if_small, ship_package, stage, staging_scope
 
 LEAST_SCORE = 0.5
 
@@ -52,6 +52,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         goes = stage(classes.join(stays, "root").where(~same).select("doc_id", "k1").distinct(), "goes", keep=True)
         repeated = classes.groupBy("doc_id", "k1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
         repeated = stage(repeated, "repeated", keep=True)
+    # Few enough, the keys go to the documents; else whole documents are shuffled.
+    goes = broadcast_if_small(goes)
     rows = _rows(docs)
     kept = rows.join(goes, _same_document(rows, goes), "left_anti")
     if repeated.isEmpty():
