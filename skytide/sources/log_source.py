@@ -24,6 +24,7 @@ from skytide.sources.log_index import Held, list_parquet, ranges_of_file, read_i
 
 Offsets = dict[str, dict[str, int]]
 PACK_BYTES = 32 << 20
+READ_BYTES = 1 << 20  # of a column at a time: a whole row group of bodies would grow with the log's files
 
 
 class FileRanges(InputPartition):
@@ -135,7 +136,7 @@ class TopicLogReader(DataSourceStreamReader):
         filesystem, inner = open_filesystem(self.path)
         target = to_arrow_schema(self.struct)
         for file, ranges in partition.files:
-            source = pq.ParquetFile(filesystem.open_input_file(f"{inner.rstrip('/')}/{file}"))
+            source = pq.ParquetFile(filesystem.open_input_file(f"{inner.rstrip('/')}/{file}"), buffer_size=READ_BYTES)
             lowest, highest = min(r[2] for r in ranges), max(r[3] for r in ranges)
             at = next(i for i in range(len(source.schema)) if source.schema.column(i).path == "offset")
             groups = []

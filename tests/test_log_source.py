@@ -1,5 +1,8 @@
 import json
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -7,7 +10,7 @@ from pyspark.sql.types import StructType
 from skytide.operators import offsets
 from skytide.session import open_filesystem, scratch_path
 from skytide.sources.log_index import index_path, list_parquet, log_bounds, read_index, topic_of
-from skytide.sources.log_source import TopicLogReader, admit
+from skytide.sources.log_source import FileRanges, TopicLogReader, admit
 from skytide.sources.topic_log import LOG_SCHEMA, latest_positions, offset_bounds, read_topics, starting_offsets_json, write_topic_log
 from skytide.streaming.drain import stop_when_drained
 
@@ -123,3 +126,22 @@ def test_idle_partitions_stay_in_the_plan(spark):
     bounds = spark.createDataFrame([("t", 0, 0, 5), ("t", 1, 3, 3)], "topic string, partition int, lo bigint, hi bigint")
     done = spark.createDataFrame([("t", 1, 3)], "topic string, partition int, committed bigint")
     assert offsets.plan_ranges(bounds, done, 2) == [("t", 0, 0, 2), ("t", 1, 3, 3)]
+
+
+def test_reading_holds_no_whole_row_group(path):
+    """Bodies of one big row group: what a read holds does not grow with it."""
+    n = 60_000
+    body = np.random.default_rng(1).bytes(500 * n)
+    bodies = pa.FixedSizeBinaryArray.from_buffers(pa.binary(500), n, [None, pa.py_buffer(body)]).cast(pa.binary())
+    columns = {"key": pa.nulls(n, pa.binary()), "value": bodies, "partition": pa.array([0] * n, pa.int32()), "offset": pa.array(range(n), pa.int64()),
+               "timestamp": pa.array([0] * n, pa.timestamp("us")), "timestampType": pa.array([0] * n, pa.int32())}
+    filesystem, inner = open_filesystem(path)
+    filesystem.create_dir(f"{inner}/topic=plain", recursive=True)
+    pq.write_table(pa.table(columns), f"{inner}/topic=plain/one.parquet", row_group_size=n, use_dictionary=False)
+    del bodies, columns
+    reader = TopicLogReader({"path": path, "topics": json.dumps(["plain"])}, StructType.fromDDL(LOG_SCHEMA))
+    held, rows, before = 0, 0, pa.total_allocated_bytes()
+    for batch in reader.read(FileRanges([("topic=plain/one.parquet", [("plain", 0, 100, n - 100)])])):
+        held, rows = max(held, pa.total_allocated_bytes() - before), rows + batch.num_rows
+    assert rows == n - 200
+    assert held < 12 << 20  # of 30 MB of bodies
