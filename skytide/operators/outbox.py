@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from skytide.functions.text import notification_text
 from skytide.naming import DEFAULT_NAMING, Naming, layout
 from skytide.operators.lightcurve import extract_field
-from skytide.operators.numbering import number_rows
+from skytide.operators.numbering import number_in_blocks, number_rows
 from skytide.session import broadcast_if_small, open_filesystem, qualified
 
 # Seconds between two messages to one channel.
@@ -95,6 +95,7 @@ def throttle(
     start: Column,
     spacing: dict[str, int] | None = None,
     busy_until: DataFrame | None = None,
+    by_offset: bool = False,
 ) -> DataFrame:
     """Add ``not_before``: messages of one channel are spaced out in order.
 
@@ -102,19 +103,24 @@ def throttle(
     waiting to send (``busy_until``: kind, channel, last). Places in a queue
     come from ranged numbering, so one channel that takes most messages is
     still spread over many tasks; only the columns that decide the order are numbered,
-    which must be unique within a channel, and joined to the messages again.
+    which must be unique within a channel, and joined to the messages again. With
+    ``by_offset`` the order ends in an offset: places are then counted by blocks of
+    offsets, and the messages, with their light curves, are not shuffled.
     """
     seconds = F.lit(0)
     for kind, gap in (spacing or SPACING_SECONDS).items():
         seconds = F.when(F.col("kind") == kind, F.lit(gap)).otherwise(seconds)
     gap_micros = seconds.cast("bigint") * 1000000
-    key = ["kind", "channel", *[c for c in order if c not in ("kind", "channel")]]
-    slim = number_rows(outbox.select(*key), ["kind", "channel"], order, "queue_position", "outbox")
-    numbers = broadcast_if_small(slim)
-    same = F.lit(True)
-    for c in key:
-        same = same & outbox[c].eqNullSafe(numbers[c])
-    placed = outbox.join(numbers, same).select(*[outbox[c] for c in outbox.columns], "queue_position")
+    if by_offset:
+        placed = number_in_blocks(outbox, ["kind", "channel"], order, "queue_position", "outbox")
+    else:
+        key = ["kind", "channel", *[c for c in order if c not in ("kind", "channel")]]
+        slim = number_rows(outbox.select(*key), ["kind", "channel"], order, "queue_position", "outbox")
+        numbers = broadcast_if_small(slim)
+        same = F.lit(True)
+        for c in key:
+            same = same & outbox[c].eqNullSafe(numbers[c])
+        placed = outbox.join(numbers, same).select(*[outbox[c] for c in outbox.columns], "queue_position")
     first = F.unix_micros(start)
     if busy_until is not None:
         waiting = busy_until.select("kind", "channel", F.unix_micros("last").alias("_last"))

@@ -193,7 +193,7 @@ def write_topic_log(messages: DataFrame, path: str) -> None:
     """Append encoded messages. Laid out by topic so that a subscription reads
     only its own folders; numbered messages come in offset order, so a file
     holds a contiguous range and offset filters skip whole row groups."""
-    messages.select(*LOG_NAMES).write.mode("append").partitionBy("topic").parquet(path)
+    messages.select(*LOG_NAMES).write.mode("append").option("compression", "zstd").partitionBy("topic").parquet(path)
 
 
 def to_topic_log(

@@ -77,9 +77,9 @@ def _batch_action(job: LiveJob, commits: bool = True):
                 )
                 now = F.lit(datetime.now(timezone.utc))
                 channels = ChannelState(batch.sparkSession, f"{job.outbox.rstrip('/')}-channels")
-                timed = throttle(messages, ["topic", "partition", "offset"], now, busy_until=channels.before(batch_id))
+                timed = throttle(messages, ["topic", "partition", "offset"], now, busy_until=channels.before(batch_id), by_offset=True)
                 written = f"{job.outbox}/batch={batch_id}"
-                timed.write.mode("overwrite").parquet(written)
+                timed.write.mode("overwrite").option("compression", "zstd").parquet(written)
                 channels.keep(batch_id, batch.sparkSession.read.schema(timed.schema).parquet(written))
             if job.summary:
                 alert_summary(alerts, job.survey).write.mode("overwrite").parquet(f"{job.summary}/batch={batch_id}")

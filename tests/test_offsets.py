@@ -169,3 +169,25 @@ def test_history_of_hot_and_cold_keys(spark, hot_rows):
         mine = [i for _, i in sorted((t, i) for k, t, i in rows if k == key)]
         expected.update({i: mine[max(0, n - 10) : n] or None for n, i in enumerate(mine)})
     assert len(out) == len(rows) and got == expected
+
+
+def test_places_by_blocks_of_offsets(spark):
+    """Gaps, block edges, whole and nearly empty blocks: the places of number_rows."""
+    rng = random.Random(3)
+    rows = []
+    for kind, channel in (("a", "x"), ("a", None), ("b", "x")):
+        for topic in ("t", "u"):
+            for partition in range(2):
+                first = rng.choice((0, 7, 32760))
+                taken = [o for o in range(first, first + 200) if rng.random() < 0.8] + list(range(65536, 65600)) + [98303, 98304]
+                rows += [(kind, channel, topic, partition, o, "wide") for o in taken]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "kind string, channel string, topic string, partition int, offset bigint, body string")
+    group, order = ["kind", "channel"], ["topic", "partition", "offset"]
+    blocked = numbering.number_in_blocks(df, group, order, "n")
+    assert blocked.columns == [*df.columns, "n"]
+    plan = blocked._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "BroadcastHashJoin" in plan  # the rows stay where they are
+    plain = numbering.number_rows(df, group, order, "n")
+    assert sorted(map(str, blocked.collect())) == sorted(map(str, plain.collect()))
+    assert numbering.number_in_blocks(df.limit(0), group, order, "n").collect() == []
